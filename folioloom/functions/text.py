@@ -12,30 +12,45 @@ TRUE_WORDS = ["true", "1", "yes", "y", "t"]
 FALSE_WORDS = ["false", "0", "no", "n", "f"]
 
 
-def clean(col: Column | str) -> Column:
+def _clean(name: str) -> str:
+    return f"nullif(trim(cast(`{name}` as string)), '')"
+
+
+def clean(name: str) -> Column:
     """Text without surrounding spaces; blank becomes NULL."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.nullif(F.trim(c.cast("string")), F.lit(""))
+    return F.expr(_clean(name))
+
+
+def clean_upper(name: str) -> Column:
+    return F.expr(f"upper({_clean(name)})")
+
 
+def clean_lower(name: str) -> Column:
+    return F.expr(f"lower({_clean(name)})")
 
-def clean_upper(col: Column | str) -> Column:
-    return F.upper(clean(col))
 
+def _literal(value: object) -> str:
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def clean_lower(col: Column | str) -> Column:
-    return F.lower(clean(col))
 
+def _map_of(table: Mapping[str, object]) -> str:
+    return "map(" + ", ".join(f"{_literal(k)}, {_literal(v)}" for k, v in table.items()) + ")"
 
-def canonical(col: str, spellings: Iterable[str]) -> Column:
+
+def canonical(name: str, spellings: Iterable[str]) -> Column:
     """Map a case-insensitive match onto the listed spelling; anything else is kept as typed."""
-    known = F.create_map(*[F.lit(v) for s in spellings for v in (s.lower(), s)])
-    return F.coalesce(known[clean_lower(col)], clean(col))
+    known = _map_of({s.lower(): s for s in spellings})
+    return F.expr(f"coalesce({known}[lower({_clean(name)})], {_clean(name)})")
+
+
+def lookup(name: str, table: Mapping[str, str]) -> Column:
+    """Text of ``table`` for a text column, NULL when absent."""
+    return F.expr(f"{_map_of(table)}[`{name}`]")
 
 
-def yes_no(col: str) -> Column:
+def yes_no(name: str) -> Column:
     """yes/no text as boolean, NULL for any other word."""
-    word = F.lower(F.trim(F.col(col).cast("string")))
-    return F.when(word == "yes", True).when(word == "no", False)
+    return F.expr(f"case lower(trim(cast(`{name}` as string))) when 'yes' then true when 'no' then false end")
 
 
 def parse_flag(col: Column | str) -> Column:
@@ -43,13 +58,12 @@ def parse_flag(col: Column | str) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     raw = c.cast("string")
     word = F.lower(F.regexp_replace(raw, r"^\s+|\s+$", ""))
+    unknown = F.raise_error(F.concat(F.lit("unsupported boolean value: "), raw)).cast("boolean")
     return (
         F.when(raw.isNull(), F.lit(None).cast("boolean"))
         .when(word.isin(TRUE_WORDS), True)
         .when(word.isin(FALSE_WORDS), False)
-        .otherwise(
-            F.raise_error(F.concat(F.lit("unsupported boolean value: "), raw)).cast("boolean")
-        )
+        .otherwise(unknown)
     )
 
 
@@ -59,8 +73,3 @@ def first_match(rules: Iterable[tuple[Column, object]], default: object = None)
     for cond, value in rules:
         out = F.when(cond, value) if out is None else out.when(cond, value)
     return out.otherwise(default) if default is not None else out
-
-
-def lookup(col: Column, table: Mapping[str, object]) -> Column:
-    """Value of ``table`` for a text column, NULL when absent."""
-    return F.create_map(*[F.lit(v) for kv in table.items() for v in kv])[col]

@@ -157,7 +157,7 @@ def dim_index(profile: DataFrame) -> DataFrame:
         .agg(F.min("asset_class").alias("asset_class"))
         .select(
             F.md5(code).alias("index_key"),
-            F.coalesce(lookup(code, INDEX_NAMES), F.replace(code, F.lit("_"), F.lit(" "))).alias(
+            F.coalesce(lookup("index_code", INDEX_NAMES), F.replace(code, F.lit("_"), F.lit(" "))).alias(
                 "index_name"
             ),
             family.alias("index_family"),
@@ -205,7 +205,7 @@ def dim_etf(profile: DataFrame, assets: DataFrame) -> DataFrame:
 def dim_geography(geography: DataFrame) -> DataFrame:
     name = F.col("geography_name")
     group = F.coalesce(
-        lookup(name, GEOGRAPHY_GROUPS),
+        lookup("geography_name", GEOGRAPHY_GROUPS),
         F.when(F.lower(name).contains("emerging"), "Emerging Markets"),
         F.lit("Other"),
     )

@@ -10,7 +10,7 @@ overlapping slices first; the same functions then run on (asset, slice) partitio
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -35,17 +35,24 @@ DRAWDOWN_COLUMNS = ["rolling_peak_252d", "drawdown_52w", "drawdown_since_incepti
 TREND_COLUMNS = [*SMA_ROWS, "above_sma_50_flag", "above_sma_200_flag", "trend_score", "trend_label"]
 
 
-def _series(df: DataFrame) -> W:
-    keys = ["asset_key", SLICE] if SLICE in df.columns else ["asset_key"]
-    return W.partitionBy(*keys).orderBy("full_date")
+class _Frames:
+    """Window frames of one table: whole history in order, or the last rows of it."""
 
+    def __init__(self, df: DataFrame):
+        sliced = SLICE in df.columns
+        keys = ["asset_key", SLICE] if sliced else ["asset_key"]
+        self.ordered = W.partitionBy(*keys).orderBy("full_date")
+        self.sliced = sliced
 
-def _last(df: DataFrame, rows: int) -> W:
-    return _series(df).rowsBetween(1 - rows, W.currentRow)
+    def last(self, rows: int):
+        return self.ordered.rowsBetween(1 - rows, W.currentRow)
+
+    def to_date(self):
+        return self.ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
 
 
 def with_returns(prices: DataFrame) -> DataFrame:
-    w, price = _series(prices), F.col("price_for_returns")
+    w, price = _Frames(prices).ordered, F.col("price_for_returns")
     out = prices.withColumns(
         {f"return_{h}": ratio(price, F.lag(price, k).over(w)) - 1 for h, k in HORIZONS.items()}
     )
@@ -53,29 +60,25 @@ def with_returns(prices: DataFrame) -> DataFrame:
 
 
 def with_volatility(returns: DataFrame) -> DataFrame:
-    day, scale = F.col("daily_return"), F.sqrt(F.lit(float(YEAR_ROWS)))
-
-    def spread(rows: int) -> Column:
-        return F.stddev_samp(day).over(_last(returns, rows))
-
+    frames, scale = _Frames(returns), F.sqrt(F.lit(float(YEAR_ROWS)))
+    spread, mean = F.stddev_samp("daily_return"), F.avg("daily_return")
+    year = frames.last(YEAR_ROWS)
     return returns.withColumns(
         {
-            "volatility_30d": spread(30) * scale,
-            "volatility_90d": spread(90) * scale,
-            "sharpe_proxy_1y": ratio(F.avg(day).over(_last(returns, YEAR_ROWS)), spread(YEAR_ROWS)) * scale,
+            "volatility_30d": spread.over(frames.last(30)) * scale,
+            "volatility_90d": spread.over(frames.last(90)) * scale,
+            "sharpe_proxy_1y": ratio(mean.over(year), spread.over(year)) * scale,
         }
     )
 
 
 def with_drawdown(prices: DataFrame) -> DataFrame:
-    price = F.col("price_for_returns")
-    to_date = _series(prices).rowsBetween(W.unboundedPreceding, W.currentRow)
-    peak = F.max(price).over(to_date)
-    if CARRIED_PEAK in prices.columns:
+    frames, price = _Frames(prices), F.col("price_for_returns")
+    top = F.max(price)
+    peak = top.over(frames.to_date())
+    if frames.sliced:
         peak = F.greatest(peak, CARRIED_PEAK)
-    out = prices.withColumns(
-        {"rolling_peak_252d": F.max(price).over(_last(prices, YEAR_ROWS)), "peak_to_date": peak}
-    )
+    out = prices.withColumns({"rolling_peak_252d": top.over(frames.last(YEAR_ROWS)), "peak_to_date": peak})
     return out.withColumns(
         {
             "drawdown_52w": ratio(price, F.col("rolling_peak_252d")) - 1,
@@ -85,10 +88,9 @@ def with_drawdown(prices: DataFrame) -> DataFrame:
 
 
 def with_trend(prices: DataFrame) -> DataFrame:
-    price, mid, slow = F.col("price_for_returns"), F.col("sma_50"), F.col("sma_200")
-    averaged = prices.withColumns(
-        {name: F.avg(price).over(_last(prices, rows)) for name, rows in SMA_ROWS.items()}
-    )
+    frames, price = _Frames(prices), F.col("price_for_returns")
+    mean, mid, slow = F.avg(price), F.col("sma_50"), F.col("sma_200")
+    averaged = prices.withColumns({name: mean.over(frames.last(rows)) for name, rows in SMA_ROWS.items()})
     flagged = averaged.withColumns(
         {
             "above_sma_50_flag": F.coalesce(price > mid, F.lit(False)),

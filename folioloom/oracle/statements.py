@@ -20,7 +20,8 @@ _PLACES = {
     ),
     **dict.fromkeys(["volatility_30d", "volatility_90d", "sharpe_proxy_1y", "sharpe_proxy"], 6),
     **dict.fromkeys(["correlation_30d", "correlation_90d", "growth_asset_avg_return_1d"], 6),
-    **dict.fromkeys(["sector_overlap_score", "geography_overlap_score", "blended_overlap_score"], 6),
+    **dict.fromkeys(["sector_overlap_score", "geography_overlap_score"], 6),
+    "blended_overlap_score": 8,  # half of six-place sums: six places would tie
     **dict.fromkeys(["group_avg_ter", "ter_percentile", "total_weight"], 6),
     **dict.fromkeys(["sma_20", "sma_50", "sma_200"], 4),
 }
@@ -234,9 +235,9 @@ _STATEMENTS = {
         from t_ucits u
         join (select etf_key, round(avg(close_price), 4) as avg_close_price, count(*) as total_etf_records
             from {_FUND_ROWS} group by all) using (etf_key)
-        join (select etf_key, round(avg(exposure_weight), 6) as avg_sector_exposure_weight
+        join (select etf_key, round(avg(exposure_weight), 8) as avg_sector_exposure_weight
             from bridge_etf_sector group by all) using (etf_key)
-        join (select etf_key, round(avg(exposure_weight), 6) as avg_geography_exposure_weight
+        join (select etf_key, round(avg(exposure_weight), 8) as avg_geography_exposure_weight
             from bridge_etf_geography group by all) using (etf_key)""",
     "v07_fan_out_guard": f"""
         select geography_group, cast(date_key // 10000 as int) as year_number, count(*) as total_etf_records,

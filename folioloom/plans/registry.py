@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,23 +22,24 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Decimal places at which results are compared: returns are single divisions, the others
 # are sums whose last digits depend on the order of addition.
 PLACES = {
+    4: ("sma_", "average_", "avg_close"),
     8: ("return_", "daily_return", "compare_daily_return", "abs_return", "drawdown", "ter_spread",
-        "sp500_return", "global_bond_return", "gold_return", "oil_return", "gbpusd_return"),
+        "sp500_return", "global_bond_return", "gold_return", "oil_return", "gbpusd_return",
+        "blended", "avg_sector_exposure", "avg_geography_exposure"),
     6: (
         "volatility", "sharpe", "correlation", "growth_", "avg_", "group_avg", "sector_overlap",
-        "geography_overlap", "blended", "ter_percentile", "total_weight",
+        "geography_overlap", "ter_percentile", "total_weight",
     ),
-    4: ("sma_", "average_", "avg_close"),
 }
 AS_OF = dt.date(2001, 11, 11)
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    rounded = {}
+    rounded: dict[str, int] = {}
     for places, prefixes in PLACES.items():
         for c, t in df.dtypes:
             if t == "double" and c.startswith(prefixes):
-                rounded[c] = places
+                rounded.setdefault(c, places)
     return df.withColumns({c: F.round(c, p) for c, p in rounded.items()})
 
 
@@ -308,26 +309,43 @@ def ucits_rows(m: Models, name: str, key: str) -> DataFrame:
     return analyst.ucits_scope(m[name], m["dim_etf"], key)
 
 
-def star_tables(m: Models) -> dict[str, DataFrame]:
-    return {
-        "prices": ucits_rows(m, "fact_asset_price_daily", "asset_key"),
-        "etf_facts": ucits_rows(m, "fact_etf_daily", "etf_key"),
-        "etf_sectors": ucits_rows(m, "bridge_etf_sector", "etf_key"),
-        "etf_geographies": ucits_rows(m, "bridge_etf_geography", "etf_key"),
-        "dates": m["dim_date"],
-        "assets": m["stg_asset_master"],
-        "etfs": m["dim_etf"],
-        "providers": m["dim_provider"],
-        "indexes": m["dim_index"],
-        "equivalence_groups": m["dim_equivalence_group"],
-        "classifications": m["dim_asset_classification"],
-        "sectors": m["dim_sector"],
-        "geographies": m["dim_geography"],
-    }
+# star table -> model, and the fund key where the table is scoped to UCITS funds
+STAR_MODELS = {
+    "prices": ("fact_asset_price_daily", "asset_key"),
+    "etf_facts": ("fact_etf_daily", "etf_key"),
+    "etf_sectors": ("bridge_etf_sector", "etf_key"),
+    "etf_geographies": ("bridge_etf_geography", "etf_key"),
+    "dates": ("dim_date", None),
+    "assets": ("stg_asset_master", None),
+    "etfs": ("dim_etf", None),
+    "providers": ("dim_provider", None),
+    "indexes": ("dim_index", None),
+    "equivalence_groups": ("dim_equivalence_group", None),
+    "classifications": ("dim_asset_classification", None),
+    "sectors": ("dim_sector", None),
+    "geographies": ("dim_geography", None),
+}
+
+
+class StarTables(Mapping):
+    """Tables of the stars, built only when a question reaches them."""
+
+    def __init__(self, m: Models):
+        self.models = m
+
+    def __getitem__(self, name: str) -> DataFrame:
+        model, key = STAR_MODELS[name]
+        return ucits_rows(self.models, model, key) if key else self.models[model]
+
+    def __iter__(self):
+        return iter(STAR_MODELS)
+
+    def __len__(self) -> int:
+        return len(STAR_MODELS)
 
 
 def _star(which: star.Star, metrics: list[str], dims: list[str], **where) -> Query:
-    return _of(lambda m: star.query(which, star_tables(m), metrics, dims, **where))
+    return _of(lambda m: star.query(which, StarTables(m), metrics, dims, **where))
 
 
 def _fund_metrics() -> list[str]:

@@ -8,11 +8,26 @@ is exchanged: a brand holding a third of all lines costs no more than any other.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
-from pyspark.sql import functions as F
-
-from folioloom.functions.text import lookup
+from pyspark.sql import DataFrame, SparkSession
+
+# Declared, so that a read touches no file before it runs.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
 
 # Fixed values of the mapping (see FIXTURES.md part A).
 REGION_NAMES = {
@@ -34,188 +49,181 @@ REGIME_TICKERS = {
     "fx": "FX19=X",
 }
 
-FUND_LIMIT = 10
+BRAND_NO = "cast(split_part(p_brand, '#', 2) as int)"
+FUNDS = "n between 1 and 10"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def brand_number(brand: Column) -> Column:
-    return F.split_part(brand, F.lit("#"), F.lit(2)).cast("int")
+def _ticker(n: str) -> str:
+    return f"if({n} between 19 and 21, concat('FX', {n}, '=X'), upper(p_brand))"
 
 
-def _pick(n: Column, options: list[str]) -> Column:
-    """Option at position ``n`` modulo the number of options."""
-    return F.element_at(F.array(*[F.lit(o) for o in options]), n % len(options) + 1)
+def _pick(*options: str) -> str:
+    """Option at position n modulo the number of options."""
+    listed = ", ".join(f"'{o}'" for o in options)
+    return f"element_at(array({listed}), n % {len(options)} + 1)"
 
 
-def _ticker(brand: Column, n: Column) -> Column:
-    return F.when(n.between(19, 21), F.format_string("FX%d=X", n)).otherwise(F.upper(brand))
+def _map(pairs: dict, key: str) -> str:
+    """SQL map lookup; NULL when absent."""
+    listed = ", ".join(f"{k if isinstance(k, int) else repr(k)}, {v!r}" for k, v in pairs.items())
+    return f"map({listed})[{key}]"
 
 
 def brands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        table(spark, sf_dir, "part")
-        .select("p_brand")
-        .distinct()
-        .withColumn("n", brand_number(F.col("p_brand")))
-    )
+    return table(spark, sf_dir, "part").select("p_brand").distinct().selectExpr("p_brand", f"{BRAND_NO} as n")
 
 
 def asset_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n, brand = F.col("n"), F.col("p_brand")
-    kind = (
-        F.when(n.between(1, 10) | (n == 25), "etf")
-        .when(n.between(11, 15), "Stock")
-        .when(n.between(16, 18), " INDEX")
-        .when(n.between(19, 21), "fx")
-        .when(n.between(22, 23), "commodity")
-        .otherwise("bond proxy")
-    )
-    name = F.concat(F.lit("Asset "), brand)
-    return brands(spark, sf_dir).select(
-        _ticker(brand, n).alias("ticker"),
-        F.when(n % 2 == 0, F.concat(F.lit("  "), name, F.lit(" "))).otherwise(name).alias("asset_name"),
-        kind.alias("asset_type"),
-        _pick(n, ["Global Equity ETF", "Global Bond ETF", "Regional"]).alias("asset_subtype"),
-        _pick(n, ["Global", "Europe ", "Asia"]).alias("region"),
-        _pick(n, ["IE", "", "US", "GB"]).alias("country"),
-        _pick(n, ["USD", "GBP"]).alias("currency"),
-        F.lit("vendor").alias("provider_name"),
-        _pick(n, ["LSE", "NYSE", " "]).alias("exchange"),
-        F.when(n != 3, n != 25).alias("is_active"),
+    return brands(spark, sf_dir).selectExpr(
+        f"{_ticker('n')} as ticker",
+        "if(n % 2 = 0, concat('  Asset ', p_brand, ' '), concat('Asset ', p_brand)) as asset_name",
+        "case when n between 1 and 10 or n = 25 then 'etf' when n between 11 and 15 then 'Stock' "
+        "when n between 16 and 18 then ' INDEX' when n between 19 and 21 then 'fx' "
+        "when n between 22 and 23 then 'commodity' else 'bond proxy' end as asset_type",
+        f"{_pick('Global Equity ETF', 'Global Bond ETF', 'Regional')} as asset_subtype",
+        f"{_pick('Global', 'Europe ', 'Asia')} as region",
+        f"{_pick('IE', '', 'US', 'GB')} as country",
+        f"{_pick('USD', 'GBP')} as currency",
+        "'vendor' as provider_name",
+        f"{_pick('LSE', 'NYSE', ' ')} as exchange",
+        "if(n = 3, null, n <> 25) as is_active",
     )
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
-    return table(spark, sf_dir, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
+    lines = table(spark, sf_dir, "lineitem")
+    return lines.join(part, lines["l_partkey"] == part["p_partkey"])
 
 
 def asset_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    px = F.col("l_extendedprice") / F.col("l_quantity")
-    quoted = F.when(F.col("l_discount") >= 0.03, px)
-    # One long keeps the buffers primitive, so this stays a hash aggregate; a struct ordering
-    # falls back to sorting every scan task. Line keys repeat now and then in generated data,
-    # and the low bits of the part number separate those.
-    order = (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * (1 << 20) + F.col("l_partkey") % (
-        1 << 20
+    # One long as line order keeps the buffers primitive, so this stays a hash aggregate; a struct
+    # ordering falls back to sorting every scan task. Line keys repeat now and then in generated
+    # data, and the low bits of the part number separate those.
+    lines = _lines(spark, sf_dir).selectExpr(
+        "p_brand",
+        "cast(l_shipdate as date) as date",
+        "l_extendedprice / l_quantity as px",
+        "l_discount as off",
+        "l_quantity",
+        "(l_orderkey * 10 + l_linenumber) * 1048576L + l_partkey % 1048576L as line_no",
     )
-    bars = (
-        _lines(spark, sf_dir)
-        .groupBy("p_brand", F.col("l_shipdate").cast("date").alias("date"))
-        .agg(
-            F.min_by(px, order).alias("open"),
-            F.max(quoted).alias("high"),
-            F.min(quoted).alias("low"),
-            F.max_by(px, order).alias("close"),
-            F.max_by("l_discount", order).alias("last_off"),
-            F.sum("l_quantity").alias("volume"),
+    bars = lines.groupBy("p_brand", "date").agg(
+        *_exprs(
+            "min_by(px, line_no) as open",
+            "max(px) filter (where off >= 0.03D) as high",
+            "min(px) filter (where off >= 0.03D) as low",
+            "max_by(px, line_no) as close",
+            "max_by(off, line_no) as last_off",
+            "sum(l_quantity) as volume",
         )
     )
-    return bars.select(
-        _ticker(F.col("p_brand"), brand_number(F.col("p_brand"))).alias("ticker"),
+    return bars.selectExpr(
+        f"{_ticker(BRAND_NO)} as ticker",
         "date",
         "open",
         "high",
         "low",
         "close",
-        F.when(F.col("last_off") < 0.1, F.col("close") * (1 - F.col("last_off"))).alias("adj_close"),
+        "if(last_off < 0.1D, close * (1 - last_off), null) as adj_close",
         "volume",
     )
 
 
-def _funds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return brands(spark, sf_dir).filter(F.col("n").between(1, FUND_LIMIT))
+def _exprs(*sql: str):
+    from pyspark.sql.functions import expr
+
+    return [expr(s) for s in sql]
 
 
 def etf_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = F.col("n")
-    codes = {str(k): v for k, v in INDEX_CODES.items()}
-    return _funds(spark, sf_dir).select(
-        F.format_string("E%d", n).alias("etf"),
-        F.lower("p_brand").alias("ticker"),
-        F.format_string("IE%010d", n).alias("isin"),
-        F.when(n == 6, "  ").otherwise(F.format_string("Fund %d", n)).alias("fund_name"),
-        _pick(n, [" vanguard", "ISHARES", "Amundi ", "Other Co"]).alias("provider"),
-        lookup(n.cast("string"), codes).alias("index"),
-        F.when(n != 10, F.format_string("GRP_%d", n % 3)).alias("equivalence_group_code"),
-        _pick(n, ["Primary", " Peer"]).alias("relationship_to_group"),
-        _pick(n, ["Bond", "Equity"]).alias("asset_class"),
-        _pick(n, ["Core", "Theme", ""]).alias("category"),
-        _pick(n, ["Dist", "Acc"]).alias("distribution_type"),
-        F.lit("Physical").alias("replication_method"),
-        _pick(n, ["USD", "GBP"]).alias("currency"),
-        F.lit("IE").alias("domicile"),
-        _pick(n, ["Yes", "No", "n/a"]).alias("hedged_flag"),
-        F.when(n <= 7, "Yes").when(n == 8, "no").alias("ucits_flag"),
-        F.when(n != 9, ((n * 7) % 50).cast("double") / 100).alias("ter"),
-        F.make_date(n + 1990, n, n).alias("inception_date"),
-        F.when(n == 4, "no").when(n != 5, "YES").alias("is_active"),
-        _pick(n, ["", "checked"]).alias("notes"),
+    return (
+        brands(spark, sf_dir)
+        .filter(FUNDS)
+        .selectExpr(
+            "concat('E', n) as etf",
+            "lower(p_brand) as ticker",
+            "concat('IE', lpad(n, 10, '0')) as isin",
+            "if(n = 6, '  ', concat('Fund ', n)) as fund_name",
+            f"{_pick(' vanguard', 'ISHARES', 'Amundi ', 'Other Co')} as provider",
+            f"{_map(INDEX_CODES, 'n')} as index",
+            "if(n <> 10, concat('GRP_', n % 3), null) as equivalence_group_code",
+            f"{_pick('Primary', ' Peer')} as relationship_to_group",
+            f"{_pick('Bond', 'Equity')} as asset_class",
+            f"{_pick('Core', 'Theme', '')} as category",
+            f"{_pick('Dist', 'Acc')} as distribution_type",
+            "'Physical' as replication_method",
+            f"{_pick('USD', 'GBP')} as currency",
+            "'IE' as domicile",
+            f"{_pick('Yes', 'No', 'n/a')} as hedged_flag",
+            "case when n <= 7 then 'Yes' when n = 8 then 'no' end as ucits_flag",
+            "if(n <> 9, cast((n * 7) % 50 as double) / 100, null) as ter",
+            "make_date(n + 1990, n, n) as inception_date",
+            "case when n = 4 then 'no' when n <> 5 then 'YES' end as is_active",
+            f"{_pick('', 'checked')} as notes",
+        )
     )
 
 
-def _weights(lines: DataFrame, category: Column, name: str) -> DataFrame:
+def _weights(lines: DataFrame, name: str) -> DataFrame:
     """Revenue share in percent per fund and category; sums are exact decimals."""
-    n = brand_number(F.col("p_brand"))
     revenue = (
-        lines.filter(n.between(1, FUND_LIMIT))
-        .groupBy(n.alias("n"), category.alias(name))
-        .agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("part"))
+        lines.selectExpr(f"{BRAND_NO} as n", name, "cast(l_extendedprice as decimal(18,2)) as v")
+        .filter(FUNDS)
+        .groupBy("n", name)
+        .agg(*_exprs("sum(v) as part"))
     )
-    # one row per fund and category is left here
-    total = F.sum("part").over(W.partitionBy("n")).cast("double")
-    return revenue.select(
-        F.format_string("E%d", F.col("n")).alias("etf"),
+    # one row per fund and category is left for the window
+    return revenue.selectExpr(
+        "concat('E', n) as etf",
         name,
-        F.round(F.col("part").cast("double") / total * 100, 6).alias("exposure_weight"),
+        "round(cast(part as double) / cast(sum(part) over (partition by n) as double) * 100, 6) "
+        "as exposure_weight",
     )
 
 
 def etf_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    region = table(spark, sf_dir, "region")
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    supplier = table(spark, sf_dir, "supplier")
     origin = (
-        table(spark, sf_dir, "supplier")
-        .select("s_suppkey", "s_nationkey")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("s_suppkey", "r_name")
+        supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"])
+        .join(region, nation["n_regionkey"] == region["r_regionkey"])
+        .selectExpr("s_suppkey", f"{_map(REGION_NAMES, 'r_name')} as geography")
     )
-    lines = _lines(spark, sf_dir).join(origin, F.col("l_suppkey") == F.col("s_suppkey"))
-    return _weights(lines, lookup(F.col("r_name"), REGION_NAMES), "geography")
+    lines = _lines(spark, sf_dir)
+    return _weights(lines.join(origin, lines["l_suppkey"] == origin["s_suppkey"]), "geography")
 
 
 def etf_sector(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _weights(_lines(spark, sf_dir), F.col("p_type"), "sector")
+    return _weights(_lines(spark, sf_dir).withColumnRenamed("p_type", "sector"), "sector")
 
 
 def equivalence_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = F.col("g")
     return (
-        brands(spark, sf_dir)
-        .select((F.col("n") % 3).alias("g"))
+        table(spark, sf_dir, "part")
+        .selectExpr(f"{BRAND_NO} % 3 as g")
         .distinct()
-        .select(
-            F.format_string(" Grp_%d ", g).alias("equivalence_group_code"),
-            F.format_string("Group %d", g).alias("equivalence_group_name"),
-            F.lit("Exposure").alias("group_type"),
-            F.format_string("Exposure %d", g).alias("canonical_exposure"),
-            F.when(g != 2, " ").otherwise("third group").alias("description"),
+        .selectExpr(
+            "concat(' Grp_', g, ' ') as equivalence_group_code",
+            "concat('Group ', g) as equivalence_group_name",
+            "'Exposure' as group_type",
+            "concat('Exposure ', g) as canonical_exposure",
+            "if(g = 2, 'third group', ' ') as description",
         )
     )
 
 
 def equivalence_group_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, r = F.col("n_nationkey"), F.col("n_regionkey")
-    return table(spark, sf_dir, "nation").select(
-        F.format_string("GRP_%d", k % 3).alias("source_group_code"),
-        F.when(r == 4, " ").otherwise(F.format_string("grp_%d", r)).alias("target_group_code"),
-        F.lit(" Similar").alias("relationship_type"),
-        k.cast("string").alias("priority_rank"),
-        F.when(k % 2 == 0, F.col("n_name")).alias("notes"),
+    return table(spark, sf_dir, "nation").selectExpr(
+        "concat('GRP_', n_nationkey % 3) as source_group_code",
+        "if(n_regionkey = 4, ' ', concat('grp_', n_regionkey)) as target_group_code",
+        "' Similar' as relationship_type",
+        "cast(n_nationkey as string) as priority_rank",
+        "if(n_nationkey % 2 = 0, n_name, null) as notes",
     )
 
 
@@ -232,9 +240,6 @@ RAW = {
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text table with the relative path a landed file would have."""
-    return table(spark, sf_dir, "documents").select(
-        F.format_string("docs_text/%s/%s-e%d.txt", F.col("lang"), F.col("source"), F.col("doc_id")).alias(
-            "relative_path"
-        ),
-        F.col("text").alias("content"),
+    return table(spark, sf_dir, "documents").selectExpr(
+        "concat('docs_text/', lang, '/', source, '-e', doc_id, '.txt') as relative_path", "text as content"
     )
