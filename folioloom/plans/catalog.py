@@ -7,15 +7,21 @@ file, which is how the full build runs.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 
 from pyspark.sql import DataFrame
 
 from folioloom.operators import dimensions as dim
 from folioloom.operators import marts, pairs, series
 from folioloom.operators import staging as stg
+from folioloom.session import write_once
 from folioloom.sources.store import Store
 
+# Fixed value: models built at the same time.
+BUILD_THREADS = 10
+
 Builder = Callable[["Models"], DataFrame]
 MODELS: dict[str, tuple[str, Builder]] = {}
 
@@ -25,11 +31,7 @@ def _model(layer: str, name: str, build: Builder) -> None:
 
 
 class Models:
-    """Named models over raw tables.
-
-    ``raw`` maps a raw table name to a function that returns it. ``slice_rows`` cuts long series
-    into overlapping slices (see ``series.slice_series``).
-    """
+    """Named models over raw tables; ``raw`` maps a raw table name to a function that returns it."""
 
     def __init__(
         self,
@@ -39,6 +41,8 @@ class Models:
     ):
         self.raw_tables, self.regime_tickers, self.store = raw, regime_tickers, store
         self._made: dict[str, DataFrame] = {}
+        names = [*MODELS, *(f"raw.{r}" for r in raw), "correlations"]
+        self._locks = {n: Lock() for n in names}
 
     def raw(self, name: str) -> DataFrame:
         return self._once(f"raw.{name}", self.raw_tables[name])
@@ -47,17 +51,24 @@ class Models:
         return self._once(name, lambda: self._build(name))
 
     def _once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-        if name not in self._made:
-            self._made[name] = make()
-        return self._made[name]
+        # one lock per model: models depend on each other without cycles, so waiting is safe
+        with self._locks[name]:
+            if name not in self._made:
+                self._made[name] = make()
+            return self._made[name]
 
     def _build(self, name: str) -> DataFrame:
         layer, build = MODELS[name]
         df = build(self)
         if self.store is None:
             return df
-        self.store.replace(layer, name, df, allow_empty=True)
-        return self.store.read(layer, name)
+        return self.store.write(layer, name, df)
+
+    def build(self, names: Iterable[str] | None = None, threads: int = BUILD_THREADS) -> dict[str, DataFrame]:
+        """Named models (all by default); with a store, several are written at the same time."""
+        wanted = list(names or MODELS)
+        with ThreadPoolExecutor(threads) as pool:
+            return dict(zip(wanted, pool.map(self.__getitem__, wanted), strict=True))
 
     @property
     def fund_prices(self) -> DataFrame:
@@ -76,7 +87,12 @@ class Models:
     @property
     def correlations(self) -> DataFrame:
         """Both spans of every pair; computed once and shared by the three models that show it."""
-        return self._once("correlations", lambda: pairs.latest_correlations(self["int_asset_returns"]))
+
+        def make() -> DataFrame:
+            both = pairs.latest_correlations(self["int_asset_returns"])
+            return both if self.store is None else write_once(both, "correlations")
+
+        return self._once("correlations", make)
 
 
 for _name, _build in {

@@ -16,18 +16,22 @@ class Store:
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
-    def replace(self, layer: str, name: str, df: DataFrame, allow_empty: bool = False) -> int:
-        """Replace the table and return its rows; an empty input leaves the old table in place."""
-        if not allow_empty and df.isEmpty():
-            raise ValueError(f"refusing to load empty table {layer}.{name}")
+    def write(self, layer: str, name: str, df: DataFrame) -> DataFrame:
+        """Replace the table and return it as read back."""
         writer = df.write.mode("overwrite")
         if self.register:
             self.spark.sql(f"create database if not exists `{layer}`")
             writer.option("path", self.path(layer, name)).saveAsTable(f"`{layer}`.`{name}`")
         else:
             writer.parquet(self.path(layer, name))
+        return self.spark.read.schema(df.schema).parquet(self.path(layer, name))
+
+    def replace(self, layer: str, name: str, df: DataFrame) -> int:
+        """Load a raw table and return its rows; an empty input is an error and keeps the old table."""
+        if df.isEmpty():
+            raise ValueError(f"refusing to load empty table {layer}.{name}")
         # answered from Parquet footers
-        return self.read(layer, name).count()
+        return self.write(layer, name, df).count()
 
     def read(self, layer: str, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, name))
