@@ -47,7 +47,7 @@ def only_funds(prices: DataFrame, profile: DataFrame) -> DataFrame:
 
 
 def fact_etf_daily(fund_prices: DataFrame, profile: DataFrame) -> DataFrame:
-    risk = series.with_risk(fund_prices)
+    risk = series.measure(fund_prices, series.with_risk)
     return risk.join(profile.select("asset_key"), "asset_key").select(
         "date_key",
         F.col("asset_key").alias("etf_key"),
@@ -65,7 +65,7 @@ def fact_etf_daily(fund_prices: DataFrame, profile: DataFrame) -> DataFrame:
 
 
 def mart_asset_returns(prices: DataFrame) -> DataFrame:
-    return series.with_returns(prices).select(
+    return series.measure(prices, series.with_returns).select(
         "date_key", "full_date", "asset_key", "ticker", "asset_name", "asset_type", "asset_subtype",
         "region", "country", "currency", "close_price", "adj_close_price", "price_for_returns",
         *[f"return_{h}" for h in series.HORIZONS], "daily_return",
@@ -73,7 +73,7 @@ def mart_asset_returns(prices: DataFrame) -> DataFrame:
 
 
 def mart_asset_risk(prices: DataFrame) -> DataFrame:
-    return series.with_risk(prices).select(
+    return series.measure(prices, series.with_risk).select(
         "date_key", "full_date", "asset_key", "ticker", "asset_name", "asset_type", "asset_subtype",
         "region", "currency", "volatility_30d", "volatility_90d", "drawdown_52w",
         "drawdown_since_inception", "sharpe_proxy_1y",
@@ -81,7 +81,7 @@ def mart_asset_risk(prices: DataFrame) -> DataFrame:
 
 
 def mart_asset_trend(prices: DataFrame) -> DataFrame:
-    return series.with_trend(prices).select(
+    return series.measure(prices, series.with_trend).select(
         "date_key", "full_date", "asset_key", "ticker", "asset_name", "asset_type", "asset_subtype",
         "region", "price_for_returns", *series.TREND_COLUMNS,
     )
@@ -95,7 +95,7 @@ def mart_asset_moves(prices: DataFrame) -> DataFrame:
     value many assets share, are bucketed further by the first letter of the ticker.
     """
     moved = (
-        series.with_returns(prices)
+        series.measure(prices, series.with_returns)
         .filter("return_1d is not null")
         .withColumn("abs_return_1d", F.abs("return_1d"))
         .select("full_date", "date_key", "asset_key", "ticker", "asset_name", "asset_type", "region",
@@ -151,7 +151,7 @@ def regime_label(index: Column, above: Column, bond: Column, gold: Column, oil:
 
 
 def mart_market_regime(prices: DataFrame, tickers: Mapping[str, str] = REGIME_TICKERS) -> DataFrame:
-    measured = series.with_trend(series.with_returns(prices))
+    measured = series.measure(prices, series.with_returns, series.with_trend)
     ticker = F.col("ticker")
 
     def month_return(role: str, name: str) -> Column:
@@ -241,7 +241,7 @@ def fund_star(
 
 def daily_prices(fund_prices: DataFrame, funds: DataFrame) -> DataFrame:
     """Daily fund report: series measures of fund rows with the fund's attributes."""
-    measured = series.with_risk(fund_prices)
+    measured = series.measure(fund_prices, series.with_risk)
     return measured.join(funds, F.col("asset_key") == F.col("etf_key")).select(
         "full_date",
         "ticker",

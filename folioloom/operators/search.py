@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from folioloom.session import write_once
+from folioloom.session import spread_if_few, write_once
 
 # The usual BM25 constants.
 K1, B = 1.2, 0.75
@@ -40,21 +40,37 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), WORD_BREAK), lambda w: w != "")
 
 
+def _runs(sorted_words: str) -> Column:
+    """(term, tf) of a sorted word array: where each run starts, and how far it is to the next."""
+    return F.expr(
+        f"""transform(_starts, (s, j) -> struct(
+            {sorted_words}[s] as term,
+            cast(coalesce(get(_starts, j + 1), size({sorted_words})) - s as bigint) as tf))"""
+    )
+
+
 def term_index(documents: DataFrame, key: str, vocabulary: DataFrame | None = None) -> DataFrame:
     """(key, doc_len, term, tf): the index the search reads.
 
+    Words are counted inside each row, by sorting them and measuring the runs, so building the
+    index moves no text and no words between tasks, and the rows of a document stay together:
+    what is later summed per document combines before it is exchanged.
+
     Every document also has one row with an empty term, which no text can hold, so the number
     and length of documents come from the same pass over the texts. With ``vocabulary`` (column
-    ``term``) other terms are left out before anything is exchanged; they cannot score.
+    ``term``) other terms are left out; they cannot score.
     """
-    spelled = documents.select(key, words(F.coalesce("content", F.lit(""))).alias("w"))
-    terms = spelled.select(
-        key, F.size("w").alias("doc_len"), F.explode(F.concat("w", F.array(F.lit("")))).alias("term")
+    spelled = documents.select(key, F.sort_array(words(F.coalesce("content", F.lit("")))).alias("_words"))
+    starts = "filter(transform(_words, (w, i) -> if(i > 0 and w = _words[i - 1], -1, i)), i -> i >= 0)"
+    runs = spelled.withColumn("_starts", F.expr(starts)).select(
+        key, F.size("_words").alias("doc_len"), _runs("_words").alias("_runs")
     )
-    if vocabulary is not None:
-        sentinel = vocabulary.sparkSession.createDataFrame([("",)], "term string")
-        terms = terms.join(vocabulary.unionByName(sentinel), "term", "left_semi")
-    return terms.groupBy(key, "doc_len", "term").agg(F.count(F.lit(1)).alias("tf"))
+    whole = F.expr("array(struct('' as term, 1L as tf))")
+    terms = runs.select(key, "doc_len", F.inline(F.concat("_runs", whole)))
+    if vocabulary is None:
+        return terms
+    sentinel = vocabulary.sparkSession.range(1).select(F.lit("").alias("term"))
+    return terms.join(vocabulary.unionByName(sentinel), "term", "left_semi").select(key, "doc_len", "term", "tf")
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -86,7 +102,10 @@ def score_terms(index: DataFrame, asked: DataFrame, key: str, k: int = TOP_K) ->
     )
     tf = F.col("tf")
     norm = tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("doc_len") / avg_len))
-    hits = real.join(asked.join(weights, "term"), "term")
+    # stored, so that the optimiser knows its size: it is the side to broadcast while small, and
+    # never the index, whose terms would then all pass through the few tasks of the queries
+    weighted = write_once(asked.join(weights, "term"), "weights")
+    hits = real.join(weighted, "term")
     scored = hits.groupBy("query_id", key).agg(F.sum(F.col("idf") * norm).alias("score"))
     return _top(scored, key, k)
 
@@ -94,7 +113,8 @@ def score_terms(index: DataFrame, asked: DataFrame, key: str, k: int = TOP_K) ->
 def search(documents: DataFrame, queries: DataFrame, key: str = "relative_path", k: int = TOP_K) -> DataFrame:
     """Top k documents per query (query_id, query_text) by lexical relevance over whole texts."""
     asked = query_terms(queries)
-    index = write_once(term_index(documents, key, asked.select("term").distinct()), "terms")
+    vocabulary = asked.select("term").distinct()
+    index = write_once(term_index(spread_if_few(documents, key), key, vocabulary), "terms")
     return score_terms(index, asked, key, k)
 
 

@@ -5,11 +5,14 @@ and one sort however many are stacked, and no join to bring them back together.
 
 Contract: one row per (asset, day), which the quality suite checks. An asset is then no
 longer than its calendar. For longer series, ``slice_series`` cuts every asset into
-overlapping slices first; the same functions then run on (asset, slice) partitions.
+overlapping slices first; the same functions then run on (asset, slice) partitions. The
+stored build measures the longest asset and slices by itself.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -51,6 +54,17 @@ class _Frames:
         return self.ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
 
 
+def by_asset(df: DataFrame) -> DataFrame:
+    """Rows of a series brought together, over all configured shuffle partitions.
+
+    Rolling frames cost far more time than bytes. The exchange a window adds by itself is merged
+    down by size to a few tasks on small histories; one with a given number is not.
+    """
+    keys = ["asset_key", SLICE] if SLICE in df.columns else ["asset_key"]
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, *keys)
+
+
 def with_returns(prices: DataFrame) -> DataFrame:
     w, price = _Frames(prices).ordered, F.col("price_for_returns")
     out = prices.withColumns(
@@ -113,42 +127,64 @@ def with_risk(prices: DataFrame) -> DataFrame:
     return with_drawdown(with_volatility(with_returns(prices)))
 
 
+def measure(prices: DataFrame, *steps: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Apply series steps to price rows, whole or sliced; slices lose their halo at the end."""
+    out = by_asset(prices)
+    for step in steps:
+        out = step(out)
+    return trim_halo(out) if SLICE in prices.columns else out
+
+
+def latest_rows(prices: DataFrame, rows: int = YEAR_ROWS) -> DataFrame:
+    """The newest rows of each asset: all that a figure as of its last day depends on.
+
+    The limit is applied inside each task before the exchange too.
+    """
+    newest = W.partitionBy("asset_key").orderBy(F.col("full_date").desc())
+    return prices.withColumn("_rn", F.row_number().over(newest)).filter(F.col("_rn") <= rows).drop("_rn")
+
+
 # --- models ---------------------------------------------------------------------------
 
 
 def int_asset_returns(prices: DataFrame) -> DataFrame:
-    return with_returns(prices).select(RETURN_COLUMNS)
+    return measure(prices, with_returns).select(RETURN_COLUMNS)
 
 
-def int_asset_volatility(returns: DataFrame) -> DataFrame:
-    return with_volatility(returns).select(
+def int_asset_volatility(prices: DataFrame) -> DataFrame:
+    return measure(prices, with_returns, with_volatility).select(
         "asset_key", "ticker", "date_key", "full_date", *VOLATILITY_COLUMNS
     )
 
 
-def int_asset_drawdown(returns: DataFrame) -> DataFrame:
-    return with_drawdown(returns).select(
+def int_asset_drawdown(prices: DataFrame) -> DataFrame:
+    return measure(prices, with_drawdown).select(
         "asset_key", "ticker", "date_key", "full_date", "price_for_returns", *DRAWDOWN_COLUMNS
     )
 
 
-def int_asset_trend_inputs(returns: DataFrame) -> DataFrame:
-    return with_trend(returns).select(
+def int_asset_trend_inputs(prices: DataFrame) -> DataFrame:
+    return measure(prices, with_trend).select(
         "asset_key", "ticker", "date_key", "full_date", "price_for_returns", *TREND_COLUMNS
     )
 
 
-def int_asset_risk_enriched(returns: DataFrame) -> DataFrame:
+def int_asset_risk_enriched(prices: DataFrame) -> DataFrame:
     """Returns with the risk measures beside them.
 
     The measures are windows over the same rows, so they are added in place; joining three
     separately computed tables on (asset, day) would give the same rows with more exchanges.
     """
-    return with_drawdown(with_volatility(returns)).select(
+    return measure(prices, with_risk).select(
         *RETURN_COLUMNS, *VOLATILITY_COLUMNS, "drawdown_52w", "drawdown_since_inception"
     )
 
 
+def risk_and_trend(prices: DataFrame) -> DataFrame:
+    """Every series measure in one pass."""
+    return measure(prices, with_risk, with_trend)
+
+
 # --- slicing of long series -------------------------------------------------------------
 
 
@@ -196,10 +232,3 @@ def longest_series(prices: DataFrame) -> int:
     """Rows of the longest asset (an action): decides whether slicing is worth its extra pass."""
     row = prices.groupBy("asset_key").count().agg(F.max("count").alias("n")).first()
     return int(row["n"] or 0)
-
-
-def risk_and_trend(prices: DataFrame, slice_rows: int | None = None) -> DataFrame:
-    """Every series measure in one pass, optionally sliced."""
-    if slice_rows is None:
-        return with_trend(with_risk(prices))
-    return trim_halo(with_trend(with_risk(slice_series(prices, slice_rows))))

@@ -21,6 +21,8 @@ from folioloom.sources.store import Store
 
 # Fixed value: models built at the same time.
 BUILD_THREADS = 10
+# Rows of one asset above which the stored build slices the series: a century of days fits.
+LONGEST_SERIES = 50_000
 
 Builder = Callable[["Models"], DataFrame]
 MODELS: dict[str, tuple[str, Builder]] = {}
@@ -38,10 +40,12 @@ class Models:
         raw: Mapping[str, Callable[[], DataFrame]],
         regime_tickers: Mapping[str, str] = marts.REGIME_TICKERS,
         store: Store | None = None,
+        longest_series: int = LONGEST_SERIES,
     ):
         self.raw_tables, self.regime_tickers, self.store = raw, regime_tickers, store
+        self.longest_series = longest_series
         self._made: dict[str, DataFrame] = {}
-        names = [*MODELS, *(f"raw.{r}" for r in raw), "correlations"]
+        names = [*MODELS, *(f"raw.{r}" for r in raw), "correlations", "series_prices"]
         self._locks = {n: Lock() for n in names}
 
     def raw(self, name: str) -> DataFrame:
@@ -70,9 +74,24 @@ class Models:
         with ThreadPoolExecutor(threads) as pool:
             return dict(zip(wanted, pool.map(self.__getitem__, wanted), strict=True))
 
+    @property
+    def series_prices(self) -> DataFrame:
+        """Price rows for the series measures, cut into slices when an asset is too long for a task.
+
+        Only the stored build measures that, where a count per asset reads one column.
+        """
+
+        def make() -> DataFrame:
+            prices = self["stg_asset_prices"]
+            if self.store is None or series.longest_series(prices) <= self.longest_series:
+                return prices
+            return write_once(series.slice_series(prices, self.longest_series), "slices")
+
+        return self._once("series_prices", make)
+
     @property
     def fund_prices(self) -> DataFrame:
-        return marts.only_funds(self["stg_asset_prices"], self["dim_etf_profile"])
+        return marts.only_funds(self.series_prices, self["dim_etf_profile"])
 
     @property
     def fund_star(self) -> DataFrame:
@@ -116,21 +135,21 @@ for _name, _build in {
     "dim_asset": lambda m: dim.dim_asset(m["stg_asset_master"], m["stg_asset_prices"]),
     "dim_date": lambda m: dim.dim_date(m["stg_asset_prices"]),
     "dim_asset_classification": lambda m: dim.dim_asset_classification(
-        m["stg_asset_master"], series.risk_and_trend(m["stg_asset_prices"])
+        m["stg_asset_master"], series.risk_and_trend(series.latest_rows(m["stg_asset_prices"]))
     ),
     "dim_etf_profile": lambda m: dim.dim_etf_profile(m["stg_etf_metadata"]),
 }.items():
     _model("dimensions", _name, _build)
 
 for _name, _build in {
-    "int_asset_returns": lambda m: series.int_asset_returns(m["stg_asset_prices"]),
-    "int_asset_volatility": lambda m: series.int_asset_volatility(m["int_asset_returns"]),
-    "int_asset_drawdown": lambda m: series.int_asset_drawdown(m["int_asset_returns"]),
-    "int_asset_trend_inputs": lambda m: series.int_asset_trend_inputs(m["int_asset_returns"]),
+    "int_asset_returns": lambda m: series.int_asset_returns(m.series_prices),
+    "int_asset_volatility": lambda m: series.int_asset_volatility(m.series_prices),
+    "int_asset_drawdown": lambda m: series.int_asset_drawdown(m.series_prices),
+    "int_asset_trend_inputs": lambda m: series.int_asset_trend_inputs(m.series_prices),
     "int_asset_pair_returns": lambda m: pairs.int_asset_pair_returns(m["int_asset_returns"]),
     "int_asset_correlation_30d": lambda m: pairs.correlation_model(m.correlations, 30),
     "int_asset_correlation_90d": lambda m: pairs.correlation_model(m.correlations, 90),
-    "int_asset_risk_enriched": lambda m: series.int_asset_risk_enriched(m["int_asset_returns"]),
+    "int_asset_risk_enriched": lambda m: series.int_asset_risk_enriched(m.series_prices),
 }.items():
     _model("int", _name, _build)
 
@@ -149,12 +168,12 @@ for _name, _build in {
     ),
     "fact_asset_price_daily": lambda m: marts.fact_asset_price_daily(m["stg_asset_prices"]),
     "fact_etf_daily": lambda m: marts.fact_etf_daily(m.fund_prices, m["dim_etf_profile"]),
-    "mart_asset_returns": lambda m: marts.mart_asset_returns(m["stg_asset_prices"]),
-    "mart_asset_risk": lambda m: marts.mart_asset_risk(m["stg_asset_prices"]),
-    "mart_asset_trend": lambda m: marts.mart_asset_trend(m["stg_asset_prices"]),
-    "mart_asset_moves": lambda m: marts.mart_asset_moves(m["stg_asset_prices"]),
-    "mart_fx_intelligence": lambda m: marts.mart_fx_intelligence(m["stg_asset_prices"]),
-    "mart_market_regime": lambda m: marts.mart_market_regime(m["stg_asset_prices"], m.regime_tickers),
+    "mart_asset_returns": lambda m: marts.mart_asset_returns(m.series_prices),
+    "mart_asset_risk": lambda m: marts.mart_asset_risk(m.series_prices),
+    "mart_asset_trend": lambda m: marts.mart_asset_trend(m.series_prices),
+    "mart_asset_moves": lambda m: marts.mart_asset_moves(m.series_prices),
+    "mart_fx_intelligence": lambda m: marts.mart_fx_intelligence(m.series_prices),
+    "mart_market_regime": lambda m: marts.mart_market_regime(m.series_prices, m.regime_tickers),
     "mart_etf_overlap": lambda m: pairs.mart_etf_overlap(
         m["stg_etf_sector"], m["stg_etf_geography"], m["stg_asset_master"]
     ),

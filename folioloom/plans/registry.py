@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioloom.operators import analyst, pairs, quality, search, series, star
+from folioloom.operators import analyst, quality, search, series, star
 from folioloom.operators import dimensions as dim
 from folioloom.plans import checks
 from folioloom.plans.catalog import EXPORTS, MODELS, Models
@@ -116,7 +116,7 @@ def d13_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 def r05_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The series measures over slices shorter than an asset's history."""
     prices = write_once(models(spark, sf_dir)["stg_asset_prices"], "prices")
-    measured = series.risk_and_trend(prices, slice_rows=300)
+    measured = series.risk_and_trend(series.slice_series(prices, 300))
     kept = ["asset_key", "date_key", "return_1y", *series.VOLATILITY_COLUMNS, *series.DRAWDOWN_COLUMNS]
     return comparable(measured.select(*kept, *series.TREND_COLUMNS))
 
@@ -517,8 +517,3 @@ def queries() -> dict[str, Query]:
         "f05_corpus_listing": lambda s, d: search.corpus_listing(documents(s, d)),
     }
     return out
-
-
-def shared_correlations(m: Models) -> DataFrame:
-    """Both spans as one table (used by the benchmark)."""
-    return pairs.latest_correlations(m["int_asset_returns"])

@@ -50,3 +50,13 @@ def write_once(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread_if_few(df: DataFrame, key: str) -> DataFrame:
+    """``df`` over all cores when it comes in fewer splits than that, else unchanged.
+
+    For CPU-heavy row work on a plain scan: one unsplittable file would be a single task. Large
+    inputs have more splits than cores and are never exchanged for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

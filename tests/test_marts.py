@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from folioloom.operators import marts
+from folioloom.operators import marts, series
 from folioloom.operators.ranking import position_in_group
 
 
@@ -114,3 +114,11 @@ def test_report_keeps_funds_without_provider(spark, series_of):
     rows = marts.daily_prices(series_of({"A": [1, 2], "B": [1, 1]}), star).orderBy("full_date").collect()
     assert [(r.ticker, r.index_name, r.provider_name) for r in rows] == [("A", "Index", None)] * 2
     assert rows[0].full_date == dt.date(2020, 1, 1)
+
+
+def test_marts_of_slices_equal_marts_of_whole_series(series_of):
+    rng = random.Random(6)
+    prices = series_of({t: [10 + rng.random() for _ in range(700)] for t in "AB"}, {"B": "FX"})
+    sliced = series.slice_series(prices, 260)
+    for mart in (marts.mart_asset_returns, marts.mart_asset_risk, marts.mart_fx_intelligence, marts.mart_market_regime):
+        assert sorted(map(str, mart(prices).collect())) == sorted(map(str, mart(sliced).collect()))

@@ -71,7 +71,7 @@ def test_slices_give_the_same_rows(series_of, slice_rows):
     a = [None if rng.random() < 0.3 else 10 + rng.random() for _ in range(1500)]
     prices = series_of({"A": a, "B": [5 + rng.random() for _ in range(504)], "C": [1.0]})
     whole = series.risk_and_trend(prices)
-    sliced = series.risk_and_trend(prices, slice_rows)
+    sliced = series.risk_and_trend(series.slice_series(prices, slice_rows))
     assert sorted(whole.columns) == sorted(sliced.columns)
     names = whole.columns
     left = sorted(map(str, whole.select(names).collect()))
@@ -100,3 +100,19 @@ def test_partition_count_does_not_change_results(spark, series_of):
     one = sorted(map(str, series.risk_and_trend(prices.coalesce(1)).select(*columns).collect()))
     many = sorted(map(str, series.risk_and_trend(prices.repartition(13)).select(*columns).collect()))
     assert one == many
+
+
+def test_figures_of_the_last_day_need_only_the_latest_rows(series_of):
+    rng = random.Random(8)
+    prices = series_of({"A": [10 + rng.random() for _ in range(400)], "B": [3, 4, 5]})
+    columns = ["volatility_30d", "drawdown_52w", "sma_200", "trend_label"]
+
+    def last(df):
+        return {
+            r.asset_key: tuple(r.v)
+            for r in df.groupBy("asset_key").agg(F.max_by(F.struct(*columns), "full_date").alias("v")).collect()
+        }
+
+    cut = series.latest_rows(prices)
+    assert cut.count() == 252 + 3
+    assert last(series.risk_and_trend(cut)) == last(series.risk_and_trend(prices))
