@@ -19,6 +19,8 @@ from folioloom.operators import staging as stg
 from folioloom.session import write_once
 from folioloom.sources.store import Store
 
+# Asset and fund tables that many branches of a star question start from.
+UNIVERSE = ("stg_asset_master", "stg_etf_metadata")
 # Fixed value: models built at the same time.
 BUILD_THREADS = 10
 # Rows of one asset above which the stored build slices the series: a century of days fits.
@@ -33,7 +35,11 @@ def _model(layer: str, name: str, build: Builder) -> None:
 
 
 class Models:
-    """Named models over raw tables; ``raw`` maps a raw table name to a function that returns it."""
+    """Named models over raw tables; ``raw`` maps a raw table name to a function that returns it.
+
+    ``share_universe`` stores the asset and fund universe of an otherwise lazy plan: a question
+    over a star reaches it through many branches, which then scan one small file of known size.
+    """
 
     def __init__(
         self,
@@ -41,8 +47,10 @@ class Models:
         regime_tickers: Mapping[str, str] = marts.REGIME_TICKERS,
         store: Store | None = None,
         longest_series: int = LONGEST_SERIES,
+        share_universe: bool = False,
     ):
         self.raw_tables, self.regime_tickers, self.store = raw, regime_tickers, store
+        self.share_universe = share_universe
         self.longest_series = longest_series
         self._made: dict[str, DataFrame] = {}
         names = [*MODELS, *(f"raw.{r}" for r in raw), "correlations", "series_prices"]
@@ -65,7 +73,7 @@ class Models:
         layer, build = MODELS[name]
         df = build(self)
         if self.store is None:
-            return df
+            return write_once(df, name) if self.share_universe and name in UNIVERSE else df
         return self.store.write(layer, name, df)
 
     def build(self, names: Iterable[str] | None = None, threads: int = BUILD_THREADS) -> dict[str, DataFrame]:

@@ -43,19 +43,22 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.round(c, p) for c, p in rounded.items()})
 
 
-def models(spark: SparkSession, sf_dir: str, at: store.Store | None = None) -> Models:
+def models(spark: SparkSession, sf_dir: str, at: store.Store | None = None, share: bool = False) -> Models:
     raw = {name: (lambda f=f: f(spark, sf_dir)) for name, f in tpch.RAW.items()}
-    return Models(raw, tpch.REGIME_TICKERS, at)
+    return Models(raw, tpch.REGIME_TICKERS, at, share_universe=share)
 
 
 def _of_model(name: str) -> Query:
-    return lambda spark, sf_dir: comparable(models(spark, sf_dir)[name])
+    return lambda spark, sf_dir: comparable(models(spark, sf_dir, share=name in FUND_REPORTS)[name])
 
 
-def _of(build: Callable[[Models], DataFrame]) -> Query:
-    return lambda spark, sf_dir: comparable(build(models(spark, sf_dir)))
+def _of(build: Callable[[Models], DataFrame], share: bool = False) -> Query:
+    return lambda spark, sf_dir: comparable(build(models(spark, sf_dir, share=share)))
 
 
+# models whose plans reach the fund universe through many branches
+FUND_REPORTS = ("daily_prices",)
+
 # --- models by inventory key ----------------------------------------------------------------
 
 MODEL_KEYS = {
@@ -344,7 +347,7 @@ class StarTables(Mapping):
 
 
 def _star(which: star.Star, metrics: list[str], dims: list[str], **where) -> Query:
-    return _of(lambda m: star.query(which, StarTables(m), metrics, dims, **where))
+    return _of(lambda m: star.query(which, StarTables(m), metrics, dims, **where), share=True)
 
 
 def _fund_metrics() -> list[str]:
