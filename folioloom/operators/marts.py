@@ -103,7 +103,7 @@ def mart_asset_moves(prices: DataFrame) -> DataFrame:
     )
     size = F.col("abs_return_1d")
     buckets = [
-        -F.least(F.floor(size * 200), F.lit(200)),
+        -F.floor(F.least(size, F.lit(1.0)) * 200),
         F.when(size == 0, F.substring("ticker", 1, 1)).otherwise(""),
     ]
     ranked = position_in_group(moved, ["full_date"], buckets, [size.desc(), F.col("ticker")], "move_rank")
@@ -192,7 +192,7 @@ def mart_fee_benchmarks(profile: DataFrame, assets: DataFrame, groups: DataFrame
         .join(groups.select("equivalence_group_code", "equivalence_group_name"), "equivalence_group_code", "left")
     )
     fee_bucket = F.when(ter.isNull(), F.lit(2_000_001)).otherwise(
-        F.greatest(F.least(F.floor(ter * 100), F.lit(2_000_000)), F.lit(-1))
+        F.floor(F.greatest(F.least(ter, F.lit(20_000.0)), F.lit(-0.01)) * 100)
     )
     ranked = position_in_group(
         funds, ["equivalence_group_code"], [fee_bucket], [ter.asc_nulls_last()], "pos", ties="rank"
