@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioloom.llm import compression_bands, feistel, quality_model, token_store
+from folioloom.llm import compression_bands, curriculum, decontam, feistel, line_windows, quality_model, token_store
 from folioloom.llm.frames import bytes_of, crc_of, table
 from folioloom.session import scratch_path
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_windows.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality_model.from_labels(docs, table(spark, sf_dir, "labels"))
@@ -35,19 +40,33 @@ def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sized = docs.select("doc_id", "source", curriculum.size_of(F.col("text")).alias("size"))
+    return curriculum.plan_copies(sized).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-blocks")
     token_store.write(table(spark, sf_dir, "documents"), path)
     return token_store.digest(token_store.read(spark, path))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.judge(docs, table(spark, sf_dir, "benchmark")).drop("text")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_bands.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+QUERIES = (op2_line_dedup, op3_quality, op4_shards, op6_mixing, op8_tokens, op9_decontamination, op10_quality_rules)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_quality, op4_shards, op8_tokens, op10_quality_rules)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_line_dedup": line_windows.SQL, "op6_mixing": curriculum.SQL, "op9_decontamination": decontam.SQL}
