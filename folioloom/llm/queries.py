@@ -7,11 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioloom.llm import compression_bands, curriculum, decontam, feistel, line_windows, quality_model, token_store
+from folioloom.llm import compression_bands, curriculum, decontam, feistel, line_windows, quality_model, token_store, url_cascade
 from folioloom.llm.frames import bytes_of, crc_of, table
 from folioloom.session import scratch_path
 
 
+#: The rules, and host name parts whose addresses are listed.
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+LISTED_HOST_PARTS = ["ads", "adult", "bets", "casino", "pills", "spam"]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    rules = [url_cascade.Rule(*r) for r in URL_RULES]
+    return url_cascade.judge(pages, rules, url_cascade.addresses_of_hosts(pages, LISTED_HOST_PARTS))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = line_windows.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return left.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -61,7 +72,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_bands.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = (op2_line_dedup, op3_quality, op4_shards, op6_mixing, op8_tokens, op9_decontamination, op10_quality_rules)
+QUERIES = (op1_url_filter, op2_line_dedup, op3_quality, op4_shards, op6_mixing, op8_tokens, op9_decontamination, op10_quality_rules)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -69,4 +80,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": line_windows.SQL, "op6_mixing": curriculum.SQL, "op9_decontamination": decontam.SQL}
+    return {"op1_url_filter": url_cascade.SQL, "op2_line_dedup": line_windows.SQL, "op6_mixing": curriculum.SQL, "op9_decontamination": decontam.SQL}
