@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,18 +41,19 @@ LENGTHS = np.array([[1 + (c >> 2 * i & 3) for i in range(4)] for c in range(256)
 
 def pack(ids: np.ndarray, per_document: np.ndarray) -> bytes:
     """Image of one block."""
-    distinct, code, count = np.unique(ids, return_inverse=True, return_counts=True)
-    by_rank = np.lexsort((distinct, -count))
-    rank_of = np.empty(len(distinct), np.uint32)
-    rank_of[by_rank] = np.arange(len(distinct), dtype=np.uint32)
-    ranks = rank_of[code].astype("<u4")
-    length = 1 + (ranks > 0xFF) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
+    count = np.bincount(ids) if len(ids) else np.zeros(0, np.int64)
+    distinct = np.flatnonzero(count)
+    table = distinct[np.lexsort((distinct, -count[distinct]))]
+    rank_of = np.zeros(len(count), "<u4")
+    rank_of[table] = np.arange(len(table))
+    ranks = rank_of[ids]
+    length = 1 + (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
     data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4) < length[:, None]]
     two_bits = np.zeros(-(-len(ids) // 4) * 4, np.uint8)
     two_bits[: len(ids)] = length - 1
     control = (two_bits.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
     head = np.array([len(per_document), len(ids), len(distinct), len(data)], "<u4")
-    table = distinct[by_rank].astype("<u4")
+    table = table.astype("<u4")
     return b"".join([MAGIC, *(x.tobytes() for x in (head, table, np.asarray(per_document).astype("<u4"), control, data))])
 
 
@@ -98,11 +100,13 @@ def word_local(config: dict) -> bool:
     )
 
 
+@lru_cache(maxsize=2)
 def encoder(path: str) -> Callable[[bytes], bytes]:
-    """From UTF-8 text to little-endian uint32 ids, without the end id.
+    """From UTF-8 text to little-endian uint32 ids, without the end id; kept for the worker's later tasks.
 
-    Words repeat, so with a word-local vocabulary each is encoded once and then looked up; the table
-    starts anew when it is full. Other vocabularies get the whole text.
+    Words repeat, so with a word-local vocabulary each is encoded once and then looked up. The
+    table has a bound: when it is full, only words that were met again since the last time stay.
+    Other vocabularies get the whole text.
     """
     from tokenizers import Tokenizer
 
@@ -119,29 +123,35 @@ def encoder(path: str) -> Callable[[bytes], bytes]:
     mark = "~"
     marked = tokenizer.encode(mark, add_special_tokens=False).ids
     known: dict[bytes, bytes] = {}
+    again: set[bytes] = set()
 
     def learn(new: list[bytes]) -> None:
         texts = [w.decode("utf-8", "replace") for w in new]
         plain = [i for i, t in enumerate(texts) if mark not in t] if len(marked) == 1 else []
         if plain:
-            # one call for all: a mark between words, which no word holds, tells their ids apart
-            ids = tokenizer.encode(f" {mark} ".join(texts[i] for i in plain), add_special_tokens=False).ids
-            ids = np.array(ids, "<u4")
-            parts = np.split(ids, np.flatnonzero(ids == marked[0]))
-            for k, (i, part) in enumerate(zip(plain, parts, strict=True)):
-                known[new[i]] = part[k > 0 :].tobytes()
-        for i in set(range(len(new))) - set(plain):
+            # one call for all: a mark after each word, which no word holds, tells their ids apart
+            joined = f" {mark} ".join([texts[i] for i in plain] + [""])
+            ids = np.array(tokenizer.encode(joined, add_special_tokens=False).ids, "<u4")
+            raw, first = ids.tobytes(), 0
+            for i, end in zip(plain, (4 * np.flatnonzero(ids == marked[0])).tolist(), strict=True):
+                known[new[i]] = raw[first:end]
+                first = end + 4
+        for i in set(range(len(new))).difference(plain):
             known[new[i]] = whole(texts[i])
 
     def encode(text: bytes) -> bytes:
         words = text.split()  # exactly \x20 and \x09 to \x0d
-        new = [w for w in set(words) if w not in known]
+        distinct = set(words)
+        new = distinct.difference(known)
         if new:
             if len(known) + len(new) > CACHED_WORDS:
+                keep = {w: known[w] for w in again | (distinct - new)}
                 known.clear()
-                new = list(set(words))
-            learn(new)
-        return b"".join([known[w] for w in words])
+                known.update(keep if len(keep) < CACHED_WORDS // 2 else {w: keep[w] for w in distinct - new})
+                again.clear()
+            learn(list(new))
+        again.update(distinct - new)
+        return b"".join(map(known.__getitem__, words))
 
     return encode
 
