@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioloom.llm import compression_bands, curriculum, decontam, feistel, line_windows, quality_model, token_store, url_cascade
+from folioloom.llm import chosen_path, compression_bands, curriculum, decontam, feistel, line_windows, quality_model, token_store, url_cascade
 from folioloom.llm.frames import bytes_of, crc_of, table
 from folioloom.session import scratch_path
 
@@ -57,6 +57,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.plan_copies(sized).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("hash")
+
+
 def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-blocks")
     token_store.write(table(spark, sf_dir, "documents"), path)
@@ -72,7 +76,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_bands.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = (op1_url_filter, op2_line_dedup, op3_quality, op4_shards, op6_mixing, op8_tokens, op9_decontamination, op10_quality_rules)
+QUERIES = (op1_url_filter, op2_line_dedup, op3_quality, op4_shards, op6_mixing, op7_near_duplicates, op8_tokens, op9_decontamination, op10_quality_rules)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
