@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioloom.llm import chosen_path, compression_bands, curriculum, decontam, feistel, line_windows, quality_model, token_store, url_cascade
+from folioloom.llm import chosen_path, compression_bands, curriculum, decontam, feistel, line_windows, quality_model, substring, token_store, url_cascade
 from folioloom.llm.frames import bytes_of, crc_of, table
 from folioloom.session import scratch_path
 
@@ -51,6 +51,10 @@ def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     sized = docs.select("doc_id", "source", curriculum.size_of(F.col("text")).alias("size"))
@@ -76,7 +80,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_bands.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = (op1_url_filter, op2_line_dedup, op3_quality, op4_shards, op6_mixing, op7_near_duplicates, op8_tokens, op9_decontamination, op10_quality_rules)
+QUERIES = (op1_url_filter, op2_line_dedup, op3_quality, op4_shards, op5_substrings, op6_mixing, op7_near_duplicates, op8_tokens, op9_decontamination, op10_quality_rules)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -84,4 +88,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": url_cascade.SQL, "op2_line_dedup": line_windows.SQL, "op6_mixing": curriculum.SQL, "op9_decontamination": decontam.SQL}
+    return {"op1_url_filter": url_cascade.SQL, "op2_line_dedup": line_windows.SQL, "op5_substrings": substring.SQL, "op6_mixing": curriculum.SQL, "op9_decontamination": decontam.SQL}
