@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioloom.llm import feistel, quality_model
+from folioloom.llm import chosen_path, curriculum, decontam, feistel, quality_model
 from folioloom.llm.frames import table
 from folioloom.session import write_once
 
@@ -13,9 +13,26 @@ QUALITY_THRESHOLD = 0.7
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts."""
+    """Documents that the classifier accepts; it learns from the labels of these documents."""
     model = quality_model.from_labels(docs, table(spark, sf_dir, "labels"))
-    return quality_model.score(docs, model, name="_score").filter(F.col("_score") >= QUALITY_THRESHOLD).drop("_score")
+    scored = quality_model.score(docs, model, name="_score")
+    return scored.filter(F.col("_score") >= QUALITY_THRESHOLD).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return chosen_path.one_of_each(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by the benchmark."""
+    judged = decontam.judge(docs, table(spark, sf_dir, "benchmark"))
+    return judged.filter(~F.col("contaminated")).select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Copies of documents as the mix takes them, in order of their training position."""
+    return curriculum.mix(docs).select(*docs.columns)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +40,13 @@ def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return feistel.shard_documents(docs)
 
 
-STAGES = [("quality", quality), ("shards", shards)]
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontaminate", decontaminate),
+    ("mix", mix),
+    ("shards", shards),
+]
 
 #: The classifier and the near-duplicate join have no SQL form.
 ORACLE_SQL = None

@@ -336,15 +336,37 @@ def link(docs: DataFrame, classes: DataFrame, s: Settings) -> DataFrame | None:
 
 
 def dedup(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """(doc_id, hash, n_shingles, component_id, kept), one row per row of ``docs``; hash is xxhash64 of the text."""
+    """(doc_id, hash, component, n_shingles, component_id, kept), one row per row of ``docs``.
+
+    ``hash`` is xxhash64 of the text; ``component`` tells components apart where ids repeat, null for empty sets.
+    """
     signed, classes = classes_of(docs, s)
     comps = link(docs, classes, s)
-    labelled = with_comp(classes.select("n", "s1", "s2", "cid", "rep_id"), comps, "cid", "comp")
-    low = labelled.groupBy("comp").agg(F.min("rep_id").alias("component_id"))
-    known = labelled.join(low, "comp").select("n", "s1", "s2", "component_id")
-    filled = signed.filter("n > 0").join(known, ["n", "s1", "s2"]).select("doc_id", "hash", "n", "component_id")
-    empty = signed.filter("n = 0").select("doc_id", "hash", "n", F.col("doc_id").alias("component_id"))
+    labelled = with_comp(classes.select("n", "s1", "s2", "cid", "rep_id"), comps, "cid", "component")
+    low = labelled.groupBy("component").agg(F.min("rep_id").alias("component_id"))
+    known = labelled.join(low, "component").select("n", "s1", "s2", "component", "component_id")
+    filled = signed.filter("n > 0").join(known, ["n", "s1", "s2"])
+    filled = filled.select("doc_id", "hash", "component", "n", "component_id")
+    none = F.lit(None).cast("bigint").alias("component")
+    empty = signed.filter("n = 0").select("doc_id", "hash", none, "n", F.col("doc_id").alias("component_id"))
     return filled.union(empty).select(
-        "doc_id", "hash", F.col("n").alias("n_shingles"), "component_id",
+        "doc_id", "hash", "component", F.col("n").alias("n_shingles"), "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
+
+
+def one_of_each(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """``docs`` with one row left of each component, the smallest id (nulls last), then text hash.
+
+    Rows without shingles all stay.
+    """
+    judged = dedup(docs, s)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")).alias("first")
+    picked = judged.filter("component is not null").groupBy("component").agg(first)
+    picked = picked.select(F.col("first.doc_id").alias("_id"), F.col("first.hash").alias("_hash"))
+    empty = judged.filter("component is null").select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"))
+    # rows travel packed, so that their column names meet no others
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", F.xxhash64("text").alias("_h"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_hash"))
+    full = rows.join(picked, same).dropDuplicates(["_id", "_hash"])
+    return full.select("_row.*").union(rows.join(empty.distinct(), same, "left_semi").select("_row.*"))

@@ -134,10 +134,11 @@ def plan_copies(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
 
 
 def mix(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
-    """Taken copies of whole documents with ``position``, range-sorted by it."""
-    sized = docs.drop("size", "position").withColumn("size", size_of(F.col("text")))
-    planned = plan_copies(sized, plan)
-    out = planned.select(*docs.drop("position").columns, F.explode("positions").alias("position"))
+    """Taken copies of whole documents with ``position`` (replaced if there), range-sorted by it."""
+    row = F.struct(*docs.drop("position").columns).alias("_row")
+    sized = docs.select(row, "doc_id", "source", size_of(F.col("text")).alias("size"))
+    taken = plan_copies(sized, plan).select("_row", F.explode("positions").alias("position"))
+    out = taken.select("_row.*", "position")
     return out.repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id")
 
 

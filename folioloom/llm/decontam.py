@@ -136,29 +136,33 @@ def judge(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: int =
     hit = spans.groupBy(*DOC).agg(F.sum("_add").alias("_hit"))
     in_doc = proven.select(*DOC, "wid").distinct().join(named, "wid").select(*DOC, "item").distinct()
     listed = in_doc.groupBy(*DOC).agg(F.sort_array(F.collect_set("item")).alias("_items"))
-    result = hit.join(listed.select(*[F.col(c).alias("r" + c) for c in DOC], "_items"),
-                      F.col("_id").eqNullSafe(F.col("r_id")) & (F.col("_hash") == F.col("r_hash"))
-                      & (F.col("_bytes") == F.col("r_bytes"))).select(*DOC, "_hit", "_items")
+    other = ["_id2", "_hash2", "_bytes2"]
+    listed = listed.select(*[F.col(c).alias(o) for c, o in zip(DOC, other, strict=True)], "_items")
+    result = hit.join(listed, same_document(*DOC, *other)).select(*DOC, "_hit", "_items")
     out = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    # the row travels packed, so that its column names meet no others
     mine = docs.select(
-        *[c for c in docs.columns if c.lower() not in out],
+        F.struct(*[c for c in docs.columns if c.lower() not in out]).alias("_row"),
+        "doc_id",
         n_words_of(F.col("text")).alias("n_words"),
         F.xxhash64("text").alias("_h"),
         F.octet_length("text").alias("_b"),
     )
-    both = mine.join(
-        result, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_hash")) & (F.col("_b") == F.col("_bytes")), "left"
-    )
+    both = mine.join(result, same_document("doc_id", "_h", "_b", *DOC), "left")
     n_hit = F.coalesce("_hit", F.lit(0)).cast("bigint")
     ids = F.coalesce("_items", F.array().cast("array<string>"))
-    return both.withColumns(
-        {
-            "n_hit": n_hit,
-            "n_items": F.size(ids).cast("bigint"),
-            "items_sha256": F.sha2(F.concat_ws(",", ids), 256),
-            "contaminated": (n_hit > 0) & (share * n_hit >= F.col("n_words")),
-        }
-    ).drop("_h", "_b", *DOC, "_hit", "_items")
+    return both.select(
+        "_row.*",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size(ids).cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", ids), 256).alias("items_sha256"),
+        ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated"),
+    )
+
+
+def same_document(a: str, b: str, c: str, x: str, y: str, z: str) -> Column:
+    return F.col(a).eqNullSafe(F.col(x)) & (F.col(b) == F.col(y)) & (F.col(c) == F.col(z))
 
 
 SQL = r"""

@@ -58,18 +58,20 @@ def dedup(docs: DataFrame, lines: int = LINES) -> DataFrame:
         F.col("_doc.doc_id").alias("_id"), F.col("_doc.hash").alias("_hash"), F.col("_starts")
     )
     keep = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
-    both = docs.select(*keep).join(
-        starts, docs["doc_id"].eqNullSafe(starts["_id"]) & (F.xxhash64(docs["text"]) == starts["_hash"]), "left"
+    # the row travels packed, so that its column names meet no others
+    rows = docs.select(F.struct(*keep).alias("_row"), "doc_id", F.xxhash64("text").alias("_h"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_hash"))
+    text = F.col("_row.text")
+    gone = F.flatten(F.transform("_starts", lambda s: F.sequence(s, s + lines - 1)))
+    both = rows.join(starts, same, "left").select(
+        "_row",
+        F.coalesce(F.split(text, "\n", -1), F.array().cast("array<string>")).alias("_lines"),
+        F.array_distinct(F.coalesce(gone, F.array().cast("array<int>"))).alias("_gone"),
     )
-    all_lines = F.coalesce(F.split("text", "\n", -1), F.array().cast("array<string>"))
-    gone = F.array_distinct(
-        F.flatten(F.transform(F.coalesce("_starts", F.array().cast("array<int>")), lambda s: F.sequence(s, s + lines - 1)))
-    )
-    both = both.withColumns({"_lines": all_lines, "_gone": gone})
     left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
-    kept = F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n")
+    kept = F.when(F.size("_gone") > 0, F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n")).otherwise(text)
     return both.select(
-        *[F.when(F.size("_gone") > 0, kept).otherwise(F.col("text")).alias("text") if c == "text" else c for c in keep],
+        *[kept.alias("text") if c == "text" else F.col("_row")[c].alias(c) for c in keep],
         F.size("_lines").cast("bigint").alias("n_lines"),
         F.size("_gone").cast("bigint").alias("n_removed"),
     )

@@ -62,7 +62,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chosen_path.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("hash")
+    return chosen_path.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("hash", "component")
 
 
 def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -189,10 +189,15 @@ def dedup(docs: DataFrame, s: Settings = Settings(), keep_text: bool = True) ->
     known = firsts.join(starts, "th", "left").select(F.col("th").alias("_th"), "first_d", "starts")
     result = ["n_words", "n_removed", "kept_sha256", "kept_text"]
     keep = [c for c in docs.columns if c != "text" and c.lower() not in result]
-    mine = docs.select(*keep, F.xxhash64("text").alias("_h"), F.col("text").cast("binary").alias("_raw"))
-    copy = F.coalesce(id_of(F.col("doc_id")) > F.col("first_d"), F.lit(False))
+    # the row travels packed, so that its column names meet no others
+    mine = docs.select(
+        F.struct(*keep).alias("_row"), id_of(F.col("doc_id")).alias("_d"),
+        F.xxhash64("text").alias("_h"), F.col("text").cast("binary").alias("_raw"),
+    )
+    copy = F.coalesce(F.col("_d") > F.col("first_d"), F.lit(False))
     both = mine.join(known, (F.col("_h") == F.col("_th")) & F.col("_raw").isNotNull(), "left")
-    both = both.select(*keep, "_raw", copy.alias("_copy"), F.when(~copy, F.col("starts")).alias("_starts"))
+    own = [F.col("_row")[c].alias(c) for c in keep]
+    both = both.select(*own, F.col("_raw"), copy.alias("_copy"), F.when(~copy, F.col("starts")).alias("_starts"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(keep).schema.fields)
     k = len(keep)
 
