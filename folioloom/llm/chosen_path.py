@@ -210,7 +210,7 @@ def in_blocks(members: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     majors = F.transform(F.sequence(F.lit(0), F.col("nr") - 1), lambda j: F.concat_ws("m", j, "own"))
     dealt = part.select("node", "cid", "comp", F.explode(F.when(F.col("major"), majors).otherwise(rest)).alias("pair"))
 
-    def run(key, group: pd.DataFrame) -> pd.DataFrame:
+    def run(group: pd.DataFrame) -> pd.DataFrame:
         return links_of(group, s)
 
     return dealt.join(texts, "cid").groupBy("node", "pair").applyInPandas(run, "a bigint, b bigint").distinct()

@@ -24,12 +24,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioloom.llm import fm_index, words
+from folioloom.llm.frames import fresh
 from folioloom.session import write_once
 
 LAST = (1 << 63) - 1
@@ -141,20 +141,23 @@ def tagged(lists: pa.Array) -> np.ndarray:
     return words.mix(values.view(np.uint64) + row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def search(group: pd.DataFrame, s: Settings) -> pd.DataFrame:
+def search(group: pa.Table, s: Settings) -> pa.Table:
     """Index the distinct segments of a shard, stream them, and give each window its smallest document."""
-    contents = group["content"].tolist()
-    lengths = np.array([len(x) // 8 for x in contents], np.int64)
-    _, code = np.unique(np.frombuffer(b"".join(contents), np.uint64), return_inverse=True)
+    buf, at = words.column(group.column("content"))
+    lengths = np.diff(at) // 8
+    _, code = np.unique(np.frombuffer(buf[at[0] : at[-1]].tobytes(), np.uint64), return_inverse=True)
     index = fm_index.Index(code + 1, lengths)
     first, low, high = fm_index.matching(index, s.window)
-    least = fm_index.smallest(index, group["d"].to_numpy(), first, low, high)
-    per = np.split(least, np.cumsum(np.maximum(lengths - s.window + 1, 0))[:-1])
-    d, met = group["d"].to_numpy(), group["met"].to_numpy()
-    useful = [i for i in range(len(per)) if met[i] > 1 or (per[i] < d[i]).any()]
-    return pd.DataFrame(
-        {"key": group["key"].to_numpy()[useful], "sid": group["sid"].to_numpy()[useful], "least": [per[i] for i in useful]}
-    )
+    d, met = group.column("d").to_numpy(), group.column("met").to_numpy()
+    least = fm_index.smallest(index, d, first, low, high)
+    n_windows = np.maximum(lengths - s.window + 1, 0)
+    ends = np.cumsum(n_windows)
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(least))
+    # of no use: met in one document, and no window of it is in an earlier one
+    useful = met > 1
+    useful[np.repeat(np.arange(len(d)), n_windows)[least < np.repeat(d, n_windows)]] = True
+    columns = [group.column("key").combine_chunks(), group.column("sid").combine_chunks(), lists]
+    return pa.Table.from_arrays(columns, ["key", "sid", "least"]).filter(pa.array(useful))
 
 
 def repeats(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
@@ -173,7 +176,7 @@ def repeats(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     distinct = cut.groupBy("key", "sid", "content").agg(F.min("d").alias("d"), F.count(F.lit(1)).alias("met"))
     n_words = cut.agg(F.sum(F.octet_length("content") / 8)).first()[0] or 0
     shard = F.pmod(F.xxhash64("key"), F.lit(int(n_words // s.shard_words) + 1))
-    least = distinct.groupBy(shard.alias("shard")).applyInPandas(
+    least = distinct.groupBy(shard.alias("shard")).applyInArrow(
         lambda group: search(group, s), "key bigint, sid bigint, least array<bigint>"
     )
     least = write_once(least, "substring-least")
@@ -197,7 +200,9 @@ def dedup(docs: DataFrame, s: Settings = Settings(), keep_text: bool = True) ->
     copy = F.coalesce(F.col("_d") > F.col("first_d"), F.lit(False))
     both = mine.join(known, (F.col("_h") == F.col("_th")) & F.col("_raw").isNotNull(), "left")
     own = [F.col("_row")[c].alias(c) for c in keep]
-    both = both.select(*own, F.col("_raw"), copy.alias("_copy"), F.when(~copy, F.col("starts")).alias("_starts"))
+    names = fresh(docs, "raw", "copy", "starts")
+    extra = [F.col("_raw"), copy, F.when(~copy, F.col("starts"))]
+    both = both.select(*own, *[c.alias(n) for c, n in zip(extra, names, strict=True)])
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(keep).schema.fields)
     k = len(keep)
 
