@@ -93,6 +93,7 @@ def word_local(config: dict) -> bool:
         set(kinds) <= {"NFC", "Replace", "Lowercase"}
         and split.get("type") == "Split"
         and (split.get("behavior"), split.get("invert")) == ("Removed", True)
+        and r"[\p{L}]+|" in split.get("pattern", {}).get("Regex", "")
         and r"[^\s\p{L}\p{N}]+" in split.get("pattern", {}).get("Regex", "")
         and all(x["type"] == "ByteLevel" and not x["add_prefix_space"] and not x["use_regex"] for x in rest)
         and not any(x["lstrip"] or x["rstrip"] or x["single_word"] or " " in x["content"] for x in added)
@@ -120,7 +121,7 @@ def encoder(path: str) -> Callable[[bytes], bytes]:
 
     if not word_local(config):
         return lambda text: whole(text.decode("utf-8", "replace"))
-    mark = "~"
+    mark, lower = "~", "Lowercase" in json.dumps(config.get("normalizer"))
     marked = tokenizer.encode(mark, add_special_tokens=False).ids
     known: dict[bytes, bytes] = {}
     again: set[bytes] = set()
@@ -143,14 +144,30 @@ def encoder(path: str) -> Callable[[bytes], bytes]:
         words = text.split()  # exactly \x20 and \x09 to \x0d
         distinct = set(words)
         new = distinct.difference(known)
+        # letters are a piece of their own in such a vocabulary: "Word.," is "word" and ".,"
+        cut = {}
+        for w in new:
+            core = w.rstrip(b".,")
+            if core.isalpha() and core.isascii():
+                tail, core = w[len(core) :], core.lower() if lower else core
+                if core != w:
+                    cut[w] = (core, tail)
+        if cut:
+            new.difference_update(cut)
+            new.update(x for pair in cut.values() for x in pair if x not in known)
+            new.discard(b"")
         if new:
             if len(known) + len(new) > CACHED_WORDS:
-                keep = {w: known[w] for w in again | (distinct - new)}
+                here = {w for w in distinct if w in known}
+                keep = {w: known[w] for w in again | here if w in known}
                 known.clear()
-                known.update(keep if len(keep) < CACHED_WORDS // 2 else {w: keep[w] for w in distinct - new})
+                known.update(keep if len(keep) < CACHED_WORDS // 2 else {w: keep[w] for w in here})
                 again.clear()
+                new = new.union(x for pair in cut.values() for x in pair if x and x not in known)
             learn(list(new))
-        again.update(distinct - new)
+        for w, (core, tail) in cut.items():
+            known[w] = known[core] + known[tail] if tail else known[core]
+        again.update(distinct.difference(new, cut))
         return b"".join(map(known.__getitem__, words))
 
     return encode
