@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from folioloom.functions.calendar import date_key
@@ -88,12 +89,7 @@ def mart_asset_trend(prices: DataFrame) -> DataFrame:
 
 
 def mart_asset_moves(prices: DataFrame) -> DataFrame:
-    """Rank of each asset's move within its day, largest first.
-
-    A day holds every asset of the universe, so the rank is not left to one task per day:
-    moves are bucketed by size, half a percent each up to 100 %. Unchanged prices, the one
-    value many assets share, are bucketed further by the first letter of the ticker.
-    """
+    """Rank of each asset's move within its day, largest first; a day holds every asset of the universe."""
     moved = (
         series.measure(prices, series.with_returns)
         .filter("return_1d is not null")
@@ -102,13 +98,9 @@ def mart_asset_moves(prices: DataFrame) -> DataFrame:
                 "return_1d", "abs_return_1d")
     )
     size = F.col("abs_return_1d")
-    buckets = [
-        -F.floor(F.least(size, F.lit(1.0)) * 200),
-        F.when(size == 0, F.substring("ticker", 1, 1)).otherwise(""),
-    ]
-    ranked = position_in_group(moved, ["full_date"], buckets, [size.desc(), F.col("ticker")], "move_rank")
+    ranked = position_in_group(moved, "full_date", [size.desc(), F.col("ticker").asc()], "move_rank")
     change = F.col("return_1d")
-    return ranked.drop("move_rank_of").withColumn(
+    return ranked.withColumn(
         "move_direction", first_match([(change > 0, "Up"), (change < 0, "Down")], "Flat")
     )
 
@@ -151,7 +143,12 @@ def regime_label(index: Column, above: Column, bond: Column, gold: Column, oil:
 
 
 def mart_market_regime(prices: DataFrame, tickers: Mapping[str, str] = REGIME_TICKERS) -> DataFrame:
-    measured = series.measure(prices, series.with_returns, series.with_trend)
+    """Five signals a day and their label.
+
+    Only the index needs a moving average, so it is taken over the one row per day that is left of the
+    index after the aggregation, not over every asset's series.
+    """
+    measured = series.measure(prices, series.with_returns)
     ticker = F.col("ticker")
 
     def month_return(role: str, name: str) -> Column:
@@ -164,11 +161,18 @@ def mart_market_regime(prices: DataFrame, tickers: Mapping[str, str] = REGIME_TI
         month_return("gold", "gold_return_1m"),
         month_return("oil", "oil_return_1m"),
         month_return("fx", "gbpusd_return_1m"),
-        F.max(F.when(is_index, F.col("above_sma_200_flag"))).alias("sp500_above_sma_200_flag"),
+        F.max(F.when(is_index, F.col("price_for_returns"))).alias("_index"),
         F.avg(F.when(F.col("asset_type").isin(GROWTH_TYPES), F.col("return_1d"))).alias(
             "growth_asset_avg_return_1d"
         ),
     )
+    price = F.col("_index")
+    # days without the index are a partition of their own
+    latest = W.partitionBy(price.isNull()).orderBy("full_date").rowsBetween(-199, W.currentRow)
+    above = F.when(price.isNotNull(), F.coalesce(price > F.avg(price).over(latest), F.lit(False)))
+    growth = "growth_asset_avg_return_1d"
+    daily = daily.withColumn("sp500_above_sma_200_flag", above)
+    daily = daily.select(*[c for c in daily.columns if c not in ("_index", growth)], growth)
     label = regime_label(
         F.col("sp500_return_1m"),
         F.col("sp500_above_sma_200_flag"),
@@ -182,32 +186,31 @@ def mart_market_regime(prices: DataFrame, tickers: Mapping[str, str] = REGIME_TI
 def mart_fee_benchmarks(profile: DataFrame, assets: DataFrame, groups: DataFrame) -> DataFrame:
     """Fund fee against its group: average, range and percent rank (missing fees rank last).
 
-    Group figures are aggregates joined back by group, and the rank is taken bucket by bucket,
-    so a group (or the funds without one) holding a third of all funds is not one task.
+    Funds with one fee share a rank, so funds are counted per (group, fee) first; ranks and group
+    figures come from these counts and are joined back. A group (or the funds without one) of a third of all
+    funds, even all at one fee, is a row per distinct fee there.
     """
-    ter, code = F.col("ter"), F.col("equivalence_group_code")
+    ter, code, n = F.col("ter"), F.col("equivalence_group_code"), F.col("n")
     funds = (
         profile.select("asset_key", "equivalence_group_code", "ter")
         .join(assets.select("asset_key", "ticker", "asset_name"), "asset_key")
         .join(groups.select("equivalence_group_code", "equivalence_group_name"), "equivalence_group_code", "left")
     )
-    fee_bucket = F.when(ter.isNull(), F.lit(2_000_001)).otherwise(
-        F.floor(F.greatest(F.least(ter, F.lit(20_000.0)), F.lit(-0.01)) * 100)
-    )
-    ranked = position_in_group(
-        funds, ["equivalence_group_code"], [fee_bucket], [ter.asc_nulls_last()], "pos", ties="rank"
-    )
-    stats = (
-        ranked.groupBy("equivalence_group_code")
-        .agg(
-            F.avg("ter").alias("group_avg_ter"),
-            F.min("ter").alias("group_min_ter"),
-            F.max("ter").alias("group_max_ter"),
-        )
-        .withColumnRenamed("equivalence_group_code", "stat_code")
+    fees = funds.groupBy("equivalence_group_code", "ter").agg(F.count(F.lit(1)).alias("n"))
+    group = W.partitionBy("equivalence_group_code")
+    lower = group.orderBy(ter.asc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
+    size = F.sum(n).over(group)
+    known = F.sum(F.when(ter.isNotNull(), n)).over(group)
+    ranked = fees.select(
+        code.alias("_code"),
+        ter.alias("_ter"),
+        (F.sum(ter * n).over(group) / known).alias("group_avg_ter"),
+        F.min("ter").over(group).alias("group_min_ter"),
+        F.max("ter").over(group).alias("group_max_ter"),
+        F.when(size > 1, F.coalesce(F.sum(n).over(lower), F.lit(0)) / (size - 1)).otherwise(0.0).alias("ter_percentile"),
     )
-    percentile = F.when(F.col("pos_of") > 1, (F.col("pos") - 1) / (F.col("pos_of") - 1)).otherwise(0.0)
-    return ranked.join(stats, code.eqNullSafe(F.col("stat_code"))).select(
+    same = code.eqNullSafe(F.col("_code")) & ter.eqNullSafe(F.col("_ter"))
+    return funds.join(ranked, same).select(
         "asset_key",
         "ticker",
         "asset_name",
@@ -217,7 +220,7 @@ def mart_fee_benchmarks(profile: DataFrame, assets: DataFrame, groups: DataFrame
         "group_avg_ter",
         "group_min_ter",
         "group_max_ter",
-        percentile.alias("ter_percentile"),
+        "ter_percentile",
     )
 
 

@@ -35,10 +35,22 @@ def block_join(left: DataFrame, right: DataFrame, on: str, blocks: int) -> DataF
 def unordered_pairs(df: DataFrame, on: str, value_columns: list[str], blocks: int = BLOCKS) -> DataFrame:
     """Pairs of rows that agree on ``on`` with ``asset_key < compare_asset_key``.
 
-    Rows with a NULL ``on`` pair with nothing.
+    Only pairs of blocks a <= b are made, so two blocks meet once; pairs across blocks are turned to key
+    order afterwards. Rows with a NULL ``on`` pair with nothing.
     """
-    rows = df.filter(F.col(on).isNotNull()).select(on, "asset_key", *value_columns)
-    return block_join(rows, rows, on, blocks).filter(F.col("asset_key") < F.col("compare_asset_key"))
+    names = ["asset_key", *value_columns]
+    rows = df.filter(F.col(on).isNotNull()).select(on, *names)
+    cut = F.pmod(F.xxhash64("asset_key"), F.lit(blocks)).cast("int")
+    up, down = F.sequence(cut, F.lit(blocks - 1)), F.sequence(F.lit(0), cut)
+    left = rows.select("*", cut.alias("_a"), F.explode(up).alias("_b"))
+    right = rows.select("*", cut.alias("_b"), F.explode(down).alias("_a"))
+    right = right.withColumnsRenamed({c: f"compare_{c}" for c in names})
+    met = left.join(right, [on, "_a", "_b"])
+    turn = F.col("asset_key") > F.col("compare_asset_key")
+    met = met.filter((F.col("_a") < F.col("_b")) | (F.col("asset_key") < F.col("compare_asset_key")))
+    own = [F.when(turn, F.col(f"compare_{c}")).otherwise(F.col(c)).alias(c) for c in names]
+    other = [F.when(turn, F.col(c)).otherwise(F.col(f"compare_{c}")).alias(f"compare_{c}") for c in names]
+    return met.select(on, *own, *other)
 
 
 def int_asset_pair_returns(returns: DataFrame, blocks: int = BLOCKS) -> DataFrame:

@@ -9,36 +9,24 @@ from pyspark.sql import functions as F
 from folioloom.session import write_once
 
 
-def position_in_group(
-    df: DataFrame, group: list[str], buckets: list[Column], order: list[Column], out: str, ties: str = "row"
-) -> DataFrame:
-    """1-based position of each row inside ``group`` under ``order``, without one task per group.
+def position_in_group(df: DataFrame, group: str, order: list[Column], out: str) -> DataFrame:
+    """1-based position of each row inside ``group`` under a total ``order``, without a task per group.
 
-    ``buckets`` are coarse sort keys that agree with ``order``: rows of a lower bucket all come
-    first. Rows are counted per bucket (partial aggregation, a few rows per group), the running
-    count of earlier buckets becomes an offset, and only rows of one bucket are sorted together.
-    ``ties='rank'`` gives equal rows the lowest position, as SQL ``rank`` does. Adds the group size
-    as ``<out>_of``. NULL group values form a group of their own, as in a window.
+    All rows are dealt by range of (group, order), sorted within their range and stored, which
+    numbers them globally once each range's row count (one short row per partition) is added up. A
+    group's first number is a partial minimum; the position is the distance from it. Ranges follow the
+    data, so neither a large group nor many equal values gather in one task.
     """
-    names = [f"_b{i}" for i in range(len(buckets))]
-    keyed = write_once(df.withColumns(dict(zip(names, buckets, strict=True))), "rank")
-    counts = keyed.groupBy(*group, *names).agg(F.count(F.lit(1)).alias("_n"))
-    whole = W.partitionBy(*group)
-    earlier = whole.orderBy(*names).rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.withColumns(
-        {
-            "_before": F.coalesce(F.sum("_n").over(earlier), F.lit(0)),
-            f"{out}_of": F.sum("_n").over(whole),
-        }
-    ).drop("_n")
-    keys = [*group, *names]
-    side = offsets.select(*[F.col(k).alias(f"{k}_r") for k in keys], "_before", f"{out}_of")
-    match = [F.col(k).eqNullSafe(F.col(f"{k}_r")) for k in keys]
-    local = W.partitionBy(*keys).orderBy(*order)
-    inside = F.rank().over(local) if ties == "rank" else F.row_number().over(local)
-    return (
-        keyed.join(side, match)
-        .drop(*[f"{k}_r" for k in keys])
-        .withColumn(out, (F.col("_before") + inside).cast("int"))
-        .drop("_before", *names)
-    )
+    part, at, first = "_part", "_at", "_first"
+    keys = [F.col(group), *order]
+    dealt = write_once(df, "unranked").repartitionByRange(*keys).sortWithinPartitions(*keys)
+    kept = write_once(dealt.withColumn(at, F.monotonically_increasing_id()), "ranked")
+    kept = kept.withColumn(part, F.shiftright(at, 33)).withColumn(at, F.col(at).bitwiseAND(F.lit((1 << 33) - 1)))
+    before = W.orderBy(part).rowsBetween(W.unboundedPreceding, -1)
+    counts = kept.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
+    offsets = counts.select(part, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"))
+    # one row per partition of the exchange: small by that bound
+    numbered = kept.join(F.broadcast(offsets), part).withColumn(at, F.col(at) + F.col("_offset"))
+    starts = numbered.groupBy(F.col(group).alias("_group")).agg(F.min(at).alias(first))
+    joined = numbered.join(starts, F.col(group).eqNullSafe(F.col("_group")))
+    return joined.withColumn(out, F.col(at) - F.col(first) + 1).drop(part, at, "_offset", "_group", first)

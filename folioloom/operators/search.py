@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from folioloom.session import spread_if_few, write_once
+from folioloom.session import write_once
 
 # The usual BM25 constants.
 K1, B = 1.2, 0.75
@@ -69,8 +73,11 @@ def term_index(documents: DataFrame, key: str, vocabulary: DataFrame | None = No
     terms = runs.select(key, "doc_len", F.inline(F.concat("_runs", whole)))
     if vocabulary is None:
         return terms
-    sentinel = vocabulary.sparkSession.range(1).select(F.lit("").alias("term"))
-    return terms.join(vocabulary.unionByName(sentinel), "term", "left_semi").select(key, "doc_len", "term", "tf")
+    # the empty term, one row per document, would be one hot key: it gets a key of its own per document
+    spread = F.when(F.col("term") == "", F.concat(F.lit(" "), F.col(key).cast("string"))).otherwise(F.col("term"))
+    known = vocabulary.select(F.col("term").alias("_known"))
+    met = terms.join(known, spread == F.col("_known"), "left").filter("term = '' or _known is not null")
+    return met.select(key, "doc_len", "term", "tf")
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -110,53 +117,76 @@ def score_terms(index: DataFrame, asked: DataFrame, key: str, k: int = TOP_K) ->
     return _top(scored, key, k)
 
 
-def search(documents: DataFrame, queries: DataFrame, key: str = "relative_path", k: int = TOP_K) -> DataFrame:
-    """Top k documents per query (query_id, query_text) by lexical relevance over whole texts."""
+def search(
+    documents: DataFrame, queries: DataFrame, key: str = "relative_path", k: int = TOP_K, where: Column | None = None
+) -> DataFrame:
+    """Top k documents per query (query_id, query_text) by lexical relevance over whole texts.
+
+    ``where`` keeps to documents with given attributes (ticker, title, ...); the corpus is then these documents.
+    """
     asked = query_terms(queries)
     vocabulary = asked.select("term").distinct()
-    index = write_once(term_index(spread_if_few(documents, key), key, vocabulary), "terms")
+    scope = documents if where is None else documents.filter(where)
+    # words cost far more time than bytes: one unsplittable file must not be one task
+    spread = scope.repartition(int(scope.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    index = write_once(term_index(spread, key, vocabulary), "terms")
     return score_terms(index, asked, key, k)
 
 
-def vector_search(
-    vectors: DataFrame, queries: DataFrame, k: int = TOP_K, batch: int = 1024, blocks: int = 8
-) -> DataFrame:
+def vector_search(vectors: DataFrame, queries: DataFrame, k: int = TOP_K, batch_bytes: int = 16 << 20) -> DataFrame:
     """Top k rows of ``vectors`` (vec_id, embedding) per query (query_id, embedding) by cosine.
 
-    Queries are packed into arrays of about ``batch`` vectors, so an array is bounded whatever the
-    number of queries, and each array is copied to every block of vectors. A vector row meets
-    one packed array per batch over an equality join and is scored against it in place; the
-    join key (batch, block) spreads the work however many vectors there are.
+    Queries are numbered once and sent to the vectors in batches of about ``batch_bytes``, so what is sent is bounded
+    whatever their number. A task multiplies its vectors with a batch by matrix and keeps the
+    k best per query, ties included; only those rows are exchanged for the final rank.
+    Vectors without length have no cosine and are no result.
     """
-    n_batches = max(1, -(-queries.count() // batch))
-
-    def unit(v: Column) -> tuple[Column, Column]:
-        d = v.cast("array<double>")
-        return d, F.sqrt(F.aggregate(d, F.lit(0.0), lambda s, x: s + x * x))
-
-    qv, qn = unit(F.col("embedding"))
-    packed = (
-        queries.select(
-            F.pmod(F.xxhash64("query_id"), F.lit(n_batches)).cast("int").alias("part"),
-            F.struct("query_id", qv.alias("qv"), qn.alias("qn")).alias("q"),
-        )
-        .groupBy("part")
-        .agg(F.collect_list("q").alias("qs"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    )
-    v, vn = unit(F.col("embedding"))
-    spread = vectors.select(
-        "vec_id",
-        v.alias("v"),
-        vn.alias("vn"),
-        F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(n_batches - 1))).alias("part"),
-    )
-    met = spread.join(packed, ["part", "block"]).select("vec_id", "v", "vn", F.explode("qs").alias("q"))
-    dot = F.aggregate(F.zip_with("v", "q.qv", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    scored = met.select(
-        F.col("q.query_id").alias("query_id"),
-        "vec_id",
-        (dot / F.nullif(F.col("vn") * F.col("q.qn"), F.lit(0.0))).alias("score"),
-    )
+    asked = write_once(queries.select("query_id", F.col("embedding").cast("array<double>").alias("q")), "queries")
+    n, dims = asked.agg(F.count(F.lit(1)), F.max(F.size("q"))).first()
+    batches = max(1, -(-n * max(1, dims or 1) * 8 // batch_bytes))
+    part = F.pmod(F.xxhash64("query_id"), F.lit(batches))
+    kind = dict(asked.dtypes)["query_id"], dict(vectors.dtypes)["vec_id"]
+    fields = f"query_id {kind[0]}, vec_id {kind[1]}, score double"
+    rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    scored = None
+    for i in range(batches):
+        held = asked.filter(part == i).toArrow()
+        best = rows.mapInArrow(_nearest(held.column("query_id"), _unit(held.column("q"))[0], k), fields)
+        scored = best if scored is None else scored.unionByName(best)
     return _top(scored, "vec_id", k)
+
+
+def _unit(lists) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of unit length, and which of them have one."""
+    if isinstance(lists, pa.ChunkedArray):
+        lists = lists.combine_chunks()
+    if not len(lists):
+        return np.zeros((0, 0)), np.zeros(0, bool)
+    flat = lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+    length = np.sqrt((flat * flat).sum(axis=1))
+    return flat / np.where(length > 0, length, 1)[:, None], length > 0
+
+
+def _nearest(ids: pa.ChunkedArray, unit: np.ndarray, k: int):
+    """Task body: the best ``k`` and everything within rounding of the last of them, per query."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[tuple[np.ndarray, pa.Array, np.ndarray]] = []
+        for batch in batches:
+            found, ok = _unit(batch.column(1))
+            if not ok.any() or not len(unit):
+                continue
+            score = unit @ found.T
+            score[:, ~ok] = -np.inf
+            least = np.partition(score, -k, axis=1)[:, -k] if score.shape[1] > k else np.full(len(unit), -np.inf)
+            query, at = np.nonzero((score >= least[:, None] - 2e-6) & np.isfinite(score))
+            kept.append((query, batch.column(0).take(pa.array(at)), score[query, at]))
+        for query, vec, score in kept:
+            columns = [ids.take(pa.array(query)), vec, pa.array(score)]
+            yield pa.RecordBatch.from_arrays([_plain(c) for c in columns], ["query_id", "vec_id", "score"])
+
+    return run
+
+
+def _plain(column) -> pa.Array:
+    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column

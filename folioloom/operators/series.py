@@ -6,7 +6,7 @@ and one sort however many are stacked, and no join to bring them back together.
 Contract: one row per (asset, day), which the quality suite checks. An asset is then no
 longer than its calendar. For longer series, ``slice_series`` cuts every asset into
 overlapping slices first; the same functions then run on (asset, slice) partitions. The
-stored build measures the longest asset and slices by itself.
+stored build does so if it is given a slice length.
 """
 
 from __future__ import annotations
@@ -58,7 +58,9 @@ def by_asset(df: DataFrame) -> DataFrame:
     """Rows of a series brought together, over all configured shuffle partitions.
 
     Rolling frames cost far more time than bytes. The exchange a window adds by itself is merged
-    down by size to a few tasks on small histories; one with a given number is not.
+    down by size to a few tasks on small histories; one with a given number is not. Adaptive execution cannot
+    split such an exchange either, which is sound as long as an asset is bounded by its calendar;
+    longer ones are sliced.
     """
     keys = ["asset_key", SLICE] if SLICE in df.columns else ["asset_key"]
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -128,7 +130,12 @@ def with_risk(prices: DataFrame) -> DataFrame:
 
 
 def measure(prices: DataFrame, *steps: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Apply series steps to price rows, whole or sliced; slices lose their halo at the end."""
+    """Apply series steps to price rows, whole or sliced; slices lose their halo at the end.
+
+    Rows that carry every measure already, as the stored build keeps them, come back as they are.
+    """
+    if {"return_1d", "volatility_30d", "drawdown_52w", "trend_label"} <= set(prices.columns):
+        return prices
     out = by_asset(prices)
     for step in steps:
         out = step(out)
@@ -226,9 +233,3 @@ def slice_series(prices: DataFrame, slice_rows: int = 20_000) -> DataFrame:
 
 def trim_halo(sliced: DataFrame) -> DataFrame:
     return sliced.filter(~F.col(HALO)).drop(SLICE, HALO, CARRIED_PEAK)
-
-
-def longest_series(prices: DataFrame) -> int:
-    """Rows of the longest asset (an action): decides whether slicing is worth its extra pass."""
-    row = prices.groupBy("asset_key").count().agg(F.max("count").alias("n")).first()
-    return int(row["n"] or 0)

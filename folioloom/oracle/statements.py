@@ -106,13 +106,34 @@ def _suite() -> str:
 
 
 def _counts(names: list[tuple[str, str, str]]) -> str:
+    """Rows and checksum of each table: every cell as column=text, hashed and added up."""
+    text = "typeof(COLUMNS('(.*)')) = 'DOUBLE'"
+    number = "try_cast(COLUMNS('(.*)')::varchar as double)"
+    places = f"case when abs({number}) < 10 then round({number} * 1000000) else round({number} * 100) end"
+    cell = f"case when {text} then {places}::decimal(38,0)::varchar else COLUMNS('(.*)')::varchar end as '\\1'"
+    value = "('0x' || substr(md5(n || '=' || coalesce(v, '~')), 1, 12))::ubigint"
     rows = [
-        f"select '{layer}' as layer, '{shown}' as model, count(*) as row_count from {name}"
+        f"""select '{layer}' as layer, '{shown}' as model, (select count(*) from {name}) as row_count,
+            (select coalesce(sum({value}), 0)::varchar
+                from (select {cell} from {name}) unpivot include nulls (v for n in (columns(*)))) as checksum"""
         for layer, name, shown in names
     ]
     return " union all ".join(rows)
 
 
+def _cells(keys: dict[str, list[str]]) -> str:
+    """Sheets cell by cell; blank text counts as missing after landing as CSV."""
+    parts = []
+    for name, columns in keys.items():
+        key = " || '|' || ".join(f"coalesce({c}::varchar, '')" for c in columns)
+        parts.append(
+            f"""select '{name}' as table_name, row_key, n as column_name, v as value from
+                (select {key} as row_key, nullif(COLUMNS('(.*)')::varchar, '') as '\\1' from raw_{name})
+                unpivot include nulls (v for n in (columns(* exclude (row_key))))"""
+        )
+    return " union all ".join(parts)
+
+
 _UCITS_KEYS = "(select etf_key from t_ucits)"
 _PRICE_ROWS = f"(select * from stg_asset_prices where asset_key in {_UCITS_KEYS})"
 _FUND_ROWS = f"(select * from fact_etf_daily where etf_key in {_UCITS_KEYS})"
@@ -122,6 +143,13 @@ _FUND_METRICS = """round(avg(close_price), 4) as avg_close_price, round(avg(retu
     round(avg(sharpe_proxy), 6) as avg_sharpe_proxy, count(*) as total_etf_records"""
 _SHARPEN = "[^\\p{L}\\p{N}]+"
 
+# raw tables as they are after landing: active tickers only, blank text missing
+_LANDED = {
+    "raw_asset_prices": "t_active_prices",
+    "raw_asset_master": "t_landed_assets",
+    "raw_etf_metadata": "t_landed_metadata",
+}
+
 _STATEMENTS = {
     "d13_calendar": """
         with days as (select cast(unnest(generate_series(min(o_orderdate), max(o_orderdate), interval 1 day)) as date)
@@ -150,13 +178,15 @@ _STATEMENTS = {
     "s02_prices": """
         select * from raw_asset_prices
         where ticker in (select ticker from raw_asset_master where is_active is distinct from false)""",
-    "s03_sheets": """
-        select 'etf_metadata' as table_name, etf as a, cast(ter as varchar) as b, cast(inception_date as varchar) as c
-        from raw_etf_metadata
-        union all select 'etf_geography', etf, geography, cast(exposure_weight as varchar) from raw_etf_geography
-        union all select 'etf_sector', etf, sector, cast(exposure_weight as varchar) from raw_etf_sector
-        union all select 'equivalence_group_relationships', source_group_code, target_group_code, priority_rank
-        from raw_equivalence_group_relationships""",
+    "s03_sheets": _cells(
+        {
+            "etf_metadata": ["etf"],
+            "etf_geography": ["etf", "geography"],
+            "etf_sector": ["etf", "sector"],
+            "equivalence_groups": ["equivalence_group_code"],
+            "equivalence_group_relationships": ["source_group_code", "target_group_code", "priority_rank"],
+        }
+    ),
     "s04_texts": "select md5(text) as content_md5, cast(length(text) as int) as n_chars from documents",
     "s05_seed": """
         select r_regionkey as seed_id, r_name as seed_name, left(r_name, 2) as asset_group,
@@ -181,7 +211,7 @@ _STATEMENTS = {
     "k03_layered_build": _counts([(layer, n, n) for layer, names in MODEL_LAYERS.items() for n in names]),
     "k04_raw_load": _counts(
         [
-            ("raw", n if n != "raw_asset_prices" else "t_active_prices", n.removeprefix("raw_"))
+            ("raw", _LANDED.get(n, n), n.removeprefix("raw_"))
             for n in TABLES
             if n.startswith("raw_")
         ]
@@ -317,6 +347,9 @@ _STATEMENTS = {
 }
 
 TABLES["t_active_prices"] = _STATEMENTS["s02_prices"]
+TABLES["t_landed_assets"] = _STATEMENTS["s01_asset_master"]
+TABLES["t_landed_metadata"] = """
+    select * replace (nullif(category, '') as category, nullif(notes, '') as notes) from raw_etf_metadata"""
 
 
 def statements() -> dict[str, str]:

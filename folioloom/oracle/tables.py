@@ -341,7 +341,7 @@ TABLES["mart_asset_trend"] = """
 TABLES["mart_asset_moves"] = """
     select full_date, date_key, asset_key, ticker, asset_name, asset_type, region, return_1d,
         abs(return_1d) as abs_return_1d,
-        cast(row_number() over (partition by full_date order by abs(return_1d) desc, ticker) as int) as move_rank,
+        row_number() over (partition by full_date order by abs(return_1d) desc, ticker) as move_rank,
         (['Down', 'Flat', 'Up'])[cast(sign(return_1d) as int) + 2] as move_direction
     from t_returns where return_1d is not null"""
 TABLES["mart_fx_intelligence"] = """

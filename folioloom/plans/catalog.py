@@ -23,8 +23,6 @@ from folioloom.sources.store import Store
 UNIVERSE = ("stg_asset_master", "stg_etf_metadata")
 # Fixed value: models built at the same time.
 BUILD_THREADS = 10
-# Rows of one asset above which the stored build slices the series: a century of days fits.
-LONGEST_SERIES = 50_000
 
 Builder = Callable[["Models"], DataFrame]
 MODELS: dict[str, tuple[str, Builder]] = {}
@@ -46,12 +44,12 @@ class Models:
         raw: Mapping[str, Callable[[], DataFrame]],
         regime_tickers: Mapping[str, str] = marts.REGIME_TICKERS,
         store: Store | None = None,
-        longest_series: int = LONGEST_SERIES,
+        slice_rows: int | None = None,
         share_universe: bool = False,
     ):
         self.raw_tables, self.regime_tickers, self.store = raw, regime_tickers, store
         self.share_universe = share_universe
-        self.longest_series = longest_series
+        self.slice_rows = slice_rows
         self._made: dict[str, DataFrame] = {}
         names = [*MODELS, *(f"raw.{r}" for r in raw), "correlations", "series_prices"]
         self._locks = {n: Lock() for n in names}
@@ -84,16 +82,18 @@ class Models:
 
     @property
     def series_prices(self) -> DataFrame:
-        """Price rows for the series measures, cut into slices when an asset is too long for a task.
+        """Price rows for the series models.
 
-        Only the stored build measures that, where a count per asset reads one column.
+        The stored build takes every measure in one pass over the series and keeps the result, from which the
+        models are projections; ``slice_rows`` cuts series longer than a task should hold. The lazy
+        form leaves plain prices, so that a question computes only the measures it shows.
         """
 
         def make() -> DataFrame:
             prices = self["stg_asset_prices"]
-            if self.store is None or series.longest_series(prices) <= self.longest_series:
-                return prices
-            return write_once(series.slice_series(prices, self.longest_series), "slices")
+            if self.slice_rows:
+                prices = write_once(series.slice_series(prices, self.slice_rows), "slices")
+            return prices if self.store is None else write_once(series.risk_and_trend(prices), "measured")
 
         return self._once("series_prices", make)
 

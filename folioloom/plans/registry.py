@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioloom.operators import analyst, quality, search, series, star
@@ -144,11 +144,21 @@ def s02_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "vendor")
     vendor = {v: k for k, v in landed.VENDOR_NAMES.items()}
     rows = tpch.asset_prices(spark, sf_dir).withColumnsRenamed(vendor)
-    # one file per ticker, as a vendor delivers them
-    rows.repartition("ticker").write.partitionBy("ticker").option("header", True).csv(path)
+    # files per ticker, as a vendor delivers them; a long ticker spreads over its years
+    rows.repartition("ticker", F.year("date")).write.partitionBy("ticker").option("header", True).csv(path)
     return landed.read_prices(spark, path, landed.active_tickers(tpch.asset_master(spark, sf_dir)))
 
 
+# columns that name a row of each sheet
+SHEET_KEYS = {
+    "etf_metadata": ["etf"],
+    "etf_geography": ["etf", "geography"],
+    "etf_sector": ["etf", "sector"],
+    "equivalence_groups": ["equivalence_group_code"],
+    "equivalence_group_relationships": ["source_group_code", "target_group_code", "priority_rank"],
+}
+
+
 def _landed_sheets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     path = scratch_path(spark, "sheets")
     for sheet, name in landed.schemas.SHEETS.items():
@@ -159,25 +169,24 @@ def _landed_sheets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def s03_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = _landed_sheets(spark, sf_dir)
-    named = [
-        df.select(F.lit(name).alias("table_name"), *[df[c].cast("string").alias(k) for c, k in zip(cols, "abc")])
-        for name, cols in {
-            "etf_metadata": ["etf", "ter", "inception_date"],
-            "etf_geography": ["etf", "geography", "exposure_weight"],
-            "etf_sector": ["etf", "sector", "exposure_weight"],
-            "equivalence_group_relationships": ["source_group_code", "target_group_code", "priority_rank"],
-        }.items()
-        for df in [tables[name]]
-    ]
-    return reduce(DataFrame.unionByName, named)
+    """All five sheets with every column, one row per cell: table, key of the row, column, value."""
+    long = []
+    for name, df in _landed_sheets(spark, sf_dir).items():
+        cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in df.columns]
+        key = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in SHEET_KEYS[name]])
+        long.append(df.select(F.lit(name).alias("table_name"), key.alias("row_key"), F.inline(F.array(*cells))))
+    return reduce(DataFrame.unionByName, long)
 
 
 def s04_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document landed as its own text file, then read back whole."""
+    """Each document landed as its own text file, then read back whole: a round-trip check of the reader.
+
+    Files come in folders of a thousand ids each, so that no folder lists the whole table.
+    """
     path = scratch_path(spark, "texts")
-    texts = tpch.table(spark, sf_dir, "documents").select("text")
-    texts.write.option("maxRecordsPerFile", 1).text(path)
+    folder = F.floor(F.col("doc_id") / 1000).alias("folder")
+    texts = tpch.table(spark, sf_dir, "documents").select("text", folder)
+    texts.write.partitionBy("folder").option("maxRecordsPerFile", 1).text(path)
     # the writer ends a file with one line feed
     body = F.regexp_replace("content", r"\n\z", "")
     return landed.read_texts(spark, path).select(
@@ -245,7 +254,7 @@ def i07_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def k01_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loads the prices, then replaces them by the asset master: only the latter is left."""
+    """Loads the sectors, then replaces them by the asset master: only the latter is left."""
     tables = store.Store(spark, scratch_path(spark, "tables"))
     tables.replace("raw", "asset_master", tpch.etf_sector(spark, sf_dir))
     tables.replace("raw", "asset_master", tpch.asset_master(spark, sf_dir))
@@ -253,15 +262,30 @@ def k01_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _row_counts(tables: store.Store, names: list[tuple[str, str]]) -> DataFrame:
-    counted = [
-        tables.read(layer, name)
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .select(F.lit(layer).alias("layer"), F.lit(name).alias("model"), "row_count")
-        for layer, name in names
-    ]
+    """Rows of each table, and a checksum over all cells that does not depend on row order.
+
+    A cell counts as the first 12 hex digits of the md5 of column=text; doubles to six places, or two from 10 on.
+    """
+    counted = []
+    for layer, name in names:
+        df = tables.read(layer, name)
+        cells = [F.coalesce(_spelled(df[c], t), F.lit("~")) for c, t in df.dtypes]
+        parts = [F.conv(F.substring(F.md5(F.concat(F.lit(f"{c}="), x)), 1, 12), 16, 10) for c, x in zip(df.columns, cells, strict=True)]
+        total = reduce(lambda a, b: a + b, [p.cast("decimal(20,0)") for p in parts])
+        counted.append(
+            df.agg(F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(total), F.lit(0)).cast("string").alias("checksum"))
+            .select(F.lit(layer).alias("layer"), F.lit(name).alias("model"), "row_count", "checksum")
+        )
     return reduce(DataFrame.unionByName, counted)
 
 
+def _spelled(value: Column, kind: str) -> Column:
+    if kind == "double":
+        places = F.when(F.abs(value) < 10, F.round(value * 1e6)).otherwise(F.round(value * 100))
+        return places.cast("decimal(38,0)").cast("string")
+    return F.date_format(value, "yyyy-MM-dd") if kind == "date" else value.cast("string")
+
+
 def k03_layered_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every model written to its layer, each from the stored tables below it."""
     tables = store.Store(spark, scratch_path(spark, "build"))

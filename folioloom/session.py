@@ -24,19 +24,35 @@ def builder(app: str = "folioloom", master: str | None = None) -> SparkSession.B
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Shared folder named by the cluster; a temp folder only where none is set (tests)."""
-    configured = spark.conf.get(CHECKPOINT_CONF, None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+    """Shared folder named by the cluster.
+
+    A machine-local folder serves only where one machine does all the work: elsewhere executors would each
+    write to a disk of their own and later reads would miss rows without noticing.
+    """
+    configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not configured:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="folioloom-")
         spark.sparkContext.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 
+def session_dir(spark: SparkSession) -> str:
+    """This application's own part of the shared folder."""
+    return f"{scratch_dir(spark)}/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{session_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediates; DataFrames that read them are of no use afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(session_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_once(df: DataFrame, label: str) -> DataFrame:
@@ -50,13 +66,3 @@ def write_once(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread_if_few(df: DataFrame, key: str) -> DataFrame:
-    """``df`` over all cores when it comes in fewer splits than that, else unchanged.
-
-    For CPU-heavy row work on a plain scan: one unsplittable file would be a single task. Large
-    inputs have more splits than cores and are never exchanged for this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

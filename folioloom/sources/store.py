@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -27,11 +29,38 @@ class Store:
         return self.spark.read.schema(df.schema).parquet(self.path(layer, name))
 
     def replace(self, layer: str, name: str, df: DataFrame) -> int:
-        """Load a raw table and return its rows; an empty input is an error and keeps the old table."""
-        if df.isEmpty():
+        """Load a raw table and return its rows; an empty input is an error and keeps the old table.
+
+        The plan runs once, into a fresh folder, and its rows are counted on the way. The table is
+        swapped only after the write has succeeded, so a failed load keeps the old one too.
+        """
+        seen = Observation()
+        fresh = f"{self.root}/_loading/{layer}-{name}-{uuid.uuid4().hex}"
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(fresh)
+        rows = seen.get["rows"]
+        if not rows:
+            self._move(fresh, None)
             raise ValueError(f"refusing to load empty table {layer}.{name}")
-        # answered from Parquet footers
-        return self.write(layer, name, df).count()
+        self._move(fresh, self.path(layer, name))
+        if self.register:
+            self.spark.sql(f"create database if not exists `{layer}`")
+            self.spark.sql(f"drop table if exists `{layer}`.`{name}`")
+            self.spark.catalog.createTable(f"{layer}.{name}", self.path(layer, name), "parquet")
+        return rows
+
+    def _move(self, source: str, target: str | None) -> None:
+        """Put ``source`` in the place of ``target``, or delete it."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        at = jvm.org.apache.hadoop.fs.Path(source)
+        files = at.getFileSystem(conf)
+        if target is None:
+            files.delete(at, True)
+            return
+        to = jvm.org.apache.hadoop.fs.Path(target)
+        files.mkdirs(to.getParent())
+        files.delete(to, True)
+        if not files.rename(at, to):
+            raise OSError(f"could not move {source} to {target}")
 
     def read(self, layer: str, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, name))

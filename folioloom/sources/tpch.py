@@ -101,16 +101,15 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def asset_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # One long as line order keeps the buffers primitive, so this stays a hash aggregate; a struct
-    # ordering falls back to sorting every scan task. Line keys repeat now and then in generated
-    # data, and the low bits of the part number separate those.
+    # The line order is exact: line keys repeat now and then in generated data, and the further columns
+    # decide then. No narrower key holds all six, so the aggregate sorts within each scan task.
     lines = _lines(spark, sf_dir).selectExpr(
         "p_brand",
         "cast(l_shipdate as date) as date",
         "l_extendedprice / l_quantity as px",
         "l_discount as off",
         "l_quantity",
-        "(l_orderkey * 10 + l_linenumber) * 1048576L + l_partkey % 1048576L as line_no",
+        "struct(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) as line_no",
     )
     bars = lines.groupBy("p_brand", "date").agg(
         *_exprs(

@@ -45,10 +45,10 @@ def raw_tables(spark):
 
 def test_stored_build_slices_long_series_and_equals_the_lazy_one(spark, tmp_path):
     lazy = Models(raw_tables(spark))
-    stored = Models(raw_tables(spark), store=Store(spark, str(tmp_path)), longest_series=260)
+    stored = Models(raw_tables(spark), store=Store(spark, str(tmp_path)), slice_rows=260)
     names = ["mart_asset_risk", "mart_asset_moves", "dim_asset_classification", "daily_prices"]
     built = stored.build(names, threads=3)
-    assert "slice_no" in stored.series_prices.columns
+    assert "trend_label" in stored.series_prices.columns
     for name in names:
         assert (tmp_path / MODELS[name][0] / name).is_dir()
         assert built[name].columns == lazy[name].columns

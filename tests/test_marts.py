@@ -28,16 +28,25 @@ def test_moves_against_a_plain_sort(series_of):
     assert [r.move_rank for r in want] == list(range(1, 121))
 
 
-def test_position_in_group_with_ties_and_null_group(spark):
-    rows = [(None, 1.0), (None, 2.0), ("g", 5.0), ("g", 5.0), ("g", 7.0), ("g", None)]
-    df = spark.createDataFrame(rows, "g string, v double")
-    bucket = F.coalesce(F.floor("v"), F.lit(99))
-    order = [F.col("v").asc_nulls_last()]
-    ranked = position_in_group(df, ["g"], [bucket], order, "p", ties="rank").collect()
-    got = sorted((r.g or "", r.v or 0.0, r.p, r.p_of) for r in ranked)
-    assert got == [
-        ("", 1.0, 1, 2), ("", 2.0, 2, 2), ("g", 0.0, 4, 4), ("g", 5.0, 1, 4), ("g", 5.0, 1, 4), ("g", 7.0, 3, 4)
-    ]
+def test_positions_over_ranges_with_a_null_group(spark):
+    rows = [(None, 1.0), (None, 2.0), ("g", 5.0), ("g", 7.0), ("g", None)] + [("zero", float(i % 1)) for i in range(50)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, g string, v double")
+    ranked = position_in_group(df, "g", [F.col("v").asc_nulls_last(), F.col("id").asc()], "p").collect()
+    got = {r.id: r.p for r in ranked}
+    assert [got[i] for i in range(5)] == [1, 2, 1, 2, 3] and [got[i] for i in range(5, 55)] == list(range(1, 51))
+
+
+def test_moves_on_a_day_without_any(series_of):
+    rows = marts.mart_asset_moves(series_of({f"B{i:02d}": [100, 100] for i in range(40)})).orderBy("ticker").collect()
+    assert [r.move_rank for r in rows] == list(range(1, 41)) and {r.move_direction for r in rows} == {"Flat"}
+
+
+def test_fees_that_are_all_equal(spark):
+    profile = spark.range(60).selectExpr("cast(id as string) as asset_key", "'g' as equivalence_group_code", "0.2D as ter")
+    assets = profile.selectExpr("asset_key", "asset_key as ticker", "asset_key as asset_name")
+    groups = spark.createDataFrame([("g", "G")], "equivalence_group_code string, equivalence_group_name string")
+    got = marts.mart_fee_benchmarks(profile, assets, groups).collect()
+    assert len(got) == 60 and {(r.ter_percentile, round(r.group_avg_ter, 9)) for r in got} == {(0.0, 0.2)}
 
 
 def test_fee_percentiles(spark):

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from folioloom.operators import search
 from folioloom.streaming import refresh
@@ -46,8 +47,8 @@ def test_search_against_brute_force(spark):
         assert [s for s, _ in got.get(q, [])] == pytest.approx([s for s, _ in want], abs=1e-6)
 
 
-@pytest.mark.parametrize(("batch", "blocks"), [(1024, 8), (2, 3), (1, 1)])
-def test_vector_search_against_brute_force(spark, batch, blocks):
+@pytest.mark.parametrize("batch_bytes", [1 << 20, 100])
+def test_vector_search_against_brute_force(spark, batch_bytes):
     rng = random.Random(9)
 
     def vector():
@@ -63,7 +64,7 @@ def test_vector_search_against_brute_force(spark, batch, blocks):
     v = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
     q = spark.createDataFrame(list(asked.items()), "query_id int, embedding array<double>")
     got: dict = {}
-    for r in search.vector_search(v, q, k=4, batch=batch, blocks=blocks).orderBy("query_id", "rank").collect():
+    for r in search.vector_search(v, q, k=4, batch_bytes=batch_bytes).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.vec_id, r.score))
     for query, vec in asked.items():
         want = sorted(((cosine(w, vec), i) for i, w in vectors.items() if i != 99), reverse=True)[:4]
@@ -71,6 +72,14 @@ def test_vector_search_against_brute_force(spark, batch, blocks):
         assert [s for _, s in got[query]] == pytest.approx([s for s, _ in want], abs=1e-6)
 
 
+def test_search_within_an_attribute(spark):
+    rows = [("a.txt", "A", "risk risk"), ("b.txt", "B", "risk"), ("c.txt", "B", "risk bond bond")]
+    docs = spark.createDataFrame(rows, "relative_path string, ticker string, content string")
+    asked = spark.createDataFrame([(1, "risk")], "query_id int, query_text string")
+    got = search.search(docs, asked, where=F.col("ticker") == "B").orderBy("rank").collect()
+    assert [r.relative_path for r in got] == ["b.txt", "c.txt"]
+
+
 def test_document_table(spark):
     files = spark.createDataFrame(
         [("docs_text/vwrp.txt", "a"), ("x/y/E2.v1.TXT", "b"), ("plain", "c")], "relative_path string, content string"

@@ -84,10 +84,6 @@ def test_a_slice_holds_at_least_a_year(series_of):
         series.slice_series(series_of({"A": [1, 2]}), 100)
 
 
-def test_longest_series(series_of):
-    assert series.longest_series(series_of({"A": [1, 2, 3], "B": [1]})) == 3
-
-
 def test_one_exchange_for_all_measures(series_of):
     plan = series.risk_and_trend(series_of({"A": [1, 2]}))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
