@@ -60,13 +60,16 @@ def price_range(prices: DataFrame, etf: DataFrame, tickers: list[str] | None = N
     return ranged.join(funds, "asset_key").drop("asset_key")
 
 
-def peer_group(etf: DataFrame, group: DataFrame, tickers: list[str] | None = None) -> DataFrame:
-    """Group of each asked fund with one row per member; the asked fund is marked."""
+def peer_group(etf: DataFrame, group: DataFrame, asked: DataFrame) -> DataFrame:
+    """Group of each asked fund (column ``ticker``) with one row per member; the asked fund is marked.
+
+    The result has as many rows as the asked funds' groups have members; only the asked side multiplies them.
+    """
     members = etf.select("equivalence_group_key", F.col("ticker").alias("peer_ticker"), F.col("ter").alias("peer_ter"))
     names = group.select("equivalence_group_key", "equivalence_group_code", "equivalence_group_name")
-    asked = _named(etf, tickers).select("ticker", "equivalence_group_key")
+    wanted = etf.join(asked.select("ticker").distinct(), "ticker", "left_semi").select("ticker", "equivalence_group_key")
     return (
-        asked.join(names, "equivalence_group_key")
+        wanted.join(names, "equivalence_group_key")
         .join(members, "equivalence_group_key")
         .select(
             "ticker",

@@ -221,18 +221,19 @@ def dim_sector(sector: DataFrame) -> DataFrame:
     return sector.select(name).distinct().select(F.md5(F.lower(name)).alias("sector_key"), name)
 
 
-def _bridge(exposure: DataFrame, profile: DataFrame, dim: DataFrame, name: str, key: str) -> DataFrame:
+def _bridge(exposure: DataFrame, profile: DataFrame, name: str, key: str) -> DataFrame:
+    """Exposures of funds with a profile; the dimension's key is a hash of the name, so it needs no join."""
     return (
-        exposure.select("asset_key", name, "exposure_weight")
+        exposure.filter(F.col(name).isNotNull())
+        .select("asset_key", F.md5(F.lower(name)).alias(key), "exposure_weight")
         .join(profile.select("asset_key"), "asset_key")
-        .join(dim.select(key, name), name)
         .select(F.col("asset_key").alias("etf_key"), key, "exposure_weight")
     )
 
 
-def bridge_etf_geography(geography: DataFrame, profile: DataFrame, dim: DataFrame) -> DataFrame:
-    return _bridge(geography, profile, dim, "geography_name", "geography_key")
+def bridge_etf_geography(geography: DataFrame, profile: DataFrame) -> DataFrame:
+    return _bridge(geography, profile, "geography_name", "geography_key")
 
 
-def bridge_etf_sector(sector: DataFrame, profile: DataFrame, dim: DataFrame) -> DataFrame:
-    return _bridge(sector, profile, dim, "sector_name", "sector_key")
+def bridge_etf_sector(sector: DataFrame, profile: DataFrame) -> DataFrame:
+    return _bridge(sector, profile, "sector_name", "sector_key")

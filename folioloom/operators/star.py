@@ -9,12 +9,14 @@ fund and requested attribute and only those sums are joined to the exposures.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+LATEST_YEAR, ALL_TIME = "latest_year", "all_time"
+
 Links = Mapping[str, Mapping[str, tuple[str, str]]]
 
 
@@ -31,6 +33,7 @@ class Star:
     metrics: Mapping[str, tuple[str, str, str | None]]
     hub: str = ""
     fans: tuple[str, ...] = ()
+    facts: Mapping[str, tuple[str, str | None]] = field(default_factory=dict)
 
     def tables_above(self, table: str) -> set[str]:
         out = {table}
@@ -118,9 +121,13 @@ def query(
     dimensions: list[str],
     where: str | None = None,
     where_dimensions: list[str] | None = None,
+    period: str = LATEST_YEAR,
 ) -> DataFrame:
     """Metrics per combination of dimensions; ``where`` is SQL over ``where_dimensions``.
 
+    Facts are those of the latest twelve months there are, unless ``period`` is ``ALL_TIME`` or the filter
+    names a date. Without metrics, the distinct combinations of the dimensions (``values``).
+
     Metrics of different source tables are computed apart and brought together on the
     dimensions, so none is counted once per row of another. A metric whose source cannot reach
     a dimension is an error, as in the star's own rules.
@@ -129,8 +136,11 @@ def query(
     unknown = [n for n in metrics if n not in star.metrics] + [
         d for d in [*dimensions, *extra] if d not in star.dimensions
     ]
-    if unknown or not metrics:
+    if unknown or not (metrics or dimensions):
         raise ValueError(f"unknown or missing names: {unknown}")
+    if not metrics:
+        return values(star, tables, dimensions, where, extra)
+    tables = scoped(star, tables, extra, period)
     by_source: dict[str, list[str]] = {}
     for m in metrics:
         by_source.setdefault(star.metrics[m][0], []).append(m)
@@ -148,6 +158,70 @@ def query(
     return reduce(meet, groups).select(*dimensions, *metrics)
 
 
+def scoped(star: Star, tables: Mapping[str, DataFrame], extra: list[str], period: str) -> Mapping[str, DataFrame]:
+    """The tables with the fact cut to its latest twelve months, if the question names no dates."""
+    if period == ALL_TIME or any(star.dimensions[d][0] == "dates" for d in extra):
+        return tables
+    fact = tables[star.fact]
+    # the bound is a scalar subquery over the fact's own day numbers
+    newest = F.to_date(fact.select(F.max("date_key").cast("string").alias("d")).scalar(), "yyyyMMdd")
+    bound = F.date_format(F.add_months(newest, -12), "yyyyMMdd").cast("int")
+    return _Replaced(tables, star.fact, fact.filter(F.col("date_key") > bound))
+
+
+class _Replaced(Mapping):
+    """Tables with one of them replaced; others stay unbuilt until a question reaches them."""
+
+    def __init__(self, tables: Mapping[str, DataFrame], name: str, df: DataFrame):
+        self.tables, self.name, self.df = tables, name, df
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.df if name == self.name else self.tables[name]
+
+    def __iter__(self):
+        return iter(self.tables)
+
+    def __len__(self) -> int:
+        return len(self.tables)
+
+
+def rows(
+    star: Star, tables: Mapping[str, DataFrame], facts: list[str], dimensions: list[str], where: str | None = None,
+    where_dimensions: list[str] | None = None, period: str = LATEST_YEAR,
+) -> DataFrame:
+    """One row per fact row, not aggregated: the named facts, all of one table, beside dimensions."""
+    extra = [d for d in where_dimensions or [] if d not in dimensions]
+    sources = {star.facts[f][0] for f in facts if f in star.facts}
+    if len(sources) != 1 or any(f not in star.facts for f in facts):
+        raise ValueError(f"facts must be known and of one table: {facts}")
+    (source,) = sources
+    wanted = {*dimensions, *extra}
+    lost = {d for d in wanted if d not in star.dimensions or star.dimensions[d][0] not in star.tables_above(source)}
+    if lost:
+        raise ValueError(f"dimensions {sorted(lost)} are not reachable from {source}")
+    if source == star.fact:
+        tables = scoped(star, tables, list(where_dimensions or []), period)
+    keep = [(F.col(c) if c else F.lit(1)).alias(f) for f in facts for c in [star.facts[f][1]]]
+    out = _branch(star, tables, source, keep, wanted)
+    return (out.filter(where) if where else out).select(*dimensions, *facts)
+
+
+def values(
+    star: Star, tables: Mapping[str, DataFrame], dimensions: list[str], where: str | None = None,
+    where_dimensions: list[str] | None = None,
+) -> DataFrame:
+    """Distinct combinations of dimensions, from the table nearest to them that reaches them all."""
+    wanted = {*dimensions, *(where_dimensions or [])}
+    homes = {star.dimensions[d][0] for d in wanted}
+    every = {star.fact, *star.fans, *(t for t, _ in star.dimensions.values())}
+    able = [t for t in every if homes <= star.tables_above(t)]
+    if not able:
+        raise ValueError(f"no table reaches all of {sorted(wanted)}")
+    source = min(able, key=lambda t: (len(star.tables_above(t)), t == star.fact, t))
+    out = _branch(star, tables, source, [], wanted)
+    return (out.filter(where) if where else out).select(*dimensions).distinct()
+
+
 # --- the two stars ------------------------------------------------------------------------
 
 _FUND_LINKS = {
@@ -231,6 +305,11 @@ PRICE_STAR = Star(
         "average_volume": ("prices", "avg", "volume"),
         "total_price_records": ("prices", "count", None),
     },
+    facts={
+        **{c: ("prices", c) for c in ("open_price", "high_price", "low_price", "close_price", "volume")},
+        "adjusted_close_price": ("prices", "adj_close_price"),
+        "price_record": ("prices", None),
+    },
 )
 
 FUND_STAR = Star(
@@ -272,4 +351,14 @@ FUND_STAR = Star(
     },
     hub="etfs",
     fans=("etf_sectors", "etf_geographies"),
+    facts={
+        **{
+            c: ("etf_facts", c)
+            for c in ("close_price", *[f"return_{h}" for h in ("1d", "1w", "1m", "3m", "6m", "1y")],
+                      "volatility_30d", "drawdown_52w", "sharpe_proxy")
+        },
+        "sector_exposure_weight": ("etf_sectors", "exposure_weight"),
+        "geography_exposure_weight": ("etf_geographies", "exposure_weight"),
+        "etf_record": ("etf_facts", None),
+    },
 )

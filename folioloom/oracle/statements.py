@@ -282,9 +282,31 @@ _STATEMENTS = {
         where etf_key in (select etf_key from bridge_etf_sector join dim_sector using (sector_key)
             where sector_name in ('SMALL', 'LARGE'))
         group by all""",
-    "v08_latest_year": """
-        select ticker, full_date, close_price from stg_asset_prices
-        where full_date > (select max(full_date) from stg_asset_prices) - interval 12 month""",
+    "v05_price_rows": f"""
+        select ticker, full_date as price_date, open_price, high_price, low_price, close_price, volume,
+            adj_close_price as adjusted_close_price, 1 as price_record
+        from {_PRICE_ROWS} p join t_ucits u on p.asset_key = u.etf_key
+        where full_date > (select max(full_date) from {_PRICE_ROWS}) - interval 12 month""".replace("select ticker", "select u.ticker", 1),
+    "v05_price_values": "select distinct provider_name, index_family, ter from t_fund_star",
+    "v06_fund_rows": f"""
+        select u.ticker, strptime(date_key::varchar, '%Y%m%d')::date as observation_date, close_price,
+            {_rounded({c: _PLACES[c] for c in _HAS['fact_etf_daily'].split() if c != 'sharpe_proxy'})},
+            round(sharpe_proxy, 6) as sharpe_proxy, 1 as etf_record
+        from {_FUND_ROWS} f join t_ucits u using (etf_key)""",
+    "v06_exposure_rows": """
+        select u.ticker, sector_name, exposure_weight as sector_exposure_weight
+        from stg_etf_sector s join t_ucits u on s.asset_key = u.etf_key""",
+    "v06_fund_values": """
+        select distinct geography_group, index_name
+        from t_ucits u join bridge_etf_geography using (etf_key) join dim_geography using (geography_key)
+        where u.ticker <> 'BRAND#1'""",
+    "v08_latest_year": f"""
+        select u.ticker, round(avg(close_price), 4) as average_close_price,
+            round(avg(adj_close_price), 4) as average_adjusted_close_price, max(high_price) as highest_traded_price,
+            min(low_price) as lowest_traded_price, sum(volume) as total_volume,
+            round(avg(volume), 4) as average_volume, count(*) as total_price_records
+        from {_PRICE_ROWS} p join t_ucits u on p.asset_key = u.etf_key
+        where full_date > (select max(full_date) from {_PRICE_ROWS}) - interval 12 month group by all""",
     "a01_compare_funds": f"""
         select u.ticker, date_key as as_of_date_key, round(return_1y, 8) as return_1y,
             round(volatility_30d, 6) as volatility_30d, round(drawdown_52w, 8) as drawdown_52w, ter
@@ -298,7 +320,8 @@ _STATEMENTS = {
     "a03_peer_group": """
         select a.ticker, a.equivalence_group_code, a.equivalence_group_name, b.ticker as peer_ticker,
             b.ter as peer_ter, a.ticker = b.ticker as is_self
-        from t_ucits a join t_ucits b using (equivalence_group_key)""",
+        from (select * from t_ucits qualify row_number() over (partition by index_key order by ticker) = 1) a
+        join t_ucits b using (equivalence_group_key)""",
     "a04_exposures": """
         select u.ticker, 'sector' as exposure_type, sector_name as exposure_name, exposure_weight
         from t_ucits u join stg_etf_sector s on s.asset_key = u.etf_key
@@ -326,6 +349,26 @@ _STATEMENTS = {
                 as rank from s)
         select query_id, rank, score, relative_path, title, ticker, file_url
         from best join t_documents using (relative_path) where rank <= 5""",
+    "f02_search_in_scope": f"""
+        with t_scope as (select * from t_documents where relative_path like 'docs_text/en/%'),
+        d as (select relative_path, unnest(regexp_split_to_array(lower(content), '{_SHARPEN}')) as term
+            from t_scope),
+        w as (select * from d where term <> ''),
+        len as (select relative_path, count(term) as doc_len
+            from t_scope left join w using (relative_path) group by all),
+        corpus as (select count(*) as n, avg(doc_len) as avg_len from len),
+        q as (select distinct item_id as query_id, unnest(regexp_split_to_array(lower(text), '{_SHARPEN}')) as term
+            from benchmark),
+        tf as (select relative_path, term, count(*) as tf from w
+            where term in (select term from q) group by all),
+        df as (select term, count(*) as df from tf group by all),
+        s as (select query_id, relative_path, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2
+                / (tf + 1.2 * (0.25 + 0.75 * doc_len / avg_len))), 6) as score
+            from q join tf using (term) join df using (term) join len using (relative_path), corpus
+            where term <> '' group by query_id, relative_path),
+        best as (select *, cast(row_number() over (partition by query_id order by score desc, relative_path) as int)
+                as rank from s)
+        select query_id, rank, score, relative_path from best where rank <= 5""",
     "f03_vector_search": """
         with parts as (select label, generate_subscripts(embedding, 1) as pos,
                 cast(unnest(embedding) as double) as x from embeddings),
@@ -342,6 +385,17 @@ _STATEMENTS = {
             case when quality is null then 'new' when toxic = 1 then 'removed' else 'changed' end as change
         from documents left join labels using (doc_id)
         where quality is null or toxic = 1 or quality = 1""",
+    "f04_index_refresh": f"""
+        with d as (select doc_id, case when quality = 1 then text || ' edited' else text end as content
+            from documents left join labels using (doc_id) where coalesce(toxic, 0) = 0),
+        w as (select doc_id, term from (select doc_id,
+            unnest(regexp_split_to_array(lower(content), '{_SHARPEN}')) as term from d) where term <> ''),
+        len as (select doc_id, count(term) as n from d left join w using (doc_id) group by all),
+        tf as (select doc_id, term, count(*) as tf from w group by all
+            union all select doc_id, '', 1 from d)
+        select term, count(*) as documents, cast(sum(tf) as bigint) as occurrences,
+            cast(sum(n) as bigint) as words_in_documents
+        from tf join len using (doc_id) group by term""",
     "f05_corpus_count": "select count(*) as parsed_doc_count from t_documents",
     "f05_corpus_listing": "select relative_path, ticker, title from t_documents",
 }

@@ -21,6 +21,9 @@ from folioloom.sources.store import Store
 
 # Asset and fund tables that many branches of a star question start from.
 UNIVERSE = ("stg_asset_master", "stg_etf_metadata")
+# Tables that questions over exposures and stars reach more than once; each is an aggregate of all order lines.
+EXPOSURES = ("stg_etf_sector", "stg_etf_geography")
+PRICES = ("stg_asset_prices",)
 # Fixed value: models built at the same time.
 BUILD_THREADS = 10
 
@@ -35,8 +38,8 @@ def _model(layer: str, name: str, build: Builder) -> None:
 class Models:
     """Named models over raw tables; ``raw`` maps a raw table name to a function that returns it.
 
-    ``share_universe`` stores the asset and fund universe of an otherwise lazy plan: a question
-    over a star reaches it through many branches, which then scan one small file of known size.
+    ``share`` names models of an otherwise lazy plan that are stored: a question over a star reaches
+    them through many branches, which then scan one file of known size.
     """
 
     def __init__(
@@ -45,10 +48,10 @@ class Models:
         regime_tickers: Mapping[str, str] = marts.REGIME_TICKERS,
         store: Store | None = None,
         slice_rows: int | None = None,
-        share_universe: bool = False,
+        share: Iterable[str] = (),
     ):
         self.raw_tables, self.regime_tickers, self.store = raw, regime_tickers, store
-        self.share_universe = share_universe
+        self.share = frozenset(share)
         self.slice_rows = slice_rows
         self._made: dict[str, DataFrame] = {}
         names = [*MODELS, *(f"raw.{r}" for r in raw), "correlations", "series_prices"]
@@ -71,7 +74,7 @@ class Models:
         layer, build = MODELS[name]
         df = build(self)
         if self.store is None:
-            return write_once(df, name) if self.share_universe and name in UNIVERSE else df
+            return write_once(df, name) if name in self.share else df
         return self.store.write(layer, name, df)
 
     def build(self, names: Iterable[str] | None = None, threads: int = BUILD_THREADS) -> dict[str, DataFrame]:
@@ -169,10 +172,10 @@ for _name, _build in {
     "dim_geography": lambda m: dim.dim_geography(m["stg_etf_geography"]),
     "dim_sector": lambda m: dim.dim_sector(m["stg_etf_sector"]),
     "bridge_etf_geography": lambda m: dim.bridge_etf_geography(
-        m["stg_etf_geography"], m["dim_etf_profile"], m["dim_geography"]
+        m["stg_etf_geography"], m["dim_etf_profile"]
     ),
     "bridge_etf_sector": lambda m: dim.bridge_etf_sector(
-        m["stg_etf_sector"], m["dim_etf_profile"], m["dim_sector"]
+        m["stg_etf_sector"], m["dim_etf_profile"]
     ),
     "fact_asset_price_daily": lambda m: marts.fact_asset_price_daily(m["stg_asset_prices"]),
     "fact_etf_daily": lambda m: marts.fact_etf_daily(m.fund_prices, m["dim_etf_profile"]),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from folioloom.operators import analyst, quality, search, series, star
 from folioloom.operators import dimensions as dim
 from folioloom.plans import checks
-from folioloom.plans.catalog import EXPORTS, MODELS, Models
+from folioloom.plans.catalog import EXPORTS, EXPOSURES, MODELS, PRICES, UNIVERSE, Models
 from folioloom.session import scratch_path, write_once
 from folioloom.sources import landed, store, tpch
 from folioloom.streaming import refresh
@@ -43,21 +43,25 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.round(c, p) for c, p in rounded.items()})
 
 
-def models(spark: SparkSession, sf_dir: str, at: store.Store | None = None, share: bool = False) -> Models:
+def models(spark: SparkSession, sf_dir: str, at: store.Store | None = None, share: Iterable[str] = ()) -> Models:
     raw = {name: (lambda f=f: f(spark, sf_dir)) for name, f in tpch.RAW.items()}
-    return Models(raw, tpch.REGIME_TICKERS, at, share_universe=share)
+    return Models(raw, tpch.REGIME_TICKERS, at, share=share)
 
 
 def _of_model(name: str) -> Query:
-    return lambda spark, sf_dir: comparable(models(spark, sf_dir, share=name in FUND_REPORTS)[name])
+    return lambda spark, sf_dir: comparable(models(spark, sf_dir, share=SHARED.get(name, ()))[name])
 
 
-def _of(build: Callable[[Models], DataFrame], share: bool = False) -> Query:
+def _of(build: Callable[[Models], DataFrame], share: Iterable[str] = ()) -> Query:
     return lambda spark, sf_dir: comparable(build(models(spark, sf_dir, share=share)))
 
 
-# models whose plans reach the fund universe through many branches
-FUND_REPORTS = ("daily_prices",)
+# models whose plans reach other models through many branches
+SHARED = {
+    "daily_prices": UNIVERSE,
+    "mart_etf_overlap": (*UNIVERSE, *EXPOSURES),
+    "export_etf_overlap": (*UNIVERSE, *EXPOSURES),
+}
 
 # --- models by inventory key ----------------------------------------------------------------
 
@@ -331,6 +335,14 @@ def q10_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- scoped views, stars, analyst questions -----------------------------------------------------------
 
 
+def a03_peers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Peers of one fund per index code: the first by ticker, given as a table of asked tickers."""
+    m = models(spark, sf_dir, share=UNIVERSE)
+    funds = analyst.ucits_funds(m["dim_etf"])
+    asked = funds.groupBy("index_key").agg(F.min("ticker").alias("ticker"))
+    return analyst.peer_group(funds, m["dim_equivalence_group"], asked)
+
+
 def ucits_rows(m: Models, name: str, key: str) -> DataFrame:
     return analyst.ucits_scope(m[name], m["dim_etf"], key)
 
@@ -370,8 +382,20 @@ class StarTables(Mapping):
         return len(STAR_MODELS)
 
 
+STAR_SHARED = {"prices": (*UNIVERSE, *PRICES), "etf_facts": (*UNIVERSE, *PRICES, *EXPOSURES)}
+
+
 def _star(which: star.Star, metrics: list[str], dims: list[str], **where) -> Query:
-    return _of(lambda m: star.query(which, StarTables(m), metrics, dims, **where), share=True)
+    where = {"period": star.ALL_TIME} | where
+    return _of(lambda m: star.query(which, StarTables(m), metrics, dims, **where), share=STAR_SHARED[which.fact])
+
+
+def _star_rows(which: star.Star, facts: list[str], dims: list[str], **where) -> Query:
+    return _of(lambda m: star.rows(which, StarTables(m), facts, dims, **where), share=STAR_SHARED[which.fact])
+
+
+def _fund_facts() -> list[str]:
+    return [n for n, (t, _) in star.FUND_STAR.facts.items() if t == "etf_facts"]
 
 
 def _fund_metrics() -> list[str]:
@@ -394,6 +418,14 @@ def f02_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.join(docs.select("relative_path", "title", "ticker", "file_url"), "relative_path")
 
 
+def f02_in_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same questions among the documents of one folder."""
+    questions = tpch.table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("query_id"), F.col("text").alias("query_text")
+    )
+    return search.search(documents(spark, sf_dir), questions, where=F.startswith("relative_path", F.lit("docs_text/en/")))
+
+
 def label_centres(vectors: DataFrame) -> DataFrame:
     """Mean vector of each label: the query side of the vector search."""
     parts = vectors.select("label", F.posexplode("embedding").alias("pos", "x"))
@@ -410,20 +442,33 @@ def f03_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Documents as they are now and as they were when only labelled ones were indexed."""
     labels = tpch.table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    marked = tpch.table(spark, sf_dir, "documents").select("doc_id").join(labels, "doc_id", "left")
+    marked = tpch.table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id", "left")
     path = F.format_string("docs/%d.txt", F.col("doc_id")).alias("relative_path")
     # toxic documents have been taken down since; a good label has been edited in
+    edited = F.when(F.col("quality") == 1, F.concat("text", F.lit(" edited"))).otherwise(F.col("text"))
     now = marked.filter(F.coalesce("toxic", F.lit(0)) == 0).select(
-        path, F.coalesce("quality", F.lit(0)).alias("modified")
+        path, F.coalesce("quality", F.lit(0)).alias("modified"), edited.alias("content")
     )
-    before = marked.filter("quality is not null").select(path, F.lit(0).alias("modified"))
+    before = marked.filter("quality is not null").select(path, F.lit(0).alias("modified"), F.col("text").alias("content"))
     return now, before
 
 
-def f04_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+def f04_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refresh.index_changes(*_snapshots(spark, sf_dir))
 
 
+def f04_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The old snapshot's index, brought up to date; per term its documents and occurrences."""
+    now, before = _snapshots(spark, sf_dir)
+    key = "relative_path"
+    changes = write_once(refresh.index_changes(now, before), "changes")
+    touched = now.join(changes, key, "left_semi")
+    index = refresh.refresh_terms(search.term_index(before, key), changes, search.term_index(touched, key))
+    return index.groupBy("term").agg(
+        F.count(F.lit(1)).alias("documents"), F.sum("tf").alias("occurrences"), F.sum("doc_len").alias("words_in_documents")
+    )
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {key: _of_model(name) for key, name in MODEL_KEYS.items()}
     out |= {
@@ -487,8 +532,8 @@ def queries() -> dict[str, Query]:
         "q10_suite": q10_suite,
         "v01_ucits_prices": _of(lambda m: ucits_rows(m, "fact_asset_price_daily", "asset_key")),
         "v02_ucits_fund_days": _of(lambda m: ucits_rows(m, "fact_etf_daily", "etf_key")),
-        "v03_ucits_sectors": _of(lambda m: ucits_rows(m, "bridge_etf_sector", "etf_key")),
-        "v04_ucits_geographies": _of(lambda m: ucits_rows(m, "bridge_etf_geography", "etf_key")),
+        "v03_ucits_sectors": _of(lambda m: ucits_rows(m, "bridge_etf_sector", "etf_key"), share=UNIVERSE),
+        "v04_ucits_geographies": _of(lambda m: ucits_rows(m, "bridge_etf_geography", "etf_key"), share=UNIVERSE),
         "v05_price_star": _star(
             star.PRICE_STAR, list(star.PRICE_STAR.metrics), ["provider_name", "year_number", "quarter_number"]
         ),
@@ -515,8 +560,17 @@ def queries() -> dict[str, Query]:
             where="sector_name in ('SMALL', 'LARGE')",
             where_dimensions=["sector_name"],
         ),
-        "v08_latest_year": _of(
-            lambda m: analyst.latest_year(m["stg_asset_prices"]).select("ticker", "full_date", "close_price")
+        "v05_price_rows": _star_rows(star.PRICE_STAR, list(star.PRICE_STAR.facts), ["ticker", "price_date"]),
+        "v05_price_values": _star(star.PRICE_STAR, [], ["provider_name", "index_family", "ter"]),
+        "v06_fund_rows": _star_rows(
+            star.FUND_STAR, _fund_facts(), ["ticker", "observation_date"], period=star.ALL_TIME
+        ),
+        "v06_exposure_rows": _star_rows(star.FUND_STAR, ["sector_exposure_weight"], ["ticker", "sector_name"]),
+        "v06_fund_values": _star(
+            star.FUND_STAR, [], ["geography_group", "index_name"], where="ticker <> 'BRAND#1'", where_dimensions=["ticker"]
+        ),
+        "v08_latest_year": _star(
+            star.PRICE_STAR, list(star.PRICE_STAR.metrics), ["ticker"], period=star.LATEST_YEAR
         ),
         "a01_compare_funds": _of(
             lambda m: analyst.compare_funds(ucits_rows(m, "fact_etf_daily", "etf_key"), m["dim_etf"])
@@ -524,9 +578,7 @@ def queries() -> dict[str, Query]:
         "a02_price_range": _of(
             lambda m: analyst.price_range(ucits_rows(m, "fact_asset_price_daily", "asset_key"), m["dim_etf"])
         ),
-        "a03_peer_group": _of(
-            lambda m: analyst.peer_group(analyst.ucits_funds(m["dim_etf"]), m["dim_equivalence_group"])
-        ),
+        "a03_peer_group": a03_peers,
         "a04_exposures": _of(
             lambda m: analyst.exposures(
                 analyst.ucits_funds(m["dim_etf"]),
@@ -534,12 +586,15 @@ def queries() -> dict[str, Query]:
                 m["dim_sector"],
                 m["bridge_etf_geography"],
                 m["dim_geography"],
-            )
+            ),
+            share=(*UNIVERSE, *EXPOSURES),
         ),
         "f01_document_table": documents,
         "f02_document_search": f02_search,
+        "f02_search_in_scope": f02_in_scope,
         "f03_vector_search": f03_vectors,
-        "f04_index_changes": f04_refresh,
+        "f04_index_changes": f04_changes,
+        "f04_index_refresh": f04_refresh,
         "f05_corpus_count": lambda s, d: search.corpus_count(documents(s, d)),
         "f05_corpus_listing": lambda s, d: search.corpus_listing(documents(s, d)),
     }

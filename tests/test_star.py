@@ -44,7 +44,7 @@ def tables(spark):
 
 
 def ask(tables, metrics, dims, **kw):
-    return {tuple(r)[: len(dims)]: tuple(r)[len(dims) :] for r in star.query(star.FUND_STAR, tables, metrics, dims, **kw).collect()}
+    return {tuple(r)[: len(dims)]: tuple(r)[len(dims) :] for r in star.query(star.FUND_STAR, tables, metrics, dims, **{"period": star.ALL_TIME, **kw}).collect()}
 
 
 def test_missing_foreign_keys_keep_their_facts(tables):
@@ -149,5 +149,29 @@ def test_questions(spark):
         [("g", "code", "G")],
         "equivalence_group_key string, equivalence_group_code string, equivalence_group_name string",
     )
-    peers = {(r.ticker, r.peer_ticker, r.is_self) for r in analyst.peer_group(etf, group, ["A"]).collect()}
+    peers = {(r.ticker, r.peer_ticker, r.is_self) for r in analyst.peer_group(etf, group, etf.filter("ticker = 'A'")).collect()}
     assert peers == {("A", "A", True), ("A", "B", False)}
+
+
+def test_latest_twelve_months_by_default(tables, spark):
+    old = tables["etf_facts"].limit(1).selectExpr("20181231 as date_key", "etf_key", "999D as close_price", "return_1d",
+                                                  "return_1m", "volatility_30d", "return_1y")
+    both = {**tables, "etf_facts": tables["etf_facts"].unionByName(old)}
+    assert ask(both, ["total_etf_records"], [], period=star.LATEST_YEAR) == {(): (4,)}
+    assert ask(both, ["total_etf_records"], []) == {(): (5,)}
+    named = star.query(star.FUND_STAR, both, ["total_etf_records"], [], "year_number is null", ["year_number"])
+    assert named.first()[0] == 1  # a filter on dates stands for itself
+
+
+def test_rows_and_values(tables):
+    got = star.rows(star.FUND_STAR, tables, ["close_price", "etf_record"], ["ticker"], period=star.ALL_TIME).collect()
+    assert sorted(map(tuple, got)) == [("T1", 10.0, 1)] * 2 + [("T2", 30.0, 1)] * 2
+    got = star.rows(star.FUND_STAR, tables, ["sector_exposure_weight"], ["sector_name"], "ticker = 'T1'", ["ticker"]).collect()
+    assert sorted(map(tuple, got)) == [("A", 50.0), ("B", 30.0), ("C", 20.0)]
+    assert {tuple(r) for r in star.query(star.FUND_STAR, tables, [], ["provider_name"]).collect()} == {("P",)}
+    pairs = star.query(star.FUND_STAR, tables, [], ["ticker", "sector_name"], "sector_name <> 'C'", ["sector_name"])
+    assert {tuple(r) for r in pairs.collect()} == {("T1", "A"), ("T1", "B"), ("T2", "A")}
+    with pytest.raises(ValueError, match="one table"):
+        star.rows(star.FUND_STAR, tables, ["close_price", "sector_exposure_weight"], ["ticker"])
+    with pytest.raises(ValueError, match="not reachable"):
+        star.rows(star.FUND_STAR, tables, ["close_price"], ["sector_name"])
