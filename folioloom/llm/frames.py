@@ -16,7 +16,6 @@ SCHEMAS = {
     "benchmark": "item_id bigint, text string",
     "labels": "doc_id bigint, quality int, toxic int",
 }
-DOCUMENTS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

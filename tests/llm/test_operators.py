@@ -408,7 +408,7 @@ def brute_rules(text):
 
 def test_quality_rules(spark, docs, clashing, empty):
     odd = ["# $ % | <b> &" * 5, "tick tock " * 40, prose(1, 30) * 2, "".join(chr(0x21 + random.Random(1).randrange(90)) for _ in range(5000)),
-           " ".join(f"{random.Random(i).getrandbits(128):x}" for i in range(400)), "ab " * 4000]
+           " ".join("".join(chr(0x21 + random.Random(i * 40 + j).randrange(90)) for j in range(30)) for i in range(400)), "ab " * 4000]
     both = docs.select("doc_id", "text").union(spark.createDataFrame([(600 + i, t) for i, t in enumerate(odd)], "doc_id bigint, text string"))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     got = compression_bands.score(both.withColumn("t2", F.col("text"))).collect()
