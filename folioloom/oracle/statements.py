@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from folioloom.oracle.expected_checks import EXPECTED
 from folioloom.oracle.tables import MODEL_LAYERS, TABLES, with_tables
-from folioloom.plans import checks, registry
+from folioloom.plans import registry
 
 
 def _rounded(columns: dict[str, int]) -> str:
@@ -54,6 +55,10 @@ _HAS = {
 }
 
 
+# The suite's day, as the registered query states it.
+_AS_OF = "date '2001-11-11'"
+
+
 def _model(name: str) -> str:
     columns = _HAS.get(registry.EXPORTS.get(name, name))
     replaced = f" replace ({_rounded({c: _PLACES[c] for c in columns.split()})})" if columns else ""
@@ -61,41 +66,12 @@ def _model(name: str) -> str:
 
 
 def _suite() -> str:
-    """Failing rows of each declared test, spelled out from its parameters."""
-    as_of = f"date '{registry.AS_OF}'"
+    """Failing rows of each expected test; the list is the oracle's own."""
     rows = []
-    for c in checks.declared_checks(as_of):
-        o, table = c.options, c.model if c.model != "demo_seed" else "t_seed"
-        if c.kind == "not_null":
-            n = f"(select count(*) from {table} where {c.target} is null)"
-        elif c.kind == "accepted_values":
-            listed = ", ".join(f"'{v}'" for v in o["values"])
-            n = f"(select count(*) from {table} where {c.target} not in ({listed}))"
-        elif c.kind == "between":
-            eq = "=" if o["strictly"] else ""
-            bounds = [f"{c.target} <{eq} {o['minimum']}"]
-            bounds += [f"{c.target} >{eq} {o['maximum']}"] if o["maximum"] is not None else []
-            n = f"(select count(*) from {table} where {' or '.join(bounds)})"
-        elif c.kind == "row_expression":
-            n = f"(select count(*) from {table} where {o['row_condition']} and not ({o['expression']}))"
-        elif c.kind == "unique":
-            n = (
-                f"(select count(*) from (select 1 from {table} where {c.target} is not null "
-                f"group by {c.target} having count(*) > 1))"
-            )
-        elif c.kind == "compound_unique":
-            n = f"(select count(*) from (select 1 from {table} group by {', '.join(o['columns'])} having count(*) > 1))"
-        elif c.kind == "relationships":
-            n = f"(select count(*) from {table} where {c.target} not in (select {o['field']} from {o['to']}))"
-        elif c.kind == "weights_balance":
-            total = f"sum({c.target})"
-            n = (
-                f"(select count(*) from (select 1 from {table} group by {o['group']} "
-                f"having abs({total} - 1) > 0.01 and abs({total} - 100) > 1))"
-            )
-        else:
-            n = f"(select count(*) from (select max({c.target}) m from {table}) where m < {as_of} - {o['max_age_days']})"
-        rows.append(f"select '{c.name}' as test, '{c.model}' as model, '{c.severity}' as severity, {n} as n_failures")
+    for model, name, severity, failing in EXPECTED:
+        table = "t_seed" if model == "demo_seed" else model
+        n = f"(select count(*) from (select 1 from {table} where {failing.format(as_of=_AS_OF)}))"
+        rows.append(f"select '{name}' as test, '{model}' as model, '{severity}' as severity, {n} as n_failures")
     body = " union all ".join(rows)
     seed = "t_seed as (select r_regionkey as seed_id, r_name as seed_name from region)"
     text = with_tables(

@@ -23,10 +23,6 @@ SHEETS = {
 RAW_TABLES = ["asset_master", "asset_prices", *SHEETS.values()]
 
 # DDL strings: usable before a session exists.
-LANDED_PRICES = (
-    "`Ticker` string, `Date` string, `Open` double, `High` double, `Low` double, "
-    "`Close` double, `Adj Close` double, `Volume` double"
-)
 SHEET_TYPES = {
     "etf_metadata": {"ter": "double", "inception_date": "date"},
     "etf_geography": {"exposure_weight": "double"},
