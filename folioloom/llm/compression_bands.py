@@ -48,7 +48,7 @@ class Bands:
     )
     chunk: int = 4096
     chunk_band: tuple[float, float] = (0.25, 0.80)
-    chunk_share: float = 0.34
+    chunk_share: float = 0.25
     level: int = 3
 
 
