@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -119,16 +120,23 @@ def matrix(column: pa.Array, s: Settings) -> np.ndarray:
 
 
 def nodes(rows: DataFrame, s: Settings, level: int) -> DataFrame:
-    """(node, cid) below rows of (node, cid, mins): all trees at the root, chosen branches elsewhere."""
+    """(node, cid) below rows of (node, cid, n, mins): all trees at the root, chosen branches elsewhere.
+
+    Root nodes are cut by size: bands are as wide as the ratio that a link allows, and a class is in its
+    own band and the next, so any two that can be linked share one.
+    """
     width = s.trees if level == 0 else s.branches
+    bands = 2 if level == 0 else 1
+    step = -np.log(s.percent / 100 - 1e-9)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
             above, cid = (batch.column(i).to_numpy() for i in (0, 1))
-            mins = matrix(batch.column(2), s)
-            for b in range(width):
+            mins = matrix(batch.column(3), s)
+            band = np.floor(np.log(batch.column(2).to_numpy()) / step).astype(np.int64)
+            for b, up in product(range(width), range(bands)):
                 if level == 0:
                     chosen = np.full(len(cid), b, np.int64)
                 else:  # by the node, so that all its classes choose alike; levels draw from tokens of their own
@@ -136,10 +144,12 @@ def nodes(rows: DataFrame, s: Settings, level: int) -> DataFrame:
                     free = np.uint64(s.coordinates - s.trees)
                     chosen = s.trees + (draw % free).astype(np.int64)
                 token = mins[np.arange(len(cid)), chosen].astype(np.uint64)
+                if level == 0:
+                    token += (band + up).astype(np.uint64) << np.uint64(32)
                 node = words.mix(token ^ words.mix(above.view(np.uint64) + chosen.astype(np.uint64) * np.uint64(2654435761) + np.uint64(level)))
                 yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(cid)], ["node", "cid"])
 
-    return rows.select("node", "cid", "mins").mapInArrow(run, "node bigint, cid bigint")
+    return rows.select("node", "cid", "n", "mins").mapInArrow(run, "node bigint, cid bigint")
 
 
 def screened(pairs: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
@@ -293,7 +303,7 @@ def link(docs: DataFrame, classes: DataFrame, s: Settings) -> DataFrame | None:
             edges = new if edges is None else edges.union(new)
             comps = write_once(components(edges), "near-components")
 
-    rows = classes.select(F.lit(0).cast("bigint").alias("node"), "cid", "mins")
+    rows = classes.select(F.lit(0).cast("bigint").alias("node"), "cid", "n", "mins")
     for level in range(s.depth + 1):
         placed = write_once(nodes(rows, s, level).distinct(), "near-nodes")
         stats = placed.groupBy("node").agg(
@@ -317,21 +327,25 @@ def link(docs: DataFrame, classes: DataFrame, s: Settings) -> DataFrame | None:
         )
         dense = write_once(dense.select("node", "dense"), "near-dense")
         large = large.select("node", "cid").join(dense, "node")
-        ids = near.selectExpr("a as cid").union(near.selectExpr("b as cid")).union(large.filter("dense").select("cid"))
-        texts = texts_of(docs, classes, ids)
-        # one pair for each class first: most others are connected by then
-        first = near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        add(confirmed(first, texts, s))
-        rest = with_comp(with_comp(near.join(first, ["a", "b"], "left_anti"), comps, "a", "ca"), comps, "b", "cb")
-        add(confirmed(rest.filter("ca <> cb"), texts, s))
+        some_near, some_dense = not near.isEmpty(), not dense.filter("dense").isEmpty()
+        if some_near or some_dense:
+            ids = near.selectExpr("a as cid").union(near.selectExpr("b as cid"))
+            texts = texts_of(docs, classes, ids.union(large.filter("dense").select("cid")))
+        if some_near:
+            # one pair for each class first: most others are connected by then
+            first = near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+            add(confirmed(first, texts, s))
+            rest = with_comp(with_comp(near.join(first, ["a", "b"], "left_anti"), comps, "a", "ca"), comps, "b", "cb")
+            add(confirmed(rest.filter("ca <> cb"), texts, s))
         labelled = with_comp(large, comps, "cid", "comp")
         open_nodes = labelled.groupBy("node").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y")
         left = write_once(labelled.join(open_nodes.select("node"), "node"), "near-open")
-        add(in_blocks(left.filter("dense").select("node", "cid", "comp"), texts, s))
+        if some_dense:
+            add(in_blocks(left.filter("dense").select("node", "cid", "comp"), texts, s))
         left = left.filter("not dense")
         if left.isEmpty():
             break
-        rows = left.select("node", "cid").join(classes.select("cid", "mins"), "cid")
+        rows = left.select("node", "cid").join(classes.select("cid", "n", "mins"), "cid")
     return comps
 
 
