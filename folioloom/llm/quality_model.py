@@ -109,8 +109,21 @@ def fit(sample: DataFrame, text: str, label: str, order: str, s: Settings = Sett
     so_far = F.sum(F.octet_length(text)).over(W.orderBy(order, F.xxhash64(text)))
     rows = sample.filter(F.col(label).isNotNull() & F.col(text).isNotNull()).orderBy(order, F.xxhash64(text))
     rows = rows.limit(s.sample_rows).withColumn("_bytes", so_far).filter(F.col("_bytes") <= s.sample_bytes)
-    held = rows.select(F.col(text).cast("binary").alias("t"), F.col(label).cast("int").alias("y")).toArrow()
-    return train(held.column("t").combine_chunks(), held.column("y").to_numpy(), s)
+    held = rows.select(F.col(text).cast("binary").alias("t"), F.col(label).cast("int").alias("y"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = list(batches)
+        texts = pa.chunked_array([b.column(0) for b in seen], pa.binary()).combine_chunks()
+        labels = np.concatenate([np.zeros(0, int), *(b.column(1).to_numpy() for b in seen)])
+        m = train(texts, labels, s)
+        columns = [pa.array([m.weight.astype("<f4").tobytes()], pa.binary()), pa.array([m.prior])]
+        yield pa.RecordBatch.from_arrays(columns, ["weight", "prior"])
+
+    # one task holds the bounded sample; only the weights come to the driver
+    got = held.coalesce(1).mapInArrow(run, "weight binary, prior double").collect()
+    if not got:
+        return train(pa.array([], pa.binary()), np.zeros(0, int), s)
+    return Model(s, np.frombuffer(bytes(got[0].weight), "<f4").copy(), got[0].prior)
 
 
 def train(texts: pa.Array, labels: np.ndarray, s: Settings = Settings()) -> Model:
