@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 MAGIC = b"FRV1"
 BLOCK_IDS = 1 << 20
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
 BLOCKS = "part int, seq int, doc_ids array<bigint>, n_ids bigint, image binary"
 #: Lengths of the four ranks of every control byte.
 LENGTHS = np.array([[1 + (c >> 2 * i & 3) for i in range(4)] for c in range(256)], np.int64)
