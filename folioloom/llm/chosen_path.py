@@ -293,15 +293,15 @@ def with_comp(rows: DataFrame, comps: DataFrame | None, key: str, name: str) ->
 
 def link(docs: DataFrame, classes: DataFrame, s: Settings) -> DataFrame | None:
     """(id, comp) of linked classes; None without any link."""
-    edges: DataFrame | None = None
     comps: DataFrame | None = None
 
     def add(new: DataFrame) -> None:
-        nonlocal edges, comps
+        """Join new links to the components so far, which stand for all earlier links."""
+        nonlocal comps
         new = write_once(new, "near-links")
         if not new.isEmpty():
-            edges = new if edges is None else edges.union(new)
-            comps = write_once(components(edges), "near-components")
+            known = new if comps is None else new.union(comps.selectExpr("id as a", "comp as b"))
+            comps = write_once(components(known), "near-components")
 
     rows = classes.select(F.lit(0).cast("bigint").alias("node"), "cid", "n", "mins")
     for level in range(s.depth + 1):
