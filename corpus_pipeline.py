@@ -13,8 +13,13 @@ QUALITY_THRESHOLD = 0.7
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts; it learns from the labels of these documents."""
+    """Documents that the classifier accepts; it learns from the labels of these documents.
+
+    A classifier that has not met both labels would give all documents one score, so that is an error.
+    """
     model = quality_model.from_labels(docs, table(spark, sf_dir, "labels"))
+    if not model.both_classes and not docs.isEmpty():
+        raise ValueError(f"quality: {model.rows} usable labelled texts, {model.ones} with label 1; both labels are needed")
     scored = quality_model.score(docs, model, name="_score")
     return scored.filter(F.col("_score") >= QUALITY_THRESHOLD).select(*docs.columns)
 

@@ -3,16 +3,23 @@
 Every word and each of its character n-grams (taken over the word between two boundary marks) is
 hashed to a row of one embedding table. A document is the mean of its rows, a softmax layer on top
 gives the classes, and both are learned by numpy stochastic gradient descent on a bounded sample of
-labelled rows (``Settings.sample_rows`` and ``sample_bytes``). The layer is linear in
+labelled rows. The layer is linear in
 the mean, so for scoring the table shrinks to one number per row, the row's share of the
 log-odds: 2**bits floats, whatever the corpus. Scoring is one pass inside Spark tasks, no exchange.
 
+The sample is chosen from ids and lengths, and only chosen texts move. A labelled text above ``row_bytes`` is
+passed over, and the next one takes its place; of the others, the ``sample_rows`` with the lowest hashes of
+their ids are taken, up to ``sample_bytes`` together. So long texts cannot crowd others out: the sample has
+``sample_bytes / row_bytes`` rows at least (128 by default), or all that are usable. Below ``least_rows``, or
+without both classes, the driver warns.
+
 Null and empty texts have no features and get the learned prior. Sums run per document, so scores
 do not depend on how rows are batched. A sample of one class only gives that class's share as score.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,6 +43,8 @@ class Settings:
 
     sample_rows: int = 6000
     sample_bytes: int = 32 << 20
+    row_bytes: int = 256 << 10
+    least_rows: int = 100
     bits: int = 18
     dims: int = 16
     grams: tuple[int, ...] = (3, 4, 5)
@@ -46,11 +55,17 @@ class Settings:
 
 @dataclass(frozen=True)
 class Model:
-    """Log-odds share of every feature row, and of the prior."""
+    """Log-odds share of every feature row, and of the prior; labels it has learned from, and those that are 1."""
 
     settings: Settings
     weight: np.ndarray
     prior: float
+    rows: int = 0
+    ones: int = 0
+
+    @property
+    def both_classes(self) -> bool:
+        return 0 < self.ones < self.rows
 
 
 def features(p: words.Piece, s: Settings) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -103,27 +118,23 @@ def spans(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit(sample: DataFrame, text: str, label: str, order: str, s: Settings = Settings()) -> Model:
-    """Learn from at most ``sample_rows`` rows and ``sample_bytes`` of text, lowest ``order`` first."""
-    # at most sample_rows rows meet in this window
-    so_far = F.sum(F.octet_length(text)).over(W.orderBy(order, F.xxhash64(text)))
-    rows = sample.filter(F.col(label).isNotNull() & F.col(text).isNotNull()).orderBy(order, F.xxhash64(text))
-    rows = rows.limit(s.sample_rows).withColumn("_bytes", so_far).filter(F.col("_bytes") <= s.sample_bytes)
-    held = rows.select(F.col(text).cast("binary").alias("t"), F.col(label).cast("int").alias("y"))
+def fit(rows: DataFrame, s: Settings = Settings()) -> Model:
+    """Learn from all rows of a bounded sample (_text binary, _y, _rank, _hash)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = list(batches)
         texts = pa.chunked_array([b.column(0) for b in seen], pa.binary()).combine_chunks()
         labels = np.concatenate([np.zeros(0, int), *(b.column(1).to_numpy() for b in seen)])
         m = train(texts, labels, s)
-        columns = [pa.array([m.weight.astype("<f4").tobytes()], pa.binary()), pa.array([m.prior])]
-        yield pa.RecordBatch.from_arrays(columns, ["weight", "prior"])
+        columns = [pa.array([m.weight.astype("<f4").tobytes()], pa.binary()), *(pa.array([x]) for x in (m.prior, m.rows, m.ones))]
+        yield pa.RecordBatch.from_arrays(columns, ["weight", "prior", "n", "ones"])
 
     # one task holds the bounded sample; only the weights come to the driver
-    got = held.coalesce(1).mapInArrow(run, "weight binary, prior double").collect()
+    held = rows.repartition(1).sortWithinPartitions("_rank", "_hash", "_y").select("_text", F.col("_y").cast("int"))
+    got = held.mapInArrow(run, "weight binary, prior double, n bigint, ones bigint").collect()
     if not got:
         return train(pa.array([], pa.binary()), np.zeros(0, int), s)
-    return Model(s, np.frombuffer(bytes(got[0].weight), "<f4").copy(), got[0].prior)
+    return Model(s, np.frombuffer(bytes(got[0].weight), "<f4").copy(), got[0].prior, got[0].n, got[0].ones)
 
 
 def train(texts: pa.Array, labels: np.ndarray, s: Settings = Settings()) -> Model:
@@ -134,10 +145,11 @@ def train(texts: pa.Array, labels: np.ndarray, s: Settings = Settings()) -> Mode
             ids, count = np.unique(np.concatenate([f[e[i] : e[i + 1]] for f, e in found]), return_counts=True)
             bags.append((ids.astype(np.int32), (count / max(1, count.sum())).astype(np.float32)))
     y = np.asarray(labels)
+    ones = int((y == 1).sum())
     share = (y == 1).mean() if len(y) else 0.5
     if share in (0.0, 1.0) or not len(y):
         odds = np.log((share * len(y) + 1) / ((1 - share) * len(y) + 1)) if len(y) else 0.0
-        return Model(s, np.zeros(1 << s.bits, np.float32), float(odds))
+        return Model(s, np.zeros(1 << s.bits, np.float32), float(odds), len(y), ones)
     random = np.random.default_rng(s.seed)
     table = ((random.random((1 << s.bits, s.dims)) - 0.5) / s.dims).astype(np.float32)
     layer, bias = np.zeros((s.dims, 2), np.float32), np.zeros(2, np.float32)
@@ -157,7 +169,7 @@ def train(texts: pa.Array, labels: np.ndarray, s: Settings = Settings()) -> Mode
             layer -= 0.05 * rate * np.outer(mean, wrong)
             bias -= 0.002 * rate * wrong
             table[ids] = rows - rate * share_of[:, None] * pull
-    return Model(s, table @ (layer[:, 1] - layer[:, 0]), float(bias[1] - bias[0]))
+    return Model(s, table @ (layer[:, 1] - layer[:, 0]), float(bias[1] - bias[0]), len(y), ones)
 
 
 def scores(texts: pa.Array, model: Model) -> np.ndarray:
@@ -191,17 +203,33 @@ def held_out(doc_id) -> F.Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def from_labels(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
-    """Learn ``quality`` of ``labels`` on the texts of ``docs``, without held-out ids.
+def chosen(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """(_id, _hash, _y, _rank) of the sample: at most ``sample_rows`` short rows, small by that bound.
 
-    Labelled ids are chosen first, lowest hash first, so that only their texts move;
-    the chosen side has at most ``sample_rows`` short rows and is small by that bound.
+    Only ids, hashes and lengths are joined and ordered. Copies with one id, text and label count once.
     """
     usable = labels.filter(labels["quality"].isNotNull() & labels["doc_id"].isNotNull() & ~held_out(labels["doc_id"]))
-    picked = (
-        usable.select(F.col("doc_id").alias("_id"), F.col("quality").alias("_y"), F.xxhash64("doc_id").alias("_rank"))
-        .orderBy("_rank", "_id", "_y")
-        .limit(s.sample_rows)
-    )
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_id"))
-    return fit(rows.select("text", "_y", "_rank"), "text", "_y", "_rank", s)
+    usable = usable.select(F.col("doc_id").alias("_id"), F.col("quality").alias("_y")).distinct()
+    sized = docs.select("doc_id", F.xxhash64("text").alias("_hash"), F.octet_length("text").cast("bigint").alias("_bytes"))
+    sized = sized.filter(F.col("_bytes") <= s.row_bytes).distinct()  # null has no length
+    both = usable.join(sized, F.col("_id") == F.col("doc_id")).withColumn("_rank", F.xxhash64("_id"))
+    order = ["_rank", "_id", "_hash", "_y"]
+    first = both.select(*order, "_bytes").orderBy(*order).limit(s.sample_rows)
+    # at most sample_rows short rows meet in this window
+    first = first.withColumn("_so_far", F.sum("_bytes").over(W.orderBy(*order)))
+    return first.filter(F.col("_so_far") <= s.sample_bytes).select(*order)
+
+
+def from_labels(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
+    """Learn ``quality`` of ``labels`` on the texts of ``docs``, without held-out ids."""
+    rows = docs.select("doc_id", F.col("text").cast("binary").alias("_text"), F.xxhash64("text").alias("_h"))
+    same = (F.col("doc_id") == F.col("_id")) & (F.col("_h") == F.col("_hash"))
+    rows = rows.join(F.broadcast(chosen(docs, labels, s)), same).dropDuplicates(["_id", "_hash", "_y"])
+    model = fit(rows.select("_text", "_y", "_rank", "_hash"), s)
+    if model.rows < s.least_rows or not model.both_classes:
+        warnings.warn(
+            f"quality: {model.rows} labelled texts to learn from, {model.ones} of them with label 1; below "
+            f"{s.least_rows}, or without both labels, scores say little",
+            stacklevel=2,
+        )
+    return model

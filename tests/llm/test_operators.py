@@ -161,6 +161,27 @@ def test_quality_without_labels_or_of_one_class(spark, docs):
     assert quality_model.score(docs, quality_model.from_labels(docs, same)).first().score > 0.8
 
 
+def test_long_labelled_texts_do_not_end_the_sample(spark):
+    word = F.when(F.col("id") % 2 == 1, "house river stone ").otherwise("buy qqq zxq ")
+    made = spark.range(400).select(F.col("id").alias("doc_id"), F.repeat(word, F.lit(8)).alias("text"))
+    usable = made.filter(~quality_model.held_out(F.col("doc_id")))
+    # the lowest hash has a text above the whole sample's bound, the next ones some MB each
+    low = [r.doc_id for r in usable.orderBy(F.xxhash64("doc_id")).limit(6).collect()]
+    times = F.when(F.col("doc_id") == low[0], 7_000_000).when(F.col("doc_id").isin(low), 1_400_000).otherwise(0)
+    long = made.withColumn("text", F.when(times > 0, F.repeat(F.lit("long "), times)).otherwise(F.col("text")))
+    labels = spark.range(400).selectExpr("id as doc_id", "int(id % 2) as quality", "0 as toxic")
+    m = quality_model.from_labels(long, labels)
+    got = quality_model.score(made, m).collect()
+    assert sum((r.score >= 0.5) == (r.doc_id % 2 == 1) for r in got) > 390
+    assert m.rows == usable.count() - len(low) and m.both_classes
+
+
+def test_small_or_one_sided_samples_warn(spark, docs):
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(30)], "doc_id bigint, quality int, toxic int")
+    with pytest.warns(UserWarning, match="labelled texts to learn from"):
+        quality_model.from_labels(docs, labels)
+
+
 @pytest.mark.skipif(not __import__("os").path.exists(SF_DIR), reason="test tables are not here")
 def test_quality_on_held_out_labels(spark):
     sf = SF_DIR.replace("0.001", "0.01")
