@@ -5,6 +5,12 @@ compresses is noise. The ratio (compressed / raw bytes) depends on the length, s
 has little to refer back to, so limits come in length classes. Whole documents and fixed chunks
 are both measured: a long document can hide a repetitive or random stretch in a normal average.
 
+Ratios of prose fall with length, so a class's highest ratio is what running text reaches at the class's
+shortest length: the largest of 1.5 MB of general text (technical English, licences, manuals), rounded up.
+Text with more than a quarter of its bytes outside ASCII (Greek, Cyrillic, Chinese, ...) compresses
+differently and has highest ratios of its own, from translated messages of such languages. Noise below these
+limits cannot be told from prose by a ratio; the README says which.
+
 One pass over whole texts inside Spark tasks; no exchange. Null counts as an empty text: all
 figures 0, ``base_failed`` true, ``kept`` false. Repeated rows get the same answer each.
 """
@@ -33,23 +39,29 @@ SYMBOLS[list(b"#*$%&|<>")] = True
 
 @dataclass(frozen=True)
 class Bands:
-    """(up to so many bytes, lowest ratio, highest ratio), by length; and the chunk rule.
+    """(up to so many bytes, lowest ratio, highest ratio, highest if mostly outside ASCII), and the chunk rule.
 
     A text is rejected if its ratio is outside its band, or if more than ``chunk_share`` of its
     full chunks are outside ``chunk_band``. Texts of one chunk or less have no chunk rule.
     """
 
-    whole: tuple[tuple[float, float, float], ...] = (
-        (128, 0.0, 1.35),
-        (512, 0.35, 1.02),
-        (2048, 0.30, 0.85),
-        (8192, 0.28, 0.80),
-        (float("inf"), 0.22, 0.75),
+    whole: tuple[tuple[float, float, float, float], ...] = (
+        (128, 0.0, 1.35, 1.35),
+        (256, 0.35, 1.08, 1.08),
+        (512, 0.35, 0.91, 1.05),
+        (1024, 0.30, 0.79, 0.92),
+        (2048, 0.30, 0.70, 0.78),
+        (4096, 0.28, 0.61, 0.67),
+        (8192, 0.28, 0.56, 0.60),
+        (16384, 0.22, 0.52, 0.56),
+        (float("inf"), 0.22, 0.46, 0.54),
     )
     chunk: int = 4096
-    chunk_band: tuple[float, float] = (0.25, 0.80)
+    chunk_band: tuple[float, float, float] = (0.25, 0.56, 0.60)
     chunk_share: float = 0.25
     level: int = 3
+    #: Share of bytes outside ASCII above which the last limit holds.
+    wide: float = 0.25
 
 
 def score(df: DataFrame, text: str = "text", bands: Bands = Bands()) -> DataFrame:
@@ -97,13 +109,19 @@ def compression(doc: bytes, press: zstandard.ZstdCompressor, bands: Bands) -> tu
     """(ratio, chunks, repetitive chunks, incompressible chunks, inside all bands); empty texts fit."""
     if not doc:
         return 0.0, 0, 0, 0, True
+    far = np.frombuffer(doc, np.uint8) >= 0x80
+
+    def highest(limits: tuple[float, ...], first: int, last: int) -> float:
+        return limits[-1] if far[first:last].mean() > bands.wide else limits[-2]
+
     ratio = len(press.compress(doc)) / len(doc)
-    lowest, highest = next((lo, hi) for most, lo, hi in bands.whole if len(doc) <= most)
+    _, lowest, *most = next(x for x in bands.whole if len(doc) <= x[0])
     n = len(doc) // bands.chunk if len(doc) > bands.chunk else 0
-    each = [len(press.compress(doc[i * bands.chunk : (i + 1) * bands.chunk])) / bands.chunk for i in range(n)]
+    starts = [i * bands.chunk for i in range(n)]
+    each = [len(press.compress(doc[i : i + bands.chunk])) / bands.chunk for i in starts]
     low = sum(r < bands.chunk_band[0] for r in each)
-    high = sum(r > bands.chunk_band[1] for r in each)
-    fits = lowest <= ratio <= highest and low + high <= bands.chunk_share * n
+    high = sum(r > highest(bands.chunk_band, i, i + bands.chunk) for i, r in zip(starts, each, strict=True))
+    fits = lowest <= ratio <= highest(most, 0, len(doc)) and low + high <= bands.chunk_share * n
     return ratio, n, low, high, fits
 
 

@@ -1,5 +1,6 @@
 """Each operator against a brute-force version, and on odd input."""
 
+import base64
 import hashlib
 import random
 import re
@@ -451,6 +452,22 @@ def test_bands_reject_repetition_and_noise():
     assert not fits(plain + noise)  # only the chunks tell
 
 
+def test_hex_letters_and_base64_are_noise(spark):
+    noise = {
+        1: " ".join(f"{random.Random(i).getrandbits(128):x}" for i in range(400)),  # the case of 916ae27
+        2: " ".join("".join(random.Random(i).choices("abcdefghijklmnopqrstuvwxyz", k=30)) for i in range(200)),
+        3: " ".join(base64.b64encode(random.Random(i).randbytes(24)).decode() for i in range(40)),
+        4: " ".join(base64.b64encode(random.Random(i).randbytes(24)).decode() for i in range(200)),
+    }
+    r = random.Random(5)
+    characters = [chr(0x4E00 + i) for i in range(3000)]
+    rare = [1 / (i + 1) for i in range(3000)]
+    wide = " ".join("".join(r.choices(characters, rare, k=12)) for _ in range(300))  # letters of three bytes
+    rows = [*noise.items(), (10, prose(3, 3000)), (11, prose(4, 120)), (12, wide)]
+    got = {x.doc_id: x for x in compression_bands.score(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert [k for k, x in got.items() if x.kept] == [10, 11, 12] and not any(x.base_failed for x in got.values())
+
+
 # --- registered queries ---
 
 
