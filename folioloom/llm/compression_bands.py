@@ -42,7 +42,8 @@ class Bands:
     """(up to so many bytes, lowest ratio, highest ratio, highest if mostly outside ASCII), and the chunk rule.
 
     A text is rejected if its ratio is outside its band, or if more than ``chunk_share`` of its
-    full chunks are outside ``chunk_band``. Texts of one chunk or less have no chunk rule.
+    chunks are outside ``chunk_band``. Chunks are full; if some bytes are left over, one more ends at the end of
+    the text and overlaps the one before. Texts of one chunk or less have no chunk rule.
     """
 
     whole: tuple[tuple[float, float, float, float], ...] = (
@@ -116,8 +117,8 @@ def compression(doc: bytes, press: zstandard.ZstdCompressor, bands: Bands) -> tu
 
     ratio = len(press.compress(doc)) / len(doc)
     _, lowest, *most = next(x for x in bands.whole if len(doc) <= x[0])
-    n = len(doc) // bands.chunk if len(doc) > bands.chunk else 0
-    starts = [i * bands.chunk for i in range(n)]
+    starts = [*range(0, len(doc) - bands.chunk, bands.chunk), len(doc) - bands.chunk] if len(doc) > bands.chunk else []
+    n = len(starts)
     each = [len(press.compress(doc[i : i + bands.chunk])) / bands.chunk for i in starts]
     low = sum(r < bands.chunk_band[0] for r in each)
     high = sum(r > highest(bands.chunk_band, i, i + bands.chunk) for i, r in zip(starts, each, strict=True))

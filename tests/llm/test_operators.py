@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from dataclasses import replace
 from itertools import combinations
 
 import duckdb
@@ -452,6 +453,20 @@ def test_bands_reject_repetition_and_noise():
     assert not fits(plain + noise)  # only the chunks tell
 
 
+@pytest.mark.parametrize("tail", [4095, 3000, 4096])
+def test_the_end_of_a_text_is_judged(tail):
+    import zstandard
+
+    press, bands = zstandard.ZstdCompressor(level=3), compression_bands.Bands()
+    plain = prose(3, 3000).encode()[:4096]
+    noise = bytes(random.Random(1).choices(range(0x21, 0x7F), k=tail))
+    loose = replace(bands, whole=((float("inf"), 0.0, 2.0, 2.0),))  # only the chunks tell
+    for text in (plain + noise, noise + plain):
+        assert not compression_bands.compression(text, press, loose)[-1] and not compression_bands.compression(text, press, bands)[-1]
+    assert compression_bands.compression(plain + b"x", press, bands)[1:] == (2, 0, 0, True)
+    assert compression_bands.compression(plain * 2, press, loose)[1] == 2 and compression_bands.compression(plain, press, bands)[1] == 0
+
+
 def test_hex_letters_and_base64_are_noise(spark):
     noise = {
         1: " ".join(f"{random.Random(i).getrandbits(128):x}" for i in range(400)),  # the case of 916ae27
