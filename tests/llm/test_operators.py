@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import compare
+import corpus_pipeline
 from folioloom.llm import (
     chosen_path, compression_bands, curriculum, decontam, feistel, fm_index, line_windows, quality_model, substring,
     token_store, url_cascade, words,
@@ -345,6 +346,36 @@ def test_near_duplicates_odd(docs, clashing, empty):
     assert chosen_path.one_of_each(clashing).columns == clashing.columns and chosen_path.one_of_each(empty).count() == 0
 
 
+def brute_one_of_each(rows, k=5):
+    """Rows (id, text, ...) that stay: per component the lowest id, null last; rows without words all stay."""
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    split = [words_of((r[1] or "").translate(lower)) for r in rows]
+    sets = [{tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set() for w in split]
+    group = list(range(len(rows)))
+    for i, j in combinations(range(len(rows)), 2):
+        both = len(sets[i] & sets[j])
+        if both and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+            group = [group[i] if g == group[j] else g for g in group]
+    first = {}
+    for i, g in enumerate(group):
+        key = lambda x: (rows[x][0] is None, rows[x][0] or 0)
+        first[g] = min(first.get(g, i), i, key=key)
+    return [r for i, r in enumerate(rows) if not sets[i] or first[group[i]] == i]
+
+
+def test_pipeline_compares_five_words(spark, tmp_path):
+    base = prose(21, 200).split()
+    other = list(base)
+    for at in (20, 60, 100, 140, 180):  # 177 of 217 four-word shingles in common, 171 of 221 of five words
+        other[at] = f"new{at}"
+    near = list(base)
+    near[100] = "new"
+    rows = [(1, " ".join(base)), (2, " ".join(other)), (3, " ".join(near)), (4, prose(22, 90)), (5, prose(22, 90)), (None, prose(23, 50)), (6, None), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()
+    assert Counter(map(tuple, got)) == Counter(brute_one_of_each(rows)) and {r.doc_id for r in got} == {1, 2, 4, 6, 7, None}
+
+
 # --- 8: tokens ---
 
 
