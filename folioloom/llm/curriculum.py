@@ -138,8 +138,18 @@ def mix(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     row = F.struct(*docs.drop("position").columns).alias("_row")
     sized = docs.select(row, "doc_id", "source", size_of(F.col("text")).alias("size"))
     taken = plan_copies(sized, plan).select("_row", F.explode("positions").alias("position"))
-    out = taken.select("_row.*", "position")
-    return out.repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id")
+    return by_position(taken.select("_row.*", "position"))
+
+
+def positions(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
+    """(doc_id, source, size, copy, position) of every taken copy, range-sorted by position, without texts."""
+    sized = docs.select("doc_id", "source", size_of(F.col("text")).alias("size"))
+    taken = plan_copies(sized, plan).select("doc_id", "source", "size", F.posexplode("positions").alias("copy", "position"))
+    return by_position(taken)
+
+
+def by_position(rows: DataFrame) -> DataFrame:
+    return rows.repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id")
 
 
 SQL = r"""

@@ -61,6 +61,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.plan_copies(sized).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training positions of the copies that op6_mixing counts; that query keeps the columns of its SQL twin."""
+    return curriculum.positions(table(spark, sf_dir, "documents"))
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("hash", "component")
 
@@ -80,7 +85,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_bands.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = (op1_url_filter, op2_line_dedup, op3_quality, op4_shards, op5_substrings, op6_mixing, op7_near_duplicates, op8_tokens, op9_decontamination, op10_quality_rules)
+QUERIES = (op1_url_filter, op2_line_dedup, op3_quality, op4_shards, op5_substrings, op6_mixing, op6_positions, op7_near_duplicates, op8_tokens, op9_decontamination, op10_quality_rules)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

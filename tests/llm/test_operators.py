@@ -297,6 +297,55 @@ def test_schedule_is_inverted(spark):
         assert np.allclose(got, times, atol=1e-4)
 
 
+def brute_mix(rows, plan=curriculum.Plan()):
+    """(row, copy, position) of each copy taken of rows (id, text, source), by numeric inversion."""
+    size = lambda r: len(words_of(r[1]))
+    by = defaultdict(list)
+    for r in rows:
+        by[r[2]].append(r)
+    names = sorted(by, key=lambda x: (x is None, x or ""))
+    total = {n: sum(map(size, by[n])) for n in names}
+    weight = {n: plan.weights[i % 3] for i, n in enumerate(names)}
+    low, high = 0.0, 2.0 * sum(total.values()) + 1
+    for _ in range(200):  # the level at which capped targets make up the share
+        level = (low + high) / 2
+        enough = sum(min(2 * total[n], level * weight[n]) for n in names) >= 1.5 * sum(total.values())
+        low, high = (low, level) if enough else (level, high)
+    for i, n in enumerate(names):
+        target, done = min(2 * total[n], high * weight[n]), 0
+        f = plan.factors[i % 3]
+        fine = np.linspace(0, 1, 20001)
+        at = np.interp(fine, np.linspace(0, 1, len(f)), f)
+        demand = np.concatenate([[0], np.cumsum((at[1:] + at[:-1]) / 2)])
+        for r in sorted(by[n], key=lambda r: (hashlib.md5(str("" if r[0] is None else r[0]).encode()).hexdigest(), size(r))):
+            for copy in range(2):
+                middle = done + copy * total[n] + size(r) / 2
+                if middle <= target:
+                    yield r, copy, float(np.interp(middle / target if target else 0, demand / demand[-1], fine))
+            done += size(r)
+
+
+def test_positions_of_all_copies(spark):
+    rows = [(i, prose(i, 20 + i % 37), f"s{i % 7}" if i % 11 else None) for i in range(150)] + [(None, prose(7, 9), "s1"), (900, None, "s2"), (901, "", "s3")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = curriculum.positions(docs).collect()
+    expected = {(r[0], r[2], copy): at for r, copy, at in brute_mix(rows)}
+    assert len(got) == len(expected) and {(r.doc_id, r.source, r.copy) for r in got} == set(expected)
+    assert all(abs(r.position - expected[(r.doc_id, r.source, r.copy)]) < 1e-4 for r in got)
+    assert [r.position for r in got] == sorted(r.position for r in got)
+
+
+@pytest.mark.skipif(not __import__("os").path.exists(SF_DIR), reason="test tables are not here")
+def test_registered_positions_agree_with_taken_words(spark):
+    got = contract.queries()["op6_positions"](spark, SF_DIR).collect()
+    taken = Counter()
+    for r in got:
+        taken[r.doc_id] += r.size
+    mixed = contract.queries()["op6_mixing"](spark, SF_DIR).collect()
+    assert {r.doc_id: r.taken for r in mixed if r.taken} == {k: v for k, v in taken.items() if v}
+    assert [r.position for r in got] == sorted(r.position for r in got) and all(0 <= r.position <= 1 for r in got)
+
+
 # --- 7: near-duplicates ---
 
 
