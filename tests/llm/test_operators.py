@@ -563,6 +563,41 @@ def test_hex_letters_and_base64_are_noise(spark):
     assert [k for k, x in got.items() if x.kept] == [10, 11, 12] and not any(x.base_failed for x in got.values())
 
 
+# --- pipeline ---
+
+
+def test_pipeline_and_its_stages(spark, tmp_path):
+    r = random.Random(8)
+    rows = [(i, prose(i, 60) if i % 2 else " ".join(r.choices(["buy", "zxq!", "qqq", "$$$", "##", "win"], k=60)), f"s{i % 5}") for i in range(120)]
+    passage, near = prose(999, 20), prose(5, 60).split()
+    near[30] = "new"
+    rows += [(200, prose(1, 60), "s1"), (201, " ".join(near), "s2"), (202, prose(70, 40) + " " + passage, "s3"), (203, passage.upper(), "s3")]
+    rows += [(None, prose(300, 60), None), (204, None, "s1"), (205, "", None), (206, "x", "s2")]
+    labels, items = [(i, i % 2, 0) for i in range(120)], [(1, passage), (2, None)]
+    docs = spark.createDataFrame([(d, t, "en", s, None) for d, t, s in rows], ROW)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    rank = {x.id: x.h for x in spark.range(120).selectExpr("id", "xxhash64(id) as h").collect()}
+    ids = sorted((i for i in rank if zlib.crc32(str(i).encode()) % 4 != 2), key=rank.get)
+    model = quality_model.train(pa.array([rows[i][1] for i in ids]), np.array([i % 2 for i in ids]))
+    good = [x for x, p in zip(rows, quality_model.scores(pa.array([x[1] for x in rows]), model), strict=True) if p >= 0.7]
+    single = brute_one_of_each(good)
+    clean = [x for x, hit in zip(single, brute_hits([x[:2] for x in single], items), strict=True) if not hit[5]]
+    mixed = [x for x, _, at in sorted(brute_mix(clean), key=lambda y: y[2])]
+    assert len(rows) > len(good) > len(single) > len(clean) > 10
+    for (_, stage), expected in zip(corpus_pipeline.STAGES, (good, single, clean, mixed), strict=False):
+        got = stage(spark, docs, str(tmp_path)).collect()
+        assert Counter((x.doc_id, x.text, x.source) for x in got) == Counter(expected)
+        docs = spark.createDataFrame(got, ROW)
+    ordered = sorted(mixed, key=lambda x: (x[0] is None, x[0] or 0))
+    place = feistel.permute(np.arange(len(ordered)), len(ordered), 20).tolist()
+    expected = Counter((*x, p % 16, p // 16) for x, p in zip(ordered, place, strict=True))
+    for got in (corpus_pipeline.shards(spark, docs, str(tmp_path)), contract.queries()["pipeline"](spark, str(tmp_path))):
+        assert Counter((x.doc_id, x.text, x.source, x.shard, x.slot) for x in got.collect()) == expected
+
+
 # --- registered queries ---
 
 
