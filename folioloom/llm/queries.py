@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioloom.llm import chosen_path, compression_bands, curriculum, decontam, feistel, line_windows, quality_model, substring, token_store, url_cascade
+from folioloom.llm import chosen_path, compression_bands, curriculum, decontam, feistel, line_windows, personal_data, quality_model, spelling_variants, substring, token_store, url_cascade, word_runs
 from folioloom.llm.frames import bytes_of, crc_of, table
 from folioloom.session import scratch_path
 
@@ -85,7 +85,31 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_bands.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = (op1_url_filter, op2_line_dedup, op3_quality, op4_shards, op5_substrings, op6_mixing, op6_positions, op7_near_duplicates, op8_tokens, op9_decontamination, op10_quality_rules)
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in personal_data.KINDS]
+    base, spans = (personal_data.listed(F.col(c)) for c in ("base", "spans"))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"))
+
+
+def op12_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = word_runs.collapse(table(spark, sf_dir, "documents").select("doc_id", "text"), loops=True)
+    best = F.col("strongest")
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[x].cast("string") for x in ("start", "length", "period"))), F.lit("\n")))
+    return docs.select(
+        "doc_id", "n_runs", best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.grouped(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = (
+    op1_url_filter, op2_line_dedup, op3_quality, op4_shards, op5_substrings, op6_mixing, op6_positions, op7_near_duplicates, op8_tokens, op9_decontamination, op10_quality_rules,
+    op11_personal_data, op12_word_runs, op13_spelling_variants)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -93,4 +117,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": url_cascade.SQL, "op2_line_dedup": line_windows.SQL, "op5_substrings": substring.SQL, "op6_mixing": curriculum.SQL, "op9_decontamination": decontam.SQL}
+    return {"op1_url_filter": url_cascade.SQL, "op2_line_dedup": line_windows.SQL, "op5_substrings": substring.SQL, "op6_mixing": curriculum.SQL, "op9_decontamination": decontam.SQL, "op13_spelling_variants": spelling_variants.SQL}
