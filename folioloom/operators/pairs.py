@@ -18,20 +18,6 @@ from folioloom.session import write_once
 BLOCKS = 4
 
 
-def block_join(left: DataFrame, right: DataFrame, on: str, blocks: int) -> DataFrame:
-    """Rows of both sides that agree on ``on``; right-hand columns come back as ``compare_<name>``.
-
-    The join key is (on, left block, right block): a left row keeps its own block and is copied to
-    every right block, a right row the other way round, so two rows meet under exactly one key.
-    """
-    cut = F.pmod(F.xxhash64("asset_key"), F.lit(blocks)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    a = left.select("*", cut.alias("_a"), every.alias("_b"))
-    b = right.select("*", cut.alias("_b"), every.alias("_a"))
-    b = b.withColumnsRenamed({c: f"compare_{c}" for c in right.columns if c != on})
-    return a.join(b, [on, "_a", "_b"]).drop("_a", "_b")
-
-
 def unordered_pairs(df: DataFrame, on: str, value_columns: list[str], blocks: int = BLOCKS) -> DataFrame:
     """Pairs of rows that agree on ``on`` with ``asset_key < compare_asset_key``.
 
@@ -72,67 +58,88 @@ def int_asset_pair_returns(returns: DataFrame, blocks: int = BLOCKS) -> DataFram
 PAIR = ["asset_key", "ticker", "compare_asset_key", "compare_ticker"]
 
 
-def _corr_over_latest(pair_days: DataFrame, spans: list[int]) -> DataFrame:
-    """Per pair: last day, count and correlation over its latest shared rows, for each span."""
-    newest = W.partitionBy("asset_key", "compare_asset_key").orderBy(F.col("full_date").desc())
-    ranked = pair_days.withColumn("rn", F.row_number().over(newest)).filter(F.col("rn") <= max(spans))
-    x, y = F.col("daily_return"), F.col("compare_daily_return")
-    aggs: list[Column] = [F.max("full_date").alias("as_of_date")]
-    for span in spans:
-        inside = F.col("rn") <= span
-        aggs += [
-            F.count_if(inside).alias(f"observation_count_{span}d"),
-            correlation(F.when(inside, x), F.when(inside, y)).alias(f"correlation_{span}d"),
-        ]
-    return ranked.groupBy(*PAIR).agg(*aggs)
+#: Trading days in one window: as many as a long has bits without the sign.
+WINDOW_DAYS = 63
 
 
-def latest_correlations(
-    returns: DataFrame, spans: tuple[int, ...] = (30, 90), recent_days: int = 504, blocks: int = BLOCKS
-) -> DataFrame:
-    """Correlation of every pair over its latest shared observations, for several spans at once.
+def return_windows(returns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(calendar, windows): each asset's returns in windows of ``WINDOW_DAYS`` trading days, counted from the newest.
 
-    Joining whole histories to keep the last 90 shared days of each pair would emit pairs times
-    all days. Among the newest ``recent_days`` trading days, two assets that each traded on at
-    least (recent_days + span) / 2 of them share at least ``span`` days by counting, so for pairs
-    of such assets the recent days alone decide. Only pairs with an asset below that mark are
-    joined over their whole history. Every pair is treated by exactly one of the two branches.
+    ``calendar`` numbers the distinct days, newest first, as (full_date, day). A row of ``windows`` is
+    (asset_key, ticker, w, bits, values): a set bit for every day of the window with a return, and
+    the returns in that order. Relies on one row per asset and day, which the quality suite checks.
     """
-    span = max(spans)
     days = write_once(
         returns.filter("daily_return is not null").select("full_date", "asset_key", "ticker", "daily_return"),
         "returns",
     )
-    # at most ``recent_days`` rows, found by a top-k over distinct days
-    recent = days.select("full_date").distinct().orderBy(F.col("full_date").desc()).limit(recent_days)
-    recent_rows = days.join(recent, "full_date", "left_semi")
-    dense = (
-        recent_rows.groupBy("asset_key")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") * 2 >= recent_days + span)
-        .select("asset_key", F.lit(True).alias("dense"))
+    # as many rows as there are trading days, whatever the number of assets
+    newest = W.orderBy(F.col("full_date").desc())
+    calendar = write_once(days.select("full_date").distinct().withColumn("day", F.row_number().over(newest) - 1), "calendar")
+    bit = (F.col("day") % WINDOW_DAYS).cast("int")
+    placed = days.join(calendar, "full_date").withColumns({"w": F.floor(F.col("day") / WINDOW_DAYS).cast("int"), "bit": bit})
+    values = F.sort_array(F.collect_list(F.struct("bit", "daily_return")))["daily_return"]
+    windows = placed.groupBy("asset_key", "ticker", "w").agg(
+        F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"), values.alias("values")
     )
-    cols = ["ticker", "daily_return"]
-    from_recent = unordered_pairs(recent_rows.join(dense, "asset_key", "left_semi"), "full_date", cols, blocks)
-    marked = days.join(dense, "asset_key", "left").withColumn("dense", F.coalesce("dense", F.lit(False)))
-    # whole history only where one side is sparse: (sparse, any) in either key order
-    sparse = marked.filter(~F.col("dense")).drop("dense")
-    from_sparse = unordered_pairs(sparse, "full_date", cols, blocks)
-    mixed = _cross_side_pairs(sparse, marked.filter("dense").drop("dense"), blocks)
-    columns = ["full_date", *PAIR, "daily_return", "compare_daily_return"]
-    pair_days = from_recent.select(columns).unionByName(from_sparse.select(columns)).unionByName(mixed.select(columns))
-    return _corr_over_latest(pair_days, list(spans))
-
-
-def _cross_side_pairs(left: DataFrame, right: DataFrame, blocks: int) -> DataFrame:
-    """Pairs of one row from each side sharing a day, oriented by key order."""
-    joined = block_join(left, right, "full_date", blocks)
-    swap = F.col("asset_key") > F.col("compare_asset_key")
-    out = {}
-    for c in ("asset_key", "ticker", "daily_return"):
-        out[c] = F.when(swap, F.col(f"compare_{c}")).otherwise(F.col(c))
-        out[f"compare_{c}"] = F.when(swap, F.col(c)).otherwise(F.col(f"compare_{c}"))
-    return joined.select("full_date", *[v.alias(k) for k, v in out.items()])
+    return calendar, write_once(windows, "return-windows")
+
+
+def shared_windows(windows: DataFrame, span: int, blocks: int = BLOCKS) -> DataFrame:
+    """(PAIR, w, shared, before): windows that hold any of a pair's ``span`` latest shared days.
+
+    A pair meets once per window, not once per day; ``shared`` has a bit for each day both traded and ``before``
+    counts those in newer windows.
+    """
+    met = unordered_pairs(windows, "w", ["ticker", "bits"], blocks)
+    met = met.withColumn("shared", F.col("bits").bitwiseAND(F.col("compare_bits"))).filter("shared <> 0")
+    newer = W.partitionBy("asset_key", "compare_asset_key").orderBy("w").rowsBetween(W.unboundedPreceding, -1)
+    met = met.withColumn("before", F.coalesce(F.sum(F.bit_count("shared")).over(newer), F.lit(0)).cast("int"))
+    return met.filter(F.col("before") < span).select(*PAIR, "w", "shared", "before")
+
+
+def latest_shared_days(windows: DataFrame, span: int, blocks: int = BLOCKS) -> DataFrame:
+    """(PAIR, day, rn, x, y): the ``span`` latest shared days of every pair, rn = 1 the newest; no other day is emitted."""
+    kept = shared_windows(windows, span, blocks)
+    own = windows.select("asset_key", "w", "bits", "values")
+    other = own.withColumnsRenamed({c: f"compare_{c}" for c in ("asset_key", "bits", "values")})
+    kept = kept.join(own, ["asset_key", "w"]).join(other, ["compare_asset_key", "w"])
+    bits = F.filter(F.sequence(F.lit(0), F.lit(WINDOW_DAYS - 1)), lambda i: F.expr("shared").bitwiseAND(_power(i)) != 0)
+    wanted = F.slice(bits, F.lit(1), F.lit(span) - F.col("before"))
+    each = kept.select("*", F.posexplode(wanted).alias("nth", "bit"))
+
+    def value(of: str) -> Column:
+        # set bits below this one come first in the list
+        return F.col(f"{of}values")[F.bit_count(F.col(f"{of}bits").bitwiseAND(_power(F.col("bit")) - 1))]
+
+    return each.select(
+        *PAIR, (F.col("w") * WINDOW_DAYS + F.col("bit")).alias("day"), (F.col("before") + F.col("nth") + 1).alias("rn"),
+        value("").alias("x"), value("compare_").alias("y"),
+    )
+
+
+def _power(i: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), i)
+
+
+def latest_correlations(returns: DataFrame, spans: tuple[int, ...] = (30, 90), blocks: int = BLOCKS) -> DataFrame:
+    """Correlation of every pair over its latest shared observations, for several spans at once.
+
+    Joining daily histories would emit pairs times all days. Here a pair emits one row for each window of
+    ``WINDOW_DAYS`` days in which both traded and then its latest shared days only, as many as the longest
+    span: dense, sparse and delisted assets take the same way.
+    """
+    calendar, windows = return_windows(returns)
+    latest = latest_shared_days(windows, max(spans), blocks)
+    aggs: list[Column] = [F.min("day").alias("day")]
+    for span in spans:
+        inside = F.col("rn") <= span
+        aggs += [
+            F.count_if(inside).alias(f"observation_count_{span}d"),
+            correlation(F.when(inside, F.col("x")), F.when(inside, F.col("y"))).alias(f"correlation_{span}d"),
+        ]
+    per_pair = latest.groupBy(*PAIR).agg(*aggs).join(calendar.withColumnRenamed("full_date", "as_of_date"), "day")
+    return per_pair.select(*PAIR, "as_of_date", *(f"{c}_{s}d" for s in spans for c in ("observation_count", "correlation")))
 
 
 def correlation_model(correlations: DataFrame, span: int) -> DataFrame:

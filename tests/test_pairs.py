@@ -29,40 +29,77 @@ def test_every_pair_of_a_day_once(series_of, blocks):
     assert len(days) == 2
 
 
-@pytest.mark.parametrize("recent_days", [5, 60, 100, 504])
-def test_latest_correlations_against_brute_force(series_of, recent_days):
+def latest_by_definition(returns):
+    by_asset: dict = {}
+    for r in returns.filter("daily_return is not null").collect():
+        by_asset.setdefault(r.asset_key, {})[r.full_date] = r.daily_return
+    for a, b in itertools.combinations(sorted(by_asset), 2):
+        shared = sorted(set(by_asset[a]) & set(by_asset[b]), reverse=True)
+        yield (a, b), shared, [(by_asset[a][d], by_asset[b][d]) for d in shared]
+
+
+@pytest.mark.parametrize("blocks", [1, 3])
+def test_latest_correlations_against_brute_force(series_of, blocks):
     """Dense, sparse and mixed pairs all use their own latest shared days."""
-    rng = random.Random(recent_days)
+    rng = random.Random(blocks)
     gaps = {"A": 0.0, "B": 0.05, "C": 0.7, "D": 0.9, "E": 0.0}
     prices = {
         t: [None if rng.random() < g else 10 + rng.random() for _ in range(160)] for t, g in gaps.items()
     }
+    prices["F"] = [10 + rng.random() for _ in range(4)] + [None] * 156
+    prices["G"] = [None] * 158 + [1.0, 2.0]
     returns = returns_of(series_of, prices)
     got = {
         (r.asset_key, r.compare_asset_key): r
-        for r in pairs.latest_correlations(returns, (30, 90), recent_days=recent_days, blocks=3).collect()
+        for r in pairs.latest_correlations(returns, (30, 90), blocks=blocks).collect()
     }
-    by_asset: dict = {}
-    for r in returns.filter("daily_return is not null").collect():
-        by_asset.setdefault(r.asset_key, {})[r.full_date] = r.daily_return
     expected = 0
-    for a, b in itertools.combinations(sorted(by_asset), 2):
-        shared = sorted(set(by_asset[a]) & set(by_asset[b]), reverse=True)
+    for pair, shared, values in latest_by_definition(returns):
         if not shared:
-            assert (a, b) not in got
+            assert pair not in got
             continue
         expected += 1
-        row = got[a, b]
+        row = got[pair]
         assert row.as_of_date == shared[0]
         for span in (30, 90):
-            days = shared[:span]
-            assert row[f"observation_count_{span}d"] == len(days)
-            if len(days) > 2:
-                want = corr([by_asset[a][d] for d in days], [by_asset[b][d] for d in days])
-                assert row[f"correlation_{span}d"] == pytest.approx(want)
+            assert row[f"observation_count_{span}d"] == len(shared[:span])
+            if len(shared[:span]) > 2:
+                assert row[f"correlation_{span}d"] == pytest.approx(corr(*zip(*values[:span], strict=True)))
     assert len(got) == expected
 
 
+def test_delisted_assets_emit_few_rows_per_pair(series_of):
+    """Nine assets in ten stopped trading at some time; a pair emits its windows and its latest 90 days, no history."""
+    rng = random.Random(8)
+    n = 1500
+    prices = {}
+    for i in range(20):
+        last = n if i < 2 else rng.randrange(100, n)
+        prices[f"T{i:02}"] = [10 + rng.random() if d < last else None for d in range(n)]
+    returns = returns_of(series_of, prices)
+    _, windows = pairs.return_windows(returns)
+    met = {tuple(r)[:2]: r["count"] for r in pairs.shared_windows(windows, 90).groupBy("asset_key", "compare_asset_key").count().collect()}
+    days: dict = {}
+    for r in pairs.latest_shared_days(windows, 90).collect():
+        days.setdefault((r.asset_key, r.compare_asset_key), []).append((r.rn, r.x, r.y))
+    expected = {pair: values[:90] for pair, _, values in latest_by_definition(returns) if values}
+    assert {p: [v[1:] for v in sorted(d)] for p, d in days.items()} == expected
+    assert max(map(len, days.values())) == 90 and max(met.values()) <= 3
+    every = pairs.unordered_pairs(windows, "w", ["bits"]).groupBy("asset_key", "compare_asset_key").count()
+    assert every.agg({"count": "max"}).first()[0] + 90 <= 2 * 90
+
+
+def test_every_bit_of_a_window_counts(series_of):
+    rng = random.Random(5)
+    prices = {t: [10 + rng.random() for _ in range(2 * pairs.WINDOW_DAYS + 1)] for t in "AB"}
+    returns = returns_of(series_of, prices)
+    calendar, windows = pairs.return_windows(returns)
+    assert {r.bits for r in windows.collect()} == {2**pairs.WINDOW_DAYS - 1}
+    assert calendar.count() == 2 * pairs.WINDOW_DAYS
+    got = [(r.x, r.y) for r in pairs.latest_shared_days(windows, 126).orderBy("rn").collect()]
+    assert got == [v for _, _, values in latest_by_definition(returns) for v in values]
+
+
 def test_constant_series_and_single_day_have_no_correlation(series_of):
     returns = returns_of(series_of, {"A": [1, 2, 4, 8], "B": [5, 6, 9, 7], "C": [None, None, 3, 4]})
     got = {(r.ticker, r.compare_ticker): r for r in pairs.latest_correlations(returns).collect()}
