@@ -17,6 +17,7 @@ Only distinct words are exchanged with their signatures, so a word that makes up
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -47,39 +48,54 @@ def counted(docs: DataFrame) -> DataFrame:
     )
 
 
-def signatures(word: Column, parts: int, cells: int) -> tuple[Column, Column]:
-    """(one sum per cell, the signatures made of column ``sums``) for a word's letters.
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
 
-    A sum is the exclusive or of the hashes of its places; signatures have the partition and the cells left out mixed in.
+
+def signatures(word: Column, parts: int, cells: int) -> Column:
+    """PartEnum signatures of a word's letters, with the partition and the cells left out mixed in.
+
+    What a cell holds is the exclusive or of the hashes of its places, since places are distinct and have no order.
     """
-    letters = F.split(word, "(?!^)")
-    nth = F.transform(letters, lambda c, i: F.xxhash64(c, F.size(F.filter(F.slice(letters, F.lit(1), i + 1), lambda x: x == c))))
     zero = F.lit(0).cast("bigint")
-    sums = F.transform(
-        F.sequence(F.lit(0), F.lit(parts * cells - 1)),
-        lambda p: F.aggregate(nth, zero, lambda sum_, d: F.when(F.pmod(d, F.lit(parts * cells)) == p, sum_.bitwiseXOR(d)).otherwise(sum_)),
-    )
-    out = []
-    for part in range(parts):
-        for gone in combinations(range(cells), DISTANCE // parts):
-            sig = zero
-            for cell in set(range(cells)) - set(gone):
-                sig = sig.bitwiseXOR(F.col("sums")[part * cells + cell])
-            out.append(F.xxhash64(sig, F.lit(part), F.lit(str(gone))))
-    return sums, F.array(*out)
-
-
-def near_pairs(words: DataFrame, parts: int = 2, cells: int = 3) -> DataFrame:
+
+    def places(letters: Column) -> Column:
+        return F.transform(letters, lambda c, i: F.xxhash64(c, F.size(F.filter(F.slice(letters, F.lit(1), i + 1), lambda x: x == c))))
+
+    def sums(of: Column) -> Column:
+        def held(p: Column) -> Column:
+            return F.aggregate(of, zero, lambda x, d: F.when(F.pmod(d, F.lit(parts * cells)) == p, x.bitwiseXOR(d)).otherwise(x))
+
+        return F.transform(F.sequence(F.lit(0), F.lit(parts * cells - 1)), held)
+
+    def each(sums: Column) -> Column:
+        out = []
+        for part in range(parts):
+            for gone in combinations(range(cells), DISTANCE // parts):
+                sig = zero
+                for cell in sorted(set(range(cells)) - set(gone)):
+                    sig = sig.bitwiseXOR(sums[part * cells + cell])
+                out.append(F.xxhash64(sig, F.lit(part), F.lit(str(gone))))
+        return F.array(*out)
+
+    return let(F.split(word, "(?!^)"), lambda letters: let(places(letters), lambda of: let(sums(of), each)))
+
+
+def near_pairs(words: DataFrame, parts: int = 3, cells: int = 1) -> DataFrame:
     """(a, na, b, nb): pairs of words one letter apart, each once."""
-    sums, each = signatures(F.col("word"), parts, cells)
-    rows = words.select("word", "n", F.length("word").alias("size"), sums.alias("sums")).withColumn("sigs", each)
+    spread = words.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    signed = words.repartition(int(spread)).withColumn("sigs", signatures(F.col("word"), parts, cells))
+    rows = write_once(signed.withColumn("size", F.length("word")), "variant-signatures")
+    number = parts * len(list(combinations(range(cells), DISTANCE // parts)))
 
     def keyed(shorter: int) -> DataFrame:
         g = F.col("size") - shorter
         half = F.floor(g / 2).cast("int")
-        ends = F.array(F.xxhash64(F.lit(0), g, F.substring("word", F.lit(1), half)), F.xxhash64(F.lit(1), g, F.expr(f"right(word, size - {shorter} - floor((size - {shorter}) / 2))")))
-        keys = F.flatten(F.transform(ends, lambda e: F.transform("sigs", lambda s: F.xxhash64(e, s))))
-        return rows.filter(g >= SHORTEST).select("word", "n", "size", F.explode(keys).alias("key"))
+        first, last = F.substring("word", F.lit(1), half), F.substring("word", F.col("size") - (g - half) + 1, g - half)
+        ends = rows.filter(g >= SHORTEST).withColumns({"e0": F.xxhash64(F.lit(0), g, first), "e1": F.xxhash64(F.lit(1), g, last)})
+        keys = F.array(*(F.xxhash64(e, F.col("sigs")[i]) for e in ("e0", "e1") for i in range(number)))
+        return ends.select("word", "n", "size", F.explode(keys).alias("key"))
 
     own = keyed(0)
     # same length: each pair once; otherwise the longer word comes as one of g + 1 letters
