@@ -2,10 +2,11 @@
 
 A document is its set of distinct word shingles. Documents with equal sets form a class first, so copies
 cost one row. For each class ``coordinates`` minwise tokens are kept, of which each independent tree
-chooses one: classes that share it form a node. Small nodes are compared exhaustively. In a large node
-every class is compared with two pivots; then nodes whose classes are already connected are
-settled, dense ones (many classes near a pivot) are compared exhaustively in blocks on full
-sets, and the others branch: every child takes one more chosen token. A pair of similarity s meets in one
+chooses one: classes that share it form a node. First ``early`` trees in turn compare every class with the
+first one of its root node, so that a large group is one component before anything grows with it. Then small
+nodes are compared exhaustively. In a large node every class outside its main component is compared
+with two pivots; nodes whose classes are already connected are settled, dense ones (many classes connected or near
+a pivot) are compared exhaustively in blocks on full sets, main components not within themselves, and the others branch: every child takes one more chosen token. A pair of similarity s meets in one
 tree with probability s and follows a branching of ``branches`` children with 1 - (1 - s)**branches, so
 ``trees`` bounds what the trees may miss (0.2**12 = 4e-9 at 0.8). Outside dense blocks pairs are also screened
 by their minwise tokens, the same test in all trees: about 4.5 standard deviations below the limit, 83 of
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 
 from folioloom.llm import words
 from folioloom.llm.components import components
+from folioloom.llm.frames import Rounds
 from folioloom.session import write_once
 
 
@@ -51,6 +53,7 @@ class Settings:
     dense_share: float = 0.25
     dense_at: float = 0.5
     depth: int = 6
+    early: int = 2
     seed: int = 11
 
     @property
@@ -121,14 +124,17 @@ def matrix(column: pa.Array, s: Settings) -> np.ndarray:
 # --- nodes and candidate pairs ---
 
 
-def nodes(rows: DataFrame, s: Settings, level: int) -> DataFrame:
+def nodes(rows: DataFrame, s: Settings, level: int, only: int | None = None) -> DataFrame:
     """(node, cid) below rows of (node, cid, n, mins): all trees at the root, chosen branches elsewhere.
 
+    With ``only`` it is one tree's root nodes without the second band.
+
     Root nodes are cut by size: bands are as wide as the ratio that a link allows, and a class is in its
     own band and the next, so any two that can be linked share one.
     """
     width = s.trees if level == 0 else s.branches
-    bands = 2 if level == 0 else 1
+    bands = 2 if level == 0 and only is None else 1
+    wide = range(width) if only is None else [only]
     step = -np.log(s.percent / 100 - 1e-9)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,7 +144,7 @@ def nodes(rows: DataFrame, s: Settings, level: int) -> DataFrame:
             above, cid = (batch.column(i).to_numpy() for i in (0, 1))
             mins = matrix(batch.column(3), s)
             band = np.floor(np.log(batch.column(2).to_numpy()) / step).astype(np.int64)
-            for b, up in product(range(width), range(bands)):
+            for b, up in product(wide, range(bands)):
                 if level == 0:
                     chosen = np.full(len(cid), b, np.int64)
                 else:  # by the node, so that all its classes choose alike; levels draw from tokens of their own
@@ -279,11 +285,11 @@ def classes_of(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
 
 
 def texts_of(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
-    """Stored (cid, raw) of the wanted classes."""
+    """(cid, raw) of the wanted classes."""
     wanted = classes.join(ids.distinct(), "cid", "left_semi").select("cid", "rep_id", "rep_hash")
     rows = docs.select("doc_id", F.xxhash64("text").alias("hash"), F.col("text").cast("binary").alias("raw"))
     on = (rows["hash"] == wanted["rep_hash"]) & rows["doc_id"].eqNullSafe(wanted["rep_id"])
-    return write_once(rows.join(wanted, on).select("cid", "raw").dropDuplicates(["cid"]), "near-texts")
+    return rows.join(wanted, on).select("cid", "raw").dropDuplicates(["cid"])
 
 
 def with_comp(rows: DataFrame, comps: DataFrame | None, key: str, name: str) -> DataFrame:
@@ -293,47 +299,72 @@ def with_comp(rows: DataFrame, comps: DataFrame | None, key: str, name: str) ->
     return rows.join(labels, key, "left").withColumn(name, F.coalesce(name, key))
 
 
+def star(large: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, a, b) and (node, size, in_main) for (node, cid, comp): classes of large nodes beside two pivots.
+
+    One pivot is of the node's main component, which is not compared with itself, the other of the rest.
+    """
+    per_comp = large.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("c"), F.min("cid").alias("low"))
+    main = per_comp.groupBy("node").agg(
+        F.max(F.struct("c", "comp", "low")).alias("main"), F.sum("c").alias("size")
+    ).select("node", F.col("main.comp").alias("main"), F.col("main.low").alias("main_low"), F.col("main.c").alias("in_main"), "size")
+    other = per_comp.join(main.select("node", "main"), "node").filter("comp <> main").groupBy("node").agg(F.min("low").alias("rest_low"))
+    pivots = main.join(other, "node")
+    rows = large.join(pivots, "node").filter("comp <> main").select("node", "cid", F.explode(F.array("main_low", "rest_low")).alias("pivot"))
+    pairs = rows.filter("cid <> pivot").select("node", F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b"))
+    return pairs, main.select("node", "size", "in_main")
+
+
 def link(docs: DataFrame, classes: DataFrame, s: Settings) -> DataFrame | None:
     """(id, comp) of linked classes; None without any link."""
     comps: DataFrame | None = None
+    files = Rounds(docs.sparkSession)
 
     def add(new: DataFrame) -> None:
         """Join new links to the components so far, which stand for all earlier links."""
         nonlocal comps
-        new = write_once(new, "near-links")
+        new = files.store(new, "near-links")
         if not new.isEmpty():
             known = new if comps is None else new.union(comps.selectExpr("id as a", "comp as b"))
             comps = write_once(components(known), "near-components")
 
+    def stored_texts(ids: DataFrame) -> DataFrame:
+        return files.store(texts_of(docs, classes, ids), "near-texts")
+
     rows = classes.select(F.lit(0).cast("bigint").alias("node"), "cid", "n", "mins")
+    # large groups first become one component each: every class of a root node beside its first one, one tree at a time
+    for tree in range(min(s.early, s.trees)):
+        files.turn()
+        placed = files.store(with_comp(nodes(rows, s, 0, only=tree), comps, "cid", "comp"), "near-nodes")
+        first = placed.groupBy("node").agg(F.min(F.struct("cid", "comp")).alias("first"))
+        beside = placed.join(first, "node").filter(F.col("comp") != F.col("first.comp"))
+        pairs = beside.select(F.least("cid", "first.cid").alias("a"), F.greatest("cid", "first.cid").alias("b")).distinct()
+        near = files.store(screened(pairs, classes, s).filter(F.col("est") >= s.screen).select("a", "b"), "near-pairs")
+        if not near.isEmpty():
+            add(confirmed(near, stored_texts(near.selectExpr("a as cid").union(near.selectExpr("b as cid"))), s))
     for level in range(s.depth + 1):
-        placed = write_once(nodes(rows, s, level).distinct(), "near-nodes")
-        stats = placed.groupBy("node").agg(
-            F.count(F.lit(1)).alias("size"), F.min("cid").alias("low"), F.max("cid").alias("high")
-        )
-        met = write_once(placed.join(stats.filter("size > 1"), "node"), "near-met")
-        leaf = met.filter(F.col("size") <= s.leaf).groupBy("node").agg(F.sort_array(F.collect_set("cid")).alias("m"))
+        files.turn()
+        placed = files.store(with_comp(nodes(rows, s, level).distinct(), comps, "cid", "comp"), "near-nodes")
+        stats = placed.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("x"), F.max("comp").alias("y"))
+        met = files.store(placed.join(stats.filter("size > 1 and x <> y").select("node", "size"), "node"), "near-met")
+        leaf = met.filter(F.col("size") <= s.leaf).groupBy("node").agg(F.sort_array(F.collect_set(F.struct("cid", "comp"))).alias("m"))
         pairs = leaf.select("m", F.posexplode("m").alias("i", "a")).select(
             "a", F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("b")
         )
-        large = met.filter(F.col("size") > s.leaf)
-        star = large.select("node", "cid", F.explode(F.array("low", "high")).alias("pivot")).filter("cid <> pivot")
-        star = star.select("node", F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b"))
-        pairs = write_once(screened(pairs.union(star.select("a", "b")).distinct(), classes, s), "near-pairs")
+        pairs = pairs.filter("a.comp <> b.comp").select("a.cid", "b.cid").toDF("a", "b")
+        large = met.filter(F.col("size") > s.leaf).select("node", "cid", "comp")
+        beside, sizes = star(large)
+        pairs = files.store(screened(pairs.union(beside.select("a", "b")).distinct(), classes, s), "near-pairs")
         near = pairs.filter(F.col("est") >= s.screen).select("a", "b")
-        # a node is dense if many of its classes are near a pivot
-        per_node = star.join(pairs, ["a", "b"]).groupBy("node").agg(F.sum((F.col("est") >= s.dense_at).cast("int")).alias("close"))
-        sizes = large.groupBy("node").agg(F.count(F.lit(1)).alias("size"))
-        dense = sizes.join(per_node, "node", "left").withColumn(
-            "dense", (F.coalesce("close", F.lit(0)) >= 2 * s.dense_share * F.col("size")) | F.lit(level == s.depth)
-        )
-        dense = write_once(dense.select("node", "dense"), "near-dense")
+        # a node is dense if many of its classes are in its main component or near a pivot
+        per_node = beside.join(pairs, ["a", "b"]).groupBy("node").agg(F.sum((F.col("est") >= s.dense_at).cast("int")).alias("close"))
+        close = F.coalesce("close", F.lit(0)) + 2 * F.col("in_main")
+        dense = sizes.join(per_node, "node", "left").withColumn("dense", (close >= 2 * s.dense_share * F.col("size")) | F.lit(level == s.depth))
+        dense = files.store(dense.select("node", "dense"), "near-dense")
         large = large.select("node", "cid").join(dense, "node")
         some_near, some_dense = not near.isEmpty(), not dense.filter("dense").isEmpty()
-        if some_near or some_dense:
-            ids = near.selectExpr("a as cid").union(near.selectExpr("b as cid"))
-            texts = texts_of(docs, classes, ids.union(large.filter("dense").select("cid")))
         if some_near:
+            texts = stored_texts(near.selectExpr("a as cid").union(near.selectExpr("b as cid")))
             # one pair for each class first: most others are connected by then
             first = near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
             add(confirmed(first, texts, s))
@@ -341,13 +372,17 @@ def link(docs: DataFrame, classes: DataFrame, s: Settings) -> DataFrame | None:
             add(confirmed(rest.filter("ca <> cb"), texts, s))
         labelled = with_comp(large, comps, "cid", "comp")
         open_nodes = labelled.groupBy("node").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y")
-        left = write_once(labelled.join(open_nodes.select("node"), "node"), "near-open")
+        left = files.store(labelled.join(open_nodes.select("node"), "node"), "near-open")
         if some_dense:
-            add(in_blocks(left.filter("dense").select("node", "cid", "comp"), texts, s))
+            members = left.filter("dense").select("node", "cid", "comp")
+            if not members.isEmpty():
+                add(in_blocks(members, stored_texts(members.select("cid")), s))
         left = left.filter("not dense")
         if left.isEmpty():
             break
         rows = left.select("node", "cid").join(classes.select("cid", "n", "mins"), "cid")
+    files.turn()
+    files.turn()
     return comps
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from folioloom.session import write_once
+from folioloom.session import scratch_path, write_once
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -65,3 +65,24 @@ def numbered(df: DataFrame, order: list[Column], name: str, label: str) -> tuple
     # one short row per partition of the exchange, whatever the data: small by that bound
     out = out.join(F.broadcast(offsets), part).select(*df.columns, (F.col(offset) + F.col(name)).alias(name))
     return out, n
+
+
+class Rounds:
+    """Intermediates of an iterative operator: stored like ``write_once``, deleted when two rounds have passed.
+
+    What a round stores may be read by the next one, which begins with ``turn``; nothing is read after that.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.now, self.last = spark, [], []
+
+    def store(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(self.spark, label)
+        df.write.parquet(path)
+        self.now.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def turn(self) -> None:
+        for path in map(self.spark._jvm.org.apache.hadoop.fs.Path, self.last):
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.now, self.last = [], self.now
