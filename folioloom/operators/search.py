@@ -96,7 +96,11 @@ def _top(scored: DataFrame, key: str, k: int) -> DataFrame:
 
 
 def score_terms(index: DataFrame, asked: DataFrame, key: str, k: int = TOP_K) -> DataFrame:
-    """BM25 of indexed documents for (query_id, term) rows; the k best per query."""
+    """BM25 of indexed documents for (query_id, term) rows; the k best per query.
+
+    Term rows are dealt by document once, so that a document's score for a query is complete inside one task: no
+    (query, document) pair is exchanged, and only each task's k best per query travel to the final rank.
+    """
     lengths = index.filter("term = ''").agg(F.count(F.lit(1)).alias("n"), F.avg("doc_len").alias("avg_len"))
     n, avg_len = lengths.select("n").scalar(), lengths.select("avg_len").scalar()
     real = index.filter("term <> ''")
@@ -112,7 +116,8 @@ def score_terms(index: DataFrame, asked: DataFrame, key: str, k: int = TOP_K) ->
     # stored, so that the optimiser knows its size: it is the side to broadcast while small, and
     # never the index, whose terms would then all pass through the few tasks of the queries
     weighted = write_once(asked.join(weights, "term"), "weights")
-    hits = real.join(weighted, "term")
+    partitions = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hits = real.repartition(partitions, key).join(weighted, "term")
     scored = hits.groupBy("query_id", key).agg(F.sum(F.col("idf") * norm).alias("score"))
     return _top(scored, key, k)
 

@@ -47,6 +47,20 @@ def test_search_against_brute_force(spark):
         assert [s for s, _ in got.get(q, [])] == pytest.approx([s for s, _ in want], abs=1e-6)
 
 
+def test_only_the_best_of_each_task_are_exchanged(spark):
+    """300 documents hold the word of every query; what reaches the final rank is k per query and task."""
+    docs = spark.createDataFrame([(f"d{i:03}", "risk " * (i % 7 + 1) + f"w{i}") for i in range(300)], "relative_path string, content string")
+    queries = spark.createDataFrame([(q, f"risk w{q}") for q in range(20)], "query_id int, query_text string")
+    found = search.search(docs, queries, k=3)
+    assert found.count() == 60
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert not [e for e in exchanges if "query_id" in e and "relative_path" in e]
+    assert re.search(r"WindowGroupLimit .*Final.*Exchange hashpartitioning\(query_id.*WindowGroupLimit .*Partial", plan, re.S)
+    assert sorted((r.query_id, r.relative_path) for r in found.filter("rank = 1").collect()) == [(q, f"d{q:03}") for q in range(20)]
+
+
 @pytest.mark.parametrize("batch_bytes", [1 << 20, 100])
 def test_vector_search_against_brute_force(spark, batch_bytes):
     rng = random.Random(9)
