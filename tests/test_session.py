@@ -54,6 +54,45 @@ def test_replace_runs_once_and_keeps_the_old_table(spark, tmp_path):
     assert store.replace("raw", "t", spark.range(2)) == 2 and store.read("raw", "t").count() == 2
 
 
+def test_a_load_that_dies_before_the_switch_keeps_the_old_table(spark, tmp_path, monkeypatch):
+    store = Store(spark, f"{tmp_path}/s")
+    store.replace("raw", "t", spark.range(5))
+
+    def die(*_):
+        raise OSError("lost")
+
+    for load in (lambda: store.replace("raw", "t", spark.range(9)), lambda: store.write("raw", "t", spark.range(9))):
+        with monkeypatch.context() as m:
+            m.setattr(store, "_rename", die)
+            with pytest.raises(OSError, match="lost"):
+                load()
+        assert store.read("raw", "t").count() == 5 and Store(spark, f"{tmp_path}/s").read("raw", "t").count() == 5
+    assert store.replace("raw", "t", spark.range(9)) == 9 and store.read("raw", "t").count() == 9
+
+
+def test_readers_of_the_version_before_can_finish(spark, tmp_path):
+    store = Store(spark, f"{tmp_path}/s")
+    assert not store.exists("raw", "t") and store.versions("raw", "t") == []
+    before = store.write("raw", "t", spark.range(3))
+    after = store.write("raw", "t", spark.range(4))
+    assert (before.count(), after.count(), store.read("raw", "t").count()) == (3, 4, 4)
+    store.write("raw", "t", spark.range(5))
+    assert store.versions("raw", "t") == ["v-00000002", "v-00000003"]
+
+
+def test_registered_tables_follow_their_version(spark, tmp_path):
+    store = Store(spark, f"{tmp_path}/s", register=True)
+    try:
+        store.replace("layer_of_versions", "t", spark.range(3))
+        assert spark.table("layer_of_versions.t").count() == 3
+        store.replace("layer_of_versions", "t", spark.range(4))
+        assert spark.table("layer_of_versions.t").count() == 4
+        store.write("layer_of_versions", "t", spark.range(2).selectExpr("id", "'x' as more"))
+        assert spark.table("layer_of_versions.t").columns == ["id", "more"]
+    finally:
+        spark.sql("drop database if exists layer_of_versions cascade")
+
+
 def test_line_order_is_exact(spark, tmp_path):
     """Parts that differ by 2**20 on one line, and order keys beyond 1e12."""
     day, big = dt.datetime(1998, 1, 1), 2_000_000_000_000
