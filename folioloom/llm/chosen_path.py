@@ -53,7 +53,7 @@ class Settings:
     dense_share: float = 0.25
     dense_at: float = 0.5
     depth: int = 6
-    early: int = 2
+    early: int = 1
     seed: int = 11
 
     @property
