@@ -148,17 +148,30 @@ def positions(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     return by_position(taken)
 
 
+def schedule(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
+    """(doc_id, size, source_size, target, taken, positions) of every row, range-sorted by first position.
+
+    Rows that the mix does not take come last. Sizes are stored once, so that texts are read once.
+    """
+    sized = docs.select("doc_id", "source", size_of(F.col("text")).alias("size"))
+    planned = plan_copies(write_once(sized, "mix-documents"), plan)
+    first = [F.get("positions", F.lit(0)).asc_nulls_last(), F.col("doc_id").asc()]
+    out = planned.select("doc_id", "size", "source_size", "target", "taken", "positions")
+    return out.repartitionByRange(*first).sortWithinPartitions(*first)
+
+
 def by_position(rows: DataFrame) -> DataFrame:
     return rows.repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id")
 
 
-SQL = r"""
+PLANNED = r"""
 with d as (
   select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '[^ \t\n\x0B\f\r]+')), 0) as bigint) as size,
-    md5(coalesce(cast(doc_id as varchar), '')) as key
+    md5(coalesce(cast(doc_id as varchar), '')) as key, row_number() over () as row
   from documents),
 s as (
-  select source, sum(size)::bigint as source_size, [5, 2, 1][(row_number() over (order by source nulls last) - 1) % 3 + 1] as weight
+  select source, sum(size)::bigint as source_size, (row_number() over (order by source nulls last) - 1) % 3 as class,
+    [5, 2, 1][class + 1] as weight
   from d group by source),
 c as (
   select *, row_number() over (order by 2 * source_size / weight::double, source nulls last) as k from s),
@@ -168,12 +181,33 @@ l as (
       / 2 / (sum(weight) over (order by k rows between current row and unbounded following))::double as level
   from c),
 t as (
-  select source, source_size, least((2 * source_size)::double, weight * (select level from l where level <= ratio order by k limit 1)) as target
+  select source, source_size, class, least((2 * source_size)::double, weight * (select level from l where level <= ratio order by k limit 1)) as target
   from s),
 o as (
   select *, coalesce(sum(size) over (partition by source order by key, doc_id, size rows between unbounded preceding and 1 preceding), 0) as done
-  from d)
-select doc_id, size, o_size.source_size, target,
-  cast(size * ((done + size / 2 <= target)::int + (done + o_size.source_size + size / 2 <= target)::int) as bigint) as taken
-from o join t o_size on o.source is not distinct from o_size.source
+  from d),
+m as (
+  select row, doc_id, o.source, size, t.source_size, target, class, unnest([0, 1]) as copy,
+    done + copy * t.source_size + size / 2 as middle, middle <= target as takes,
+    case when target > 0 then middle / target else 0.0::double end as x
+  from o join t on o.source is not distinct from t.source),
+p as (
+  -- demand x of the schedules 0.6 to 1.4, level, and 1.4 to 0.6, two pieces each, inverted
+  select *, case when takes then round(case class
+    when 0 then case when x < 0.4 then greatest(0, least(0.5, (sqrt(0.36 + 1.6 * x) - 0.6) / 0.8))
+      else 0.5 + greatest(0, least(0.5, (sqrt(greatest(0, 1 + 1.6 * (x - 0.4))) - 1) / 0.8)) end
+    when 1 then least(1, x)
+    else case when x < 0.6 then greatest(0, least(0.5, (1.4 - sqrt(1.96 - 1.6 * x)) / 0.8))
+      else 0.5 + greatest(0, least(0.5, (1 - sqrt(greatest(0, 1 - 1.6 * (x - 0.6)))) / 0.8)) end
+    end, 9) end as position
+  from m)
+"""
+
+SQL = PLANNED + """
+select doc_id, size, source_size, target,
+  cast(size * count(position) as bigint) as taken,
+  max(position) filter (copy = 0) as position_1, max(position) filter (copy = 1) as position_2
+from p group by row, doc_id, size, source_size, target
 """
+
+POSITIONS_SQL = PLANNED + "select doc_id, source, size, copy, position from p where takes"

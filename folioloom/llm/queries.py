@@ -56,14 +56,16 @@ def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    sized = docs.select("doc_id", "source", curriculum.size_of(F.col("text")).alias("size"))
-    return curriculum.plan_copies(sized).select("doc_id", "size", "source_size", "target", "taken")
+    """Each document's share of the mix and where its copies stand in it (null: not taken), in order of training."""
+    planned = curriculum.schedule(table(spark, sf_dir, "documents"))
+    at = [F.round(F.get("positions", F.lit(i)), 9).alias(f"position_{i + 1}") for i in range(2)]
+    return planned.select("doc_id", "size", "source_size", "target", "taken", *at)
 
 
 def op6_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Training positions of the copies that op6_mixing counts; that query keeps the columns of its SQL twin."""
-    return curriculum.positions(table(spark, sf_dir, "documents"))
+    """The copies that op6_mixing counts, one row each."""
+    placed = curriculum.positions(table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "source", "size", "copy", F.round("position", 9).alias("position"))
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,4 +119,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": url_cascade.SQL, "op2_line_dedup": line_windows.SQL, "op5_substrings": substring.SQL, "op6_mixing": curriculum.SQL, "op9_decontamination": decontam.SQL, "op13_spelling_variants": spelling_variants.SQL}
+    return {"op1_url_filter": url_cascade.SQL, "op2_line_dedup": line_windows.SQL, "op5_substrings": substring.SQL, "op6_mixing": curriculum.SQL, "op6_positions": curriculum.POSITIONS_SQL, "op9_decontamination": decontam.SQL, "op13_spelling_variants": spelling_variants.SQL}

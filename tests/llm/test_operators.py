@@ -591,18 +591,40 @@ def test_pipeline_and_its_stages(spark, tmp_path):
         got = stage(spark, docs, str(tmp_path)).collect()
         assert Counter((x.doc_id, x.text, x.source) for x in got) == Counter(expected)
         docs = spark.createDataFrame(got, ROW)
-    ordered = sorted(mixed, key=lambda x: (x[0] is None, x[0] or 0))
-    place = feistel.permute(np.arange(len(ordered)), len(ordered), 20).tolist()
-    expected = Counter((*x, p % 16, p // 16) for x, p in zip(ordered, place, strict=True))
-    for got in (corpus_pipeline.shards(spark, docs, str(tmp_path)), contract.queries()["pipeline"](spark, str(tmp_path))):
-        assert Counter((x.doc_id, x.text, x.source, x.shard, x.slot) for x in got.collect()) == expected
+
+    def placed(ordered, places):
+        return Counter((*x, p % 16, p // 16) for x, p in zip(ordered, places.tolist(), strict=True))
+
+    def rows_of(df):
+        return Counter((x.doc_id, x.text, x.source, x.shard, x.slot) for x in df.collect())
+
+    n, order = len(mixed), [(x.doc_id, x.text, x.source) for x in got]  # the mix, by training position
+    expected = placed(order, feistel.permute_near(np.arange(n), n, 20, 1 << 16))
+    corpus_pipeline.mix(spark, spark.createDataFrame([(d, t, "en", s, None) for d, t, s in clean], ROW), str(tmp_path)).write.parquet(f"{tmp_path}/mixed")
+    stored = spark.read.parquet(f"{tmp_path}/mixed")
+    assert rows_of(corpus_pipeline.shards(spark, stored, str(tmp_path))) == expected
+    assert rows_of(contract.queries()["pipeline"](spark, str(tmp_path))) == expected
+    # slots of small windows follow the order of the mix
+    near = sorted(feistel.shard_stored(stored, window=32).collect(), key=lambda x: (x.slot, x.shard))
+    for a in range(0, n, 32):
+        assert Counter((x.doc_id, x.text, x.source) for x in near[a : a + 32]) == Counter(order[a : a + 32])
+    by_id = sorted(mixed, key=lambda x: (x[0] is None, x[0] or 0))
+    assert rows_of(corpus_pipeline.shards(spark, docs, str(tmp_path))) == placed(by_id, feistel.permute(np.arange(n), n, 20))
+
+
+@pytest.mark.parametrize(("n", "window"), [(1, 16), (16, 16), (1000, 16), (1000, 333), (1000, 5000)])
+def test_windows_of_numbers_are_permuted(n, window):
+    p = feistel.permute_near(np.arange(n), n, 3, window)
+    assert sorted(p) == list(range(n)) and (p // window == np.arange(n) // window).all()
+    some = np.arange(n)[:: 7]
+    assert (feistel.permute_near(some, n, 3, window) == p[some]).all()
 
 
 # --- registered queries ---
 
 
 @pytest.mark.skipif(not __import__("os").path.exists(SF_DIR), reason="test tables are not here")
-@pytest.mark.parametrize("name", ["op1_url_filter", "op2_line_dedup", "op5_substrings", "op6_mixing", "op9_decontamination"])
+@pytest.mark.parametrize("name", ["op1_url_filter", "op2_line_dedup", "op5_substrings", "op6_mixing", "op6_positions", "op9_decontamination"])
 def test_parity(spark, name):
     con = duckdb.connect()
     for t in compare.TABLES:
