@@ -36,13 +36,21 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Copies of documents as the mix takes them, in order of their training position."""
+    """Copies of documents as the mix takes them, stored in order of their training position.
+
+    A copy has no column for its position, because stages keep the columns of documents: its place in the table tells.
+    """
     return curriculum.mix(docs).select(*docs.columns)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row with its shard and slot."""
-    return feistel.shard_documents(docs)
+    """Every row with its shard and slot.
+
+    ``docs`` is the stored mix. Its order holds between windows of 65,536 rows, which are shuffled in themselves,
+    so reading all shards slot by slot follows the curriculum. Rows that are not a read of stored files have no
+    such order and are numbered by id and text.
+    """
+    return feistel.shard_stored(docs) if docs.inputFiles() else feistel.shard_documents(docs)
 
 
 STAGES = [
