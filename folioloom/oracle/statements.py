@@ -376,6 +376,8 @@ _STATEMENTS = {
     "f05_corpus_listing": "select relative_path, ticker, title from t_documents",
 }
 
+_STATEMENTS["f04_index_stream"] = _STATEMENTS["f04_index_refresh"]
+
 TABLES["t_active_prices"] = _STATEMENTS["s02_prices"]
 TABLES["t_landed_assets"] = _STATEMENTS["s01_asset_master"]
 TABLES["t_landed_metadata"] = """

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioloom.operators import search
-from folioloom.streaming import refresh
+from folioloom.sources.store import Store
+from folioloom.streaming import refresh, segments
 
 
 def spell(text):
@@ -123,3 +124,82 @@ def test_refresh_equals_a_full_rebuild(spark):
     )
     rebuilt = search.term_index(new, "relative_path")
     assert sorted(map(tuple, refreshed.collect())) == sorted(map(tuple, rebuilt.collect()))
+
+
+# --- the index as a stream ---
+
+
+def drop(spark, landing, rows):
+    spark.createDataFrame(rows, segments.DROP).coalesce(1).write.mode("append").parquet(landing)
+
+
+def rebuilt(docs):
+    out = []
+    for path, text in docs.items():
+        words = re.findall("[a-z]+", text.lower())
+        out += [(path, len(words), t, words.count(t)) for t in set(words)] + [(path, len(words), "", 1)]
+    return sorted(out)
+
+
+def test_stream_reads_only_what_is_new_and_equals_a_rebuild(spark, tmp_path):
+    landing, index = str(tmp_path / "in"), segments.SegmentIndex(Store(spark, str(tmp_path / "store")), fan=3)
+    drop(spark, landing, [("a", 1, False, "One two two"), ("b", 1, False, "two"), ("c", 1, None, "three"), (None, 1, False, "x")])
+    assert index.refresh(landing) == 4
+    assert index.refresh(landing) == 0 and len(index.segments()) == 1
+    # changed, removed, new; "late" is older than what is there, and one path comes twice
+    drop(spark, landing, [("b", 2, False, "four"), ("c", 2, True, "gone"), ("a", 0, False, "late"), ("d", 2, False, None), ("e", 3, False, "e"), ("e", 2, False, "old")])
+    assert index.refresh(landing) == 6
+    now = {"a": "one two two", "b": "four", "d": "", "e": "e"}
+    assert sorted(map(tuple, index.terms().collect())) == rebuilt(now)
+    # a removed document comes back, an equal row lands again
+    drop(spark, landing, [("c", 3, False, "again"), ("b", 2, False, "four")])
+    assert index.refresh(landing) == 2
+    assert [(s.segment, s.level) for s in index.segments()] == [("m-00000003-1", 1)]
+    assert sorted(map(tuple, index.terms().collect())) == rebuilt(now | {"c": "again"})
+    # merged: no outdated row is left
+    assert index.rows(index.segments()).count() == len(rebuilt(now | {"c": "again"}))
+
+
+def test_removal_outlives_a_merge_of_newer_segments(spark, tmp_path):
+    landing, index = str(tmp_path / "in"), segments.SegmentIndex(Store(spark, str(tmp_path / "store")), fan=2)
+    now = {}
+    for i in range(7):
+        rows = [(f"d{i}", i, False, f"text {'abcdefg'[i]}"), ("same", i, i == 5, f"common {'abcdefg'[i]}")]
+        drop(spark, landing, rows + ([("d0", i, True, None)] if i == 6 else []))
+        index.refresh(landing)
+        now |= {f"d{i}": rows[0][3], "same": rows[1][3]}
+        gone = {"same"} if i == 5 else {"d0"} if i == 6 else set()
+        assert sorted(map(tuple, index.terms().collect())) == rebuilt({k: v for k, v in now.items() if k not in gone})
+    assert [s.level for s in index.segments()] == [2, 1, 0]
+    kept = [p.name for p in (tmp_path / "store/index/documents").glob("**/*") if re.match("m-|run=", p.name)]
+    assert len(kept) <= 6
+
+
+def test_stream_killed_before_sealing_goes_on_in_its_segment(spark, tmp_path, monkeypatch):
+    landing, store = str(tmp_path / "in"), Store(spark, str(tmp_path / "store"))
+    index = segments.SegmentIndex(store)
+    drop(spark, landing, [("a", 1, False, "one")])
+    index.refresh(landing)
+    drop(spark, landing, [("a", 2, False, "two")])
+
+    def killed(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(index, "_seal", killed)
+        with pytest.raises(RuntimeError):
+            index.refresh(landing)
+    assert sorted(map(tuple, index.terms().collect())) == rebuilt({"a": "one"})
+    drop(spark, landing, [("b", 1, False, "three")])
+    again = segments.SegmentIndex(store)
+    assert again.refresh(landing) == 1  # what the killed run had read is in the segment already
+    assert sorted(map(tuple, again.terms().collect())) == rebuilt({"a": "two", "b": "three"})
+
+
+def test_nothing_landed_and_search_on_the_index(spark, tmp_path):
+    landing, index = str(tmp_path / "in"), segments.SegmentIndex(Store(spark, str(tmp_path / "store")))
+    assert index.terms().count() == 0
+    drop(spark, landing, [("a", 1, False, "one two"), ("b", 1, False, "two three")])
+    index.refresh(landing)
+    asked = search.query_terms(spark.createDataFrame([(1, "three")], "query_id int, query_text string"))
+    assert [r.relative_path for r in search.score_terms(index.terms(), asked, "relative_path").collect()] == ["b"]
