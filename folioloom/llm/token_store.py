@@ -17,12 +17,15 @@ texts have only the end id. Repeated rows are stored each. An empty input gives
 from __future__ import annotations
 
 import json
+import re
+import struct
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -30,7 +33,8 @@ from pyspark.sql import functions as F
 
 MAGIC = b"FRV1"
 BLOCK_IDS = 1 << 20
-CACHED_WORDS = 1_000_000
+#: About 200 bytes each.
+CACHED_WORDS = 1 << 21
 BLOCKS = "part int, seq int, doc_ids array<bigint>, n_ids bigint, image binary"
 #: Lengths of the four ranks of every control byte.
 LENGTHS = np.array([[1 + (c >> 2 * i & 3) for i in range(4)] for c in range(256)], np.int64)
@@ -101,76 +105,149 @@ def word_local(config: dict) -> bool:
     )
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Callable[[bytes], bytes]:
-    """From UTF-8 text to little-endian uint32 ids, without the end id; kept for the worker's later tasks.
+#: Letters whose case and composition are settled one by one, then ASCII punctuation.
+LETTERS = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+"
+LETTERS_AND_TAIL = re.compile(rb"(" + LETTERS + rb")([!-/:-@\[-`{-~]*)")
+
 
-    Words repeat, so with a word-local vocabulary each is encoded once and then looked up. The
-    table has a bound: when it is full, only words that were met again since the last time stay.
-    Other vocabularies get the whole text.
+def letters_are_pieces(config: dict) -> bool:
+    """Whether a run of letters at the start of a word is one piece that goes to the model as it is.
+
+    So it is, byte by byte, if a byte-level vocabulary has no setting that changes pieces and no added token
+    lies inside letters followed by punctuation.
     """
-    from tokenizers import Tokenizer
+    model, split = config.get("model") or {}, (config.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    return (
+        model.get("type") == "BPE"
+        and not model.get("dropout")
+        and [x["type"] for x in split] == ["Split", "ByteLevel"]
+        and all(re.match(r"[^\w\s].*\w", x["content"]) for x in config.get("added_tokens") or [])
+    )
 
-    with open(path, encoding="utf-8") as f:
-        config = json.load(f)
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
 
-    def whole(text: str) -> bytes:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+class WordIds:
+    """Ids of texts as the ids of their words, each word encoded once and then looked up.
 
-    if not word_local(config):
-        return lambda text: whole(text.decode("utf-8", "replace"))
-    mark, lower = "~", "Lowercase" in json.dumps(config.get("normalizer"))
-    marked = tokenizer.encode(mark, add_special_tokens=False).ids
-    known: dict[bytes, bytes] = {}
-    again: set[bytes] = set()
+    The table has two generations of bounded size: when the younger is full it becomes the older, whose words
+    return as they are met again, and the older one before goes.
+    """
 
-    def learn(new: list[bytes]) -> None:
-        texts = [w.decode("utf-8", "replace") for w in new]
-        plain = [i for i, t in enumerate(texts) if mark not in t] if len(marked) == 1 else []
+    def __init__(self, tokenizer, config: dict, most_words: int = CACHED_WORDS):
+        self.tokenizer, self.most = tokenizer, most_words // 2
+        self.lower = "Lowercase" in json.dumps(config.get("normalizer"))
+        self.mark = "~"
+        self.marked = self._ids(self.mark)
+        self.model = tokenizer.model if letters_are_pieces(config) else None
+        if self.model:
+            from tokenizers.pre_tokenizers import ByteLevel
+
+            level = ByteLevel(add_prefix_space=False, use_regex=False)
+            self.bytes_of = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
+        return [b"".join(x) for x in self.runs(texts)]
+
+    def runs(self, texts: list[bytes], most: int = 1 << 18) -> Iterator[list[bytes]]:
+        """Per text its ids in runs; texts meet the table together up to ``most`` bytes, longer ones in parts."""
+        held, size = [], 0
+        for text in texts:
+            if size + len(text) > most and held:
+                yield from ([x] for x in self._look_up(held))
+                held, size = [], 0
+            if len(text) <= most:
+                held.append(text)
+                size += len(text)
+            else:
+                yield [self._look_up([part])[0] for part in parts(text, most)]
+        yield from ([x] for x in self._look_up(held))
+
+    def _look_up(self, texts: list[bytes]) -> list[bytes]:
+        words = [text.split() for text in texts]  # exactly \x20 and \x09 to \x0d
+        distinct = set().union(*words)
+        new = distinct.difference(self.young)
+        if len(self.young) + len(new) > self.most:
+            self.old, self.young, new = self.young, {}, distinct
+        self._learn(new)
+        return [b"".join(map(self.young.__getitem__, w)) for w in words]
+
+    def _learn(self, new: set[bytes]) -> None:
+        young, old, others = self.young, self.old, []
+        for w in new:
+            if (ids := old.get(w)) is not None:
+                young[w] = ids
+            elif self.model and (found := LETTERS_AND_TAIL.fullmatch(w)):
+                young[w] = self._piece(found[1]) + (self._tail(found[2]) if found[2] else b"")
+            else:
+                others.append(w)
+        if others:
+            self._encode(others)
+
+    def _piece(self, letters: bytes) -> bytes:
+        text = letters.decode()
+        if self.lower:
+            text = text.lower()
+            letters = text.encode()
+        ids = self.young.get(letters) or self.old.get(letters)
+        if ids is None:
+            found = [t.id for t in self.model.tokenize(text if text.isascii() else text.translate(self.bytes_of))]
+            ids = struct.pack(f"<{len(found)}I", *found)
+        self.young[letters] = ids
+        return ids
+
+    def _tail(self, tail: bytes) -> bytes:
+        if tail not in self.young:
+            self.young[tail] = np.array(self._ids(tail.decode()), "<u4").tobytes()
+        return self.young[tail]
+
+    def _encode(self, words: list[bytes]) -> None:
+        texts = [w.decode("utf-8", "replace") for w in words]
+        plain = [i for i, t in enumerate(texts) if self.mark not in t] if len(self.marked) == 1 else []
         if plain:
             # one call for all: a mark after each word, which no word holds, tells their ids apart
-            joined = f" {mark} ".join([texts[i] for i in plain] + [""])
-            ids = np.array(tokenizer.encode(joined, add_special_tokens=False).ids, "<u4")
+            joined = f" {self.mark} ".join([texts[i] for i in plain] + [""])
+            ids = np.array(self._ids(joined), "<u4")
             raw, first = ids.tobytes(), 0
-            for i, end in zip(plain, (4 * np.flatnonzero(ids == marked[0])).tolist(), strict=True):
-                known[new[i]] = raw[first:end]
+            for i, end in zip(plain, (4 * np.flatnonzero(ids == self.marked[0])).tolist(), strict=True):
+                self.young[words[i]] = raw[first:end]
                 first = end + 4
-        for i in set(range(len(new))).difference(plain):
-            known[new[i]] = whole(texts[i])
-
-    def encode(text: bytes) -> bytes:
-        words = text.split()  # exactly \x20 and \x09 to \x0d
-        distinct = set(words)
-        new = distinct.difference(known)
-        # letters are a piece of their own in such a vocabulary: "Word.," is "word" and ".,"
-        cut = {}
-        for w in new:
-            core = w.rstrip(b".,")
-            if core.isalpha() and core.isascii():
-                tail, core = w[len(core) :], core.lower() if lower else core
-                if core != w:
-                    cut[w] = (core, tail)
-        if cut:
-            new.difference_update(cut)
-            new.update(x for pair in cut.values() for x in pair if x not in known)
-            new.discard(b"")
-        if new:
-            if len(known) + len(new) > CACHED_WORDS:
-                here = {w for w in distinct if w in known}
-                keep = {w: known[w] for w in again | here if w in known}
-                known.clear()
-                known.update(keep if len(keep) < CACHED_WORDS // 2 else {w: keep[w] for w in here})
-                again.clear()
-                new = new.union(x for pair in cut.values() for x in pair if x and x not in known)
-            learn(list(new))
-        for w, (core, tail) in cut.items():
-            known[w] = known[core] + known[tail] if tail else known[core]
-        again.update(distinct.difference(new, cut))
-        return b"".join(map(known.__getitem__, words))
-
-    return encode
+        for i in set(range(len(words))).difference(plain):
+            self.young[words[i]] = np.array(self._ids(texts[i]), "<u4").tobytes()
+
+
+def parts(text: bytes, most: int) -> Iterator[bytes]:
+    """A text in parts of about ``most`` bytes that end where a word ends; a longer word is not cut."""
+    first, n = 0, len(text)
+    space = re.compile(rb"[\x20\x09-\x0d]")
+    while first < n:
+        found = space.search(text, first + most)
+        last = found.end() if found else n
+        yield text[first:last]
+        first = last
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
+    """From UTF-8 texts to their little-endian uint32 ids, without the end id; kept for the worker's later tasks.
+
+    With a word-local vocabulary words are looked up (``WordIds``). Others get whole texts.
+    """
+    from tokenizers import Tokenizer
+
+    with open(path, encoding="utf-8") as f:
+        config = json.load(f)
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    if word_local(config):
+        return WordIds(tokenizer, config)
+    return lambda texts: [
+        np.array(tokenizer.encode(x.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
+        for x in texts
+    ]
 
 
 def vocabulary_path(name: str) -> str:
@@ -197,19 +274,31 @@ def write(docs: DataFrame, path: str, vocabulary: str = "word_bpe_49k.json", end
         part, seq, held = TaskContext.get().partitionId(), 0, []
         size = 0
         for batch in batches:
-            for doc_id, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encode(raw.as_py() or b"") + end
-                held.append((doc_id, ids))
-                size += len(ids) // 4
-                if size >= block_ids:
-                    yield block(part, seq, held)
-                    held, size, seq = [], 0, seq + 1
+            for few in slices(batch, 1 << 22):
+                texts = [x or b"" for x in few.column(1).to_pylist()]
+                for doc_id, ids in zip(few.column(0).to_pylist(), encode(texts), strict=True):
+                    held.append((doc_id, ids + end))
+                    size += len(ids) // 4 + 1
+                    if size >= block_ids:
+                        yield block(part, seq, held)
+                        held, size, seq = [], 0, seq + 1
         if held:
             yield block(part, seq, held)
 
     rows.mapInArrow(run, BLOCKS).write.parquet(path)
 
 
+def slices(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of a batch with about ``most`` bytes of text, or one row."""
+    n = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64))
+    first = 0
+    while first < len(n):
+        before = n[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(n, before + most, side="right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def block(part: int, seq: int, held: list[tuple[int | None, bytes]]) -> pa.RecordBatch:
     ids = np.frombuffer(b"".join(x for _, x in held), "<u4")
     image = pack(ids, np.array([len(x) // 4 for _, x in held]))

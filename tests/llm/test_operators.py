@@ -457,6 +457,30 @@ def test_tokens(spark, docs, empty, tmp_path, vocabulary):
     assert token_store.digest(token_store.read(spark, f"{tmp_path}/e")).count() == 0
 
 
+@pytest.mark.parametrize("most_words", [4, 40, 1 << 20])
+def test_word_ids_are_those_of_whole_texts(most_words):
+    """Letters taken by themselves, punctuation, case, other alphabets; tables that overflow; texts longer than a run."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    path = token_store.vocabulary_path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as f:
+        ids = token_store.WordIds(tokenizer, json.load(f), most_words)
+    odd = [
+        "", " \t ", "Über ÀÉ... ÅÆ×÷ß ĀĂ ÿŸ ªº µ é éa", "don't Don'T word'S 's x's! ça'va", "THTHEATH!!$% a<| foo<|endoftext|> foo.~ ~",
+        "a\x00b. a\x1c. x\u200b. x\u0301 \u0301.", "Ab1.. 1Ab [AB] (ab) AB] ab)", "Σας ΟΔΟΣ. Ǆ ﬁne",
+    ]
+    long = " ".join(f"Wort{'abcdefghij'[i % 10]}{chr(97 + i % 7)}." for i in range(900)) + " " + "ab" * 700 + " end"
+    for most in (50, 1 << 18):
+        got = [b"".join(x) for x in ids.runs([x.encode() for x in (*odd, long, *odd)], most)]
+        for text, raw in zip([*odd, long, *odd], got, strict=True):
+            assert np.frombuffer(raw, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+    assert b"".join(token_store.parts(long.encode(), 64)) == long.encode()
+    assert len(ids.young) + len(ids.old) <= 2 * most_words + 4 * len(set(long.split()))
+
+
 # --- 9: decontamination ---
 
 
