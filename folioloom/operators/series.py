@@ -1,7 +1,8 @@
 """Per-asset time series: returns, volatility, drawdown and trend.
 
 All four read the same partitioning and ordering, so a chain of them needs one exchange
-and one sort however many are stacked, and no join to bring them back together.
+and one sort however many are stacked, and no join to bring them back together. Rolling frames
+are put together from shorter ones (``rolling``), not added up anew for every row.
 
 Contract: one row per (asset, day), which the quality suite checks. An asset is then no
 longer than its calendar. For longer series, ``slice_series`` cuts every asset into
@@ -19,12 +20,18 @@ from pyspark.sql import functions as F
 
 from folioloom.functions.numeric import ratio
 from folioloom.functions.text import first_match
+from folioloom.operators.rolling import with_rolling_max, with_rolling_moments
 
 # Horizons in rows (trading days) and the yearly scaling.
 HORIZONS = {"1d": 1, "1w": 5, "1m": 21, "3m": 63, "6m": 126, "1y": 252}
 YEAR_ROWS = 252
 SMA_ROWS = {"sma_20": 20, "sma_50": 50, "sma_200": 200}
 
+#: Frames from which longer ones are put together (``rolling.cover``).
+SPREAD_LEVELS = [6, 30, 90, YEAR_ROWS]
+MEAN_LEVELS = [5, 20, 50, 200]
+PEAK_LEVELS = [6, 36, YEAR_ROWS]
+
 SLICE = "slice_no"
 HALO = "is_halo"
 CARRIED_PEAK = "carried_peak"
@@ -39,7 +46,7 @@ TREND_COLUMNS = [*SMA_ROWS, "above_sma_50_flag", "above_sma_200_flag", "trend_sc
 
 
 class _Frames:
-    """Window frames of one table: whole history in order, or the last rows of it."""
+    """Windows over one table's series in order, and over their history to date."""
 
     def __init__(self, df: DataFrame):
         sliced = SLICE in df.columns
@@ -47,9 +54,6 @@ class _Frames:
         self.ordered = W.partitionBy(*keys).orderBy("full_date")
         self.sliced = sliced
 
-    def last(self, rows: int):
-        return self.ordered.rowsBetween(1 - rows, W.currentRow)
-
     def to_date(self):
         return self.ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
 
@@ -76,25 +80,25 @@ def with_returns(prices: DataFrame) -> DataFrame:
 
 
 def with_volatility(returns: DataFrame) -> DataFrame:
-    frames, scale = _Frames(returns), F.sqrt(F.lit(float(YEAR_ROWS)))
-    spread, mean = F.stddev_samp("daily_return"), F.avg("daily_return")
-    year = frames.last(YEAR_ROWS)
-    return returns.withColumns(
+    ordered, scale = _Frames(returns).ordered, F.sqrt(F.lit(float(YEAR_ROWS)))
+    spreads = {30: "_spread_30", 90: "_spread_90", YEAR_ROWS: "_spread_1y"}
+    rolled = with_rolling_moments(returns, "daily_return", ordered, SPREAD_LEVELS, {YEAR_ROWS: "_mean_1y"}, spreads)
+    return rolled.withColumns(
         {
-            "volatility_30d": spread.over(frames.last(30)) * scale,
-            "volatility_90d": spread.over(frames.last(90)) * scale,
-            "sharpe_proxy_1y": ratio(mean.over(year), spread.over(year)) * scale,
+            "volatility_30d": F.col("_spread_30") * scale,
+            "volatility_90d": F.col("_spread_90") * scale,
+            "sharpe_proxy_1y": ratio(F.col("_mean_1y"), F.col("_spread_1y")) * scale,
         }
-    )
+    ).drop("_mean_1y", *spreads.values())
 
 
 def with_drawdown(prices: DataFrame) -> DataFrame:
     frames, price = _Frames(prices), F.col("price_for_returns")
-    top = F.max(price)
-    peak = top.over(frames.to_date())
+    peak = F.max(price).over(frames.to_date())
     if frames.sliced:
         peak = F.greatest(peak, CARRIED_PEAK)
-    out = prices.withColumns({"rolling_peak_252d": top.over(frames.last(YEAR_ROWS)), "peak_to_date": peak})
+    out = prices.withColumn("peak_to_date", peak)
+    out = with_rolling_max(out, "price_for_returns", frames.ordered, PEAK_LEVELS, "rolling_peak_252d")
     return out.withColumns(
         {
             "drawdown_52w": ratio(price, F.col("rolling_peak_252d")) - 1,
@@ -104,9 +108,9 @@ def with_drawdown(prices: DataFrame) -> DataFrame:
 
 
 def with_trend(prices: DataFrame) -> DataFrame:
-    frames, price = _Frames(prices), F.col("price_for_returns")
-    mean, mid, slow = F.avg(price), F.col("sma_50"), F.col("sma_200")
-    averaged = prices.withColumns({name: mean.over(frames.last(rows)) for name, rows in SMA_ROWS.items()})
+    price, mid, slow = F.col("price_for_returns"), F.col("sma_50"), F.col("sma_200")
+    means = {rows: name for name, rows in SMA_ROWS.items()}
+    averaged = with_rolling_moments(prices, "price_for_returns", _Frames(prices).ordered, MEAN_LEVELS, means, {})
     flagged = averaged.withColumns(
         {
             "above_sma_50_flag": F.coalesce(price > mid, F.lit(False)),
