@@ -254,6 +254,7 @@ def links_of(group: pd.DataFrame, s: Settings) -> pd.DataFrame:
         grid = np.zeros((len(each), step), np.float32)
         grid[owner[a:b], code[a:b] - first] = 1
         common += grid @ grid.T
+    common = common.astype(np.int64)  # counts are exact as float32, a hundred times them need not be
     ok = (100 * common >= s.percent * (size[:, None] + size[None, :] - common)) & (comp[:, None] != comp[None, :])
     # components of this group: links inside one that is joined already add nothing
     root = {c: c for c in comp}
