@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +25,20 @@ def builder(app: str = "folioloom", master: str | None = None) -> SparkSession.B
     return b.master(master) if master else b
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting that holds inside a with block."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder named by the cluster.
 

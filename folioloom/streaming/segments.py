@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioloom.operators.search import term_index
-from folioloom.session import write_once
+from folioloom.session import setting, write_once
 from folioloom.sources.store import Store
 
 DROP = "relative_path string, modified bigint, removed boolean, content string"
@@ -99,16 +99,12 @@ class SegmentIndex:
         sealed = self.segments()
         number = max((s.number for s in sealed), default=0) + 1
         drops = self.spark.readStream.schema(DROP).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
-        run = (
-            drop_terms(drops)
-            .withColumn("run", F.lit(number))
-            .writeStream.format("parquet")
-            .partitionBy("run")
-            .option("checkpointLocation", f"{self.root}/_checkpoint")
-            .trigger(availableNow=True)
-            .start(f"{self.root}/{RUNS}")
-        )
-        run.awaitTermination()
+        terms = drop_terms(drops).withColumn("run", F.lit(number)).writeStream.format("parquet").partitionBy("run")
+        terms = terms.option("checkpointLocation", f"{self.root}/_checkpoint").trigger(availableNow=True)
+        # a task has one run, so one open file, and the sink need not sort its term rows by run; it would once the limit is reached
+        with setting(self.spark, "spark.sql.maxConcurrentOutputFileWriters", "2"):
+            run = terms.start(f"{self.root}/{RUNS}")
+            run.awaitTermination()
         read = sum(p["numInputRows"] for p in run.recentProgress)
         files, at = self.store._files(f"{self.root}/{RUNS}/run={number}")
         if files.exists(at):  # not so if nothing has landed, in this run or one killed before

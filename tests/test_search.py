@@ -1,7 +1,12 @@
+import json
 import math
+import os
 import random
 import re
+import subprocess
+import sys
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -196,6 +201,34 @@ def test_stream_killed_before_sealing_goes_on_in_its_segment(spark, tmp_path, mo
     assert sorted(map(tuple, again.terms().collect())) == rebuilt({"a": "two", "b": "three"})
 
 
+LOGGED = """
+import sys
+from folioloom.session import builder
+from folioloom.sources.store import Store
+from folioloom.streaming import segments
+
+top, key = sys.argv[1], "spark.sql.maxConcurrentOutputFileWriters"
+logged = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{top}/events", "spark.eventLog.rolling.enabled": "false", "spark.eventLog.compress": "false"}
+spark = builder("logged", "local[2]").config(map=logged).getOrCreate()
+was = spark.conf.get(key, None)
+segments.SegmentIndex(Store(spark, f"{top}/store")).refresh(f"{top}/in")
+assert spark.conf.get(key, None) == was
+spark.stop()
+"""
+
+
+def test_stream_writes_without_sorting_its_rows(spark, tmp_path):
+    """A sort would hold all term rows of a task: the stage that reads the drops must need no execution memory."""
+    drop(spark, str(tmp_path / "in"), [(f"d{i}", 1, False, "one two three") for i in range(50)])
+    (tmp_path / "events").mkdir()
+    root = str(Path(__file__).parents[1])
+    subprocess.run([sys.executable, "-c", LOGGED, str(tmp_path)], check=True, cwd=root, env=os.environ | {"PYTHONPATH": root}, timeout=200)
+    lines = [json.loads(x) for f in (tmp_path / "events").iterdir() for x in f.read_text().splitlines()]
+    done = [x["Task Metrics"] for x in lines if x["Event"] == "SparkListenerTaskEnd"]
+    writes = [m for m in done if m["Output Metrics"]["Records Written"] == 50 * 4]
+    assert len(writes) == 1 and writes[0]["Peak Execution Memory"] == 0
+
+
 def test_nothing_landed_and_search_on_the_index(spark, tmp_path):
     landing, index = str(tmp_path / "in"), segments.SegmentIndex(Store(spark, str(tmp_path / "store")))
     assert index.terms().count() == 0
