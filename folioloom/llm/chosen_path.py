@@ -2,21 +2,24 @@
 
 A document is its set of distinct word shingles. Documents with equal sets form a class first, so copies
 cost one row. For each class ``coordinates`` minwise tokens are kept, of which each independent tree
-chooses one: classes that share it form a node. First ``early`` trees in turn compare every class with the
-first one of its root node, so that a large group is one component before anything grows with it. Then small
-nodes are compared exhaustively. In a large node every class outside its main component is compared
-with two pivots; nodes whose classes are already connected are settled, dense ones (many classes connected or near
-a pivot) are compared exhaustively in blocks on full sets, main components not within themselves, and the others branch: every child takes one more chosen token. A pair of similarity s meets in one
-tree with probability s and follows a branching of ``branches`` children with 1 - (1 - s)**branches, so
-``trees`` bounds what the trees may miss (0.2**12 = 4e-9 at 0.8). Outside dense blocks pairs are also screened
-by their minwise tokens, the same test in all trees: about 4.5 standard deviations below the limit, 83 of
+chooses one: classes that share it form a node. Nodes of up to ``leaf`` classes are compared exhaustively
+by the low bytes of their tokens, 128 a class. Larger ones are dealt into such parts first, which joins most of a group
+of near copies; then a node is settled if all its classes are joined, compared exhaustively in blocks if at most ``rest`` blocks are
+outside its main component, and branches else: each child takes one more chosen token. ``branches`` children make pairs
+below a similarity of 1 / ``branches`` die out. What is left in a node at ``depth`` is compared in blocks, whatever its size.
+
+These comparisons only say which classes are joined by chains of pairs that pass the screen. Each such group is then
+compared exactly, once, on full sets: whole up to ``block`` classes, else parts of it, which joins most of it, then blocks
+of all pairs but those within the main component. So texts are read once, and a group's pairs are not met again in every tree.
+
+A pair of similarity s meets in one tree with probability s and follows a branching of two children with at least 0.94 at 0.8,
+so ``trees`` bounds what the trees may miss: 0.2**12 = 4e-9 at 0.8, 0.25**12 = 6e-8 if it has to branch without end in
+each of them. The screen is the same in all trees: about 4.5 standard deviations below the limit, 83 of
 128 equal ones. Ideal tokens of a pair at 0.8 fail that with probability 2.0e-5, which is the chance of a miss
-that counts there; such a link is lost unless others join the two. Every link is confirmed on full sets.
+that counts; such a link is lost unless others join the two. Every link is confirmed on full sets.
 
-Only connections matter for the result: a pair whose classes are connected already is not confirmed again.
-Exchanges carry ids, tokens and, for screened classes, texts. No group is collected: nodes are counted
-by partial aggregation, pairs within a node are formed up to ``leaf`` classes, and blocks hold about
-``block`` classes, whatever the size of the node.
+No group is collected: nodes are counted by partial aggregation, and a task holds parts or blocks of about
+``leaf`` sketches or ``block`` texts (fewer long ones: ``volume`` shingles), whatever the size of the node.
 
 Empty sets are linked with nothing, not even each other. Null ids count as larger than all
 others; a component of such rows only has a null id. Rows with the same id are separate
@@ -25,19 +28,18 @@ documents. Extra columns pass through.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import product
+from itertools import islice
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioloom.llm import words
-from folioloom.llm.components import components
-from folioloom.llm.frames import Rounds
+from folioloom.llm.components import components, smallest_reachable
+from folioloom.llm.frames import Rounds, narrowed
 from folioloom.session import write_once
 
 
@@ -47,19 +49,18 @@ class Settings:
     percent: int = 80
     coordinates: int = 128
     trees: int = 12
-    branches: int = 3
-    leaf: int = 16
+    branches: int = 2
+    leaf: int = 2048
+    rest: int = 4
     block: int = 512
-    dense_share: float = 0.25
-    dense_at: float = 0.5
+    volume: int = 1 << 21
     depth: int = 6
-    early: int = 1
     seed: int = 11
 
-    @property
-    def screen(self) -> float:
+    def least(self, n: int, deviations: float) -> int:
+        """Equal ones of ``n`` tokens that a pair at the limit has, less some standard deviations."""
         s = self.percent / 100
-        return s - 4.5 * (s * (1 - s) / self.coordinates) ** 0.5
+        return int(np.ceil(n * s - deviations * (n * s * (1 - s)) ** 0.5))
 
 
 # --- sets and minwise tokens ---
@@ -97,7 +98,10 @@ def tokens(value: np.ndarray, edges: np.ndarray, s: Settings) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, s: Settings) -> DataFrame:
-    """(doc_id, hash, n, s1, s2, mins): size, two sums that identify the set, and minwise tokens."""
+    """(doc_id, hash, n, s1, s2, mins): size, two sums that identify the set, and minwise tokens.
+
+    Of the tokens all low bytes come first, so that a prefix serves as sketch.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -106,7 +110,7 @@ def signatures(docs: DataFrame, s: Settings) -> DataFrame:
                 n = np.diff(edges)
                 total = [np.concatenate([[np.uint64(0)], np.cumsum(v, dtype=np.uint64)]) for v in (value, words.mix(value))]
                 s1, s2 = ((t[edges[1:]] - t[edges[:-1]]).view(np.int64) for t in total)
-                mins = tokens(value, edges, s)
+                mins = tokens(value, edges, s).view(np.uint8).reshape(len(p), s.coordinates, 4).transpose(0, 2, 1)
                 own = batch.slice(p.first, len(p))
                 cols = [own.column(0), own.column(1), pa.array(n.astype(np.int64)), pa.array(s1), pa.array(s2),
                         pa.array([x.tobytes() for x in mins], pa.binary())]
@@ -118,79 +122,119 @@ def signatures(docs: DataFrame, s: Settings) -> DataFrame:
 
 def matrix(column: pa.Array, s: Settings) -> np.ndarray:
     buf, at = words.column(column)
-    return np.frombuffer(buf[at[0] : at[-1]].tobytes(), np.uint32).reshape(-1, s.coordinates)
-
-
-# --- nodes and candidate pairs ---
+    planes = buf[at[0] : at[-1]].reshape(-1, 4, s.coordinates)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.uint32)[:, :, 0]
 
 
-def nodes(rows: DataFrame, s: Settings, level: int, only: int | None = None) -> DataFrame:
-    """(node, cid) below rows of (node, cid, n, mins): all trees at the root, chosen branches elsewhere.
+# --- nodes and groups ---
 
-    With ``only`` it is one tree's root nodes without the second band.
 
-    Root nodes are cut by size: bands are as wide as the ratio that a link allows, and a class is in its
-    own band and the next, so any two that can be linked share one.
-    """
+def nodes(rows: DataFrame, s: Settings, level: int) -> DataFrame:
+    """(node, cid) below rows of (node, cid, mins): all trees at the root, chosen branches elsewhere."""
     width = s.trees if level == 0 else s.branches
-    bands = 2 if level == 0 and only is None else 1
-    wide = range(width) if only is None else [only]
-    step = -np.log(s.percent / 100 - 1e-9)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
-            above, cid = (batch.column(i).to_numpy() for i in (0, 1))
-            mins = matrix(batch.column(3), s)
-            band = np.floor(np.log(batch.column(2).to_numpy()) / step).astype(np.int64)
-            for b, up in product(wide, range(bands)):
+            above, cid = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+            mins = matrix(batch.column(2), s)
+            for b in range(width):
                 if level == 0:
                     chosen = np.full(len(cid), b, np.int64)
-                else:  # by the node, so that all its classes choose alike; levels draw from tokens of their own
-                    draw = words.mix(above.view(np.uint64) + np.uint64(7919 * b + level))
-                    free = np.uint64(s.coordinates - s.trees)
-                    chosen = s.trees + (draw % free).astype(np.int64)
+                else:  # by the node, so that all its classes choose alike; levels draw from tokens of their own, no token twice
+                    free = s.coordinates - s.trees
+                    step = 1 + words.mix(above + np.uint64(7919 + level)) % np.uint64(max(1, (free - 1) // max(1, s.branches - 1)))
+                    draw = words.mix(above + np.uint64(level)) + np.uint64(b) * step
+                    chosen = s.trees + (draw % np.uint64(free)).astype(np.int64)
                 token = mins[np.arange(len(cid)), chosen].astype(np.uint64)
-                if level == 0:
-                    token += (band + up).astype(np.uint64) << np.uint64(32)
-                node = words.mix(token ^ words.mix(above.view(np.uint64) + chosen.astype(np.uint64) * np.uint64(2654435761) + np.uint64(level)))
+                node = words.mix(token ^ words.mix(above + chosen.astype(np.uint64) * np.uint64(2654435761) + np.uint64(level)))
                 yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(cid)], ["node", "cid"])
 
-    return rows.select("node", "cid", "n", "mins").mapInArrow(run, "node bigint, cid bigint")
-
-
-def screened(pairs: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
-    """(a, b, est) for pairs whose sizes allow a link; est is the share of equal minwise tokens."""
-    side = classes.select("cid", "n", "mins")
-    both = pairs.join(side.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("mins").alias("ma")), "a")
-    both = both.join(side.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("mins").alias("mb")), "b")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if len(batch):
-                est = (matrix(batch.column(2), s) == matrix(batch.column(3), s)).mean(axis=1)
-                cols = [batch.column(0), batch.column(1), pa.array(est)]
-                yield pa.RecordBatch.from_arrays(cols, ["a", "b", "est"])
-
-    return both.select("a", "b", "ma", "mb").mapInArrow(run, "a bigint, b bigint, est double")
-
-
-# --- confirming on full sets ---
-
-
-def confirmed(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
-    """Pairs (a, b) with 100 x intersection >= percent x union of their sets."""
-    both = pairs.select("a", "b").join(texts.select(F.col("cid").alias("a"), F.col("raw").alias("ra")), "a")
-    both = both.join(texts.select(F.col("cid").alias("b"), F.col("raw").alias("rb")), "b")
+    return rows.select("node", "cid", "mins").mapInArrow(run, "node bigint, cid bigint")
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Whole groups of a stream sorted by its first two columns, and where each begins and the last one ends."""
+    held: list[pa.RecordBatch] = []  # of one group, which may go on
+    for batch in batches:
+        if not len(batch):
+            continue
+        key = np.stack([batch.column(i).to_numpy() for i in (0, 1)])
+        cut = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
+        if held and any(held[0].column(i)[0].as_py() != key[i, 0] for i in (0, 1)):
+            cut = np.concatenate([[0], cut])
+        if not len(cut):
+            held.append(batch)
+            continue
+        done = pa.concat_batches([*held, batch.slice(0, int(cut[-1]))])
+        before = len(done) - int(cut[-1])
+        yield done, np.concatenate([[0], cut + before])
+        held = [batch.slice(int(cut[-1]))]
+    if held:
+        done = pa.concat_batches(held)
+        yield done, np.array([0, len(done)])
+
+
+def spanned(rows: DataFrame, side: DataFrame, s: Settings, judge: Callable) -> DataFrame:
+    """(a, b): a spanning star forest of the components that ``judge`` joins, within groups of (node, part, cid, comp).
+
+    ``side`` is (cid, load), what classes are judged by.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = each_set(batch.column(2), s), each_set(batch.column(3), s)
-            ok = [linked(x, y, s) for x, y in zip(left, right, strict=True)]
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
-
-    return both.select("a", "b", "ra", "rb").mapInArrow(run, "a bigint, b bigint")
+        for batch, edges in whole_groups(batches):
+            comp = batch.column(2).to_numpy()
+            i, j = judge(batch.column(3), edges, comp, s)
+            if len(i):
+                value, at = np.unique(comp, return_inverse=True)
+                root = smallest_reachable(at[i], at[j], len(value))
+                b = np.flatnonzero(root != np.arange(len(value)))
+                yield pa.RecordBatch.from_arrays([pa.array(value[root[b]]), pa.array(value[b])], ["a", "b"])
+
+    dealt = rows.join(side, "cid").select("node", "part", "comp", "load").repartition("node", "part")
+    return dealt.sortWithinPartitions("node", "part").mapInArrow(run, "a bigint, b bigint")
+
+
+def by_sketch(load: pa.Array, edges: np.ndarray, comp: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of different components that pass the screen, as positions."""
+    buf, at = words.column(load)
+    m = buf[at[0] : at[-1]].reshape(-1, s.coordinates)
+    size = np.diff(edges)
+    two = edges[:-1][size == 2]
+    left, right = [two], [two + 1]
+    quick = min(32, s.coordinates)
+    for x, y in zip(edges[:-1][size > 2], edges[1:][size > 2], strict=True):
+        some = np.zeros((y - x, y - x), np.uint8)
+        for j in range(quick):
+            some += m[x:y, j, None] == m[None, x:y, j]
+        i, j = np.nonzero(np.triu(some >= s.least(quick, 7), 1))
+        left.append(i + x)
+        right.append(j + x)
+    i, j = np.concatenate(left), np.concatenate(right)
+    apart = comp[i] != comp[j]
+    i, j = i[apart], j[apart]
+    ok = np.zeros(len(i), bool)
+    step = 1 << 15
+    for k in range(0, len(i), step):
+        ok[k : k + step] = (m[i[k : k + step]] == m[j[k : k + step]]).sum(axis=1) >= s.least(s.coordinates, 4.5)
+    return i[ok], j[ok]
+
+
+def by_set(load: pa.Array, edges: np.ndarray, comp: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of different components with 100 x intersection >= percent x union of their sets, as positions."""
+    sets_of = each_set(load, s)
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for x, y in zip(edges[:-1], edges[1:], strict=True):
+        each = list(islice(sets_of, int(y - x)))
+        if len(each) == 2:
+            i, j = (np.array([k] if linked(*each, s) else [], np.int64) for k in (0, 1))
+        else:
+            i, j = links_of(each, comp[x:y], s)
+        apart = comp[x + i] != comp[x + j]
+        left.append(x + i[apart])
+        right.append(x + j[apart])
+    return np.concatenate(left), np.concatenate(right)
 
 
 def each_set(raw: pa.Array, s: Settings) -> Iterator[np.ndarray]:
@@ -208,36 +252,8 @@ def linked(x: np.ndarray, y: np.ndarray, s: Settings) -> bool:
     return 100 * same >= s.percent * (len(x) + len(y) - same)
 
 
-def in_blocks(members: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
-    """Links between different components of dense nodes; members are (node, cid, comp).
-
-    The largest-numbered share of a node, its main component, is kept apart: only pairs with a class
-    outside it are compared. Rows go to blocks by hash, each pair of blocks is one task's group.
-    """
-    per_comp = members.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("c"))
-    main = per_comp.groupBy("node").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.max("c").alias("in_main"), F.sum("c").alias("all"))
-    part = members.join(main, "node").withColumn("major", F.col("comp") == F.col("main"))
-    half = s.block // 2
-    n_major, n_rest = F.ceil(F.col("in_main") / half), F.ceil((F.col("all") - F.col("in_main")) / half)
-    part = part.withColumns({"nm": n_major.cast("int"), "nr": n_rest.cast("int")}).filter("nr > 0")
-    part = part.withColumn("own", F.pmod(F.xxhash64("cid"), F.when(F.col("major"), F.col("nm")).otherwise(F.col("nr"))).cast("int"))
-    rest = F.concat(
-        F.transform(F.sequence(F.lit(0), F.col("nr") - 1), lambda j: F.concat_ws("r", F.least(j, "own"), F.greatest(j, "own"))),
-        F.transform(F.sequence(F.lit(0), F.col("nm") - 1), lambda j: F.concat_ws("m", "own", j)),
-    )
-    majors = F.transform(F.sequence(F.lit(0), F.col("nr") - 1), lambda j: F.concat_ws("m", j, "own"))
-    dealt = part.select("node", "cid", "comp", F.explode(F.when(F.col("major"), majors).otherwise(rest)).alias("pair"))
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        return links_of(group, s)
-
-    return dealt.join(texts, "cid").groupBy("node", "pair").applyInPandas(run, "a bigint, b bigint").distinct()
-
-
-def links_of(group: pd.DataFrame, s: Settings) -> pd.DataFrame:
-    """A spanning set of the links between different components of one block pair."""
-    cid, comp = group["cid"].to_numpy(), group["comp"].to_numpy()
-    each = list(each_set(pa.array(list(group["raw"]), pa.binary()), s))
+def links_of(each: list[np.ndarray], comp: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """All links between different components of one group."""
     size = np.array([len(x) for x in each])
     owner = np.repeat(np.arange(len(each)), size)
     _, code = np.unique(np.concatenate(each), return_inverse=True)
@@ -256,21 +272,47 @@ def links_of(group: pd.DataFrame, s: Settings) -> pd.DataFrame:
         common += grid @ grid.T
     common = common.astype(np.int64)  # counts are exact as float32, a hundred times them need not be
     ok = (100 * common >= s.percent * (size[:, None] + size[None, :] - common)) & (comp[:, None] != comp[None, :])
-    # components of this group: links inside one that is joined already add nothing
-    root = {c: c for c in comp}
+    return np.nonzero(np.triu(ok, 1))
+
+
+# --- parts and blocks of large groups ---
+
+
+def ceiling(weight: Column, most: int) -> Column:
+    return F.ceil(weight / F.lit(most)).cast("int")
+
 
-    def find(c):
-        while root[c] != c:
-            root[c] = c = root[root[c]]
-        return c
+def shares(members: DataFrame, s: Settings) -> DataFrame:
+    """(node, cid, comp, major, nm, nr) of nodes (node, cid, comp, w) with more than one component.
+
+    The heaviest component of a node is its main one, and its classes are ``major``: nm and nr are the blocks of half a
+    volume that they and the rest take.
+    """
+    per_comp = members.groupBy("node", "comp").agg(F.sum("w").alias("w"))
+    main = per_comp.groupBy("node").agg(F.max(F.struct("w", "comp")).alias("main"), F.sum("w").alias("all")).filter("all > main.w")
+    half = s.volume // 2
+    main = main.select("node", F.col("main.comp").alias("main"), ceiling(F.col("main.w"), half).alias("nm"), ceiling(F.col("all") - F.col("main.w"), half).alias("nr"))
+    return members.join(main, "node").select("node", "cid", "comp", (F.col("comp") == F.col("main")).alias("major"), "nm", "nr")
 
-    out = []
-    for i, j in zip(*np.nonzero(np.triu(ok, 1)), strict=True):
-        x, y = find(comp[i]), find(comp[j])
-        if x != y:
-            root[max(x, y)] = min(x, y)
-            out.append((cid[i], cid[j]))
-    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+def in_blocks(part: DataFrame) -> DataFrame:
+    """(node, part, cid, comp) of ``shares``: every pair of blocks, but not two of the main component.
+
+    Rows go to blocks by hash, each pair of blocks is a group.
+    """
+    own = F.pmod(F.xxhash64("cid"), F.when(F.col("major"), F.col("nm")).otherwise(F.col("nr"))).cast("int")
+    rest = F.concat(
+        F.transform(F.sequence(F.lit(0), F.col("nr") - 1), lambda j: F.concat_ws("r", F.least(j, "own"), F.greatest(j, "own"))),
+        F.transform(F.sequence(F.lit(0), F.col("nm") - 1), lambda j: F.concat_ws("m", "own", j)),
+    )
+    majors = F.transform(F.sequence(F.lit(0), F.col("nr") - 1), lambda j: F.concat_ws("m", j, "own"))
+    dealt = part.withColumn("own", own).select("node", "cid", "comp", F.explode(F.when(F.col("major"), majors).otherwise(rest)).alias("pair"))
+    return dealt.select("node", F.xxhash64("pair").alias("part"), "cid", "comp")
+
+
+def in_parts(members: DataFrame, salt: int = 0) -> DataFrame:
+    """(node, part, cid, comp) of (node, cid, comp, parts): classes dealt to the parts of their node by hash."""
+    return members.select("node", F.pmod(F.xxhash64("cid", "node", F.lit(salt)), F.col("parts").cast("bigint")).alias("part"), "cid", "comp")
 
 
 # --- the join ---
@@ -285,12 +327,12 @@ def classes_of(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     return signed, write_once(rows.withColumn("cid", F.monotonically_increasing_id()), "near-classes")
 
 
-def texts_of(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
-    """(cid, raw) of the wanted classes."""
-    wanted = classes.join(ids.distinct(), "cid", "left_semi").select("cid", "rep_id", "rep_hash")
-    rows = docs.select("doc_id", F.xxhash64("text").alias("hash"), F.col("text").cast("binary").alias("raw"))
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(cid, load) of classes (cid, rep_id, rep_hash), load being the text."""
+    rows = docs.select("doc_id", F.xxhash64("text").alias("hash"), F.col("text").cast("binary").alias("load"))
+    rows = narrowed(rows, "hash", wanted.select("rep_hash"))
     on = (rows["hash"] == wanted["rep_hash"]) & rows["doc_id"].eqNullSafe(wanted["rep_id"])
-    return rows.join(wanted, on).select("cid", "raw").dropDuplicates(["cid"])
+    return rows.join(wanted, on).select("cid", "load").dropDuplicates(["cid"])
 
 
 def with_comp(rows: DataFrame, comps: DataFrame | None, key: str, name: str) -> DataFrame:
@@ -300,91 +342,78 @@ def with_comp(rows: DataFrame, comps: DataFrame | None, key: str, name: str) ->
     return rows.join(labels, key, "left").withColumn(name, F.coalesce(name, key))
 
 
-def star(large: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(node, a, b) and (node, size, in_main) for (node, cid, comp): classes of large nodes beside two pivots.
+def hops(stars: DataFrame, n: int) -> DataFrame:
+    """(id, comp) by following each class of star forests (a, b) to its smallest centre, n times.
 
-    One pivot is of the node's main component, which is not compared with itself, the other of the rest.
+    Classes with one comp are joined, but not all that are joined have one: it is for saving comparisons only.
     """
-    per_comp = large.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("c"), F.min("cid").alias("low"))
-    main = per_comp.groupBy("node").agg(
-        F.max(F.struct("c", "comp", "low")).alias("main"), F.sum("c").alias("size")
-    ).select("node", F.col("main.comp").alias("main"), F.col("main.low").alias("main_low"), F.col("main.c").alias("in_main"), "size")
-    other = per_comp.join(main.select("node", "main"), "node").filter("comp <> main").groupBy("node").agg(F.min("low").alias("rest_low"))
-    pivots = main.join(other, "node")
-    rows = large.join(pivots, "node").filter("comp <> main").select("node", "cid", F.explode(F.array("main_low", "rest_low")).alias("pivot"))
-    pairs = rows.filter("cid <> pivot").select("node", F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b"))
-    return pairs, main.select("node", "size", "in_main")
+    step = write_once(stars.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("comp")), "near-hops")
+    out = step
+    for _ in range(n - 1):
+        out = with_comp(out.withColumnRenamed("comp", "via"), step, "via", "comp").select("id", "comp")
+    return out
 
 
-def link(docs: DataFrame, classes: DataFrame, s: Settings) -> DataFrame | None:
-    """(id, comp) of linked classes; None without any link."""
-    comps: DataFrame | None = None
-    files = Rounds(docs.sparkSession)
-
-    def add(new: DataFrame) -> None:
-        """Join new links to the components so far, which stand for all earlier links."""
-        nonlocal comps
-        new = files.store(new, "near-links")
-        if not new.isEmpty():
-            known = new if comps is None else new.union(comps.selectExpr("id as a", "comp as b"))
-            comps = write_once(components(known), "near-components")
-
-    def stored_texts(ids: DataFrame) -> DataFrame:
-        return files.store(texts_of(docs, classes, ids), "near-texts")
-
-    rows = classes.select(F.lit(0).cast("bigint").alias("node"), "cid", "n", "mins")
-    # large groups first become one component each: every class of a root node beside its first one, one tree at a time
-    for tree in range(min(s.early, s.trees)):
-        files.turn()
-        placed = files.store(with_comp(nodes(rows, s, 0, only=tree), comps, "cid", "comp"), "near-nodes")
-        first = placed.groupBy("node").agg(F.min(F.struct("cid", "comp")).alias("first"))
-        beside = placed.join(first, "node").filter(F.col("comp") != F.col("first.comp"))
-        pairs = beside.select(F.least("cid", "first.cid").alias("a"), F.greatest("cid", "first.cid").alias("b")).distinct()
-        near = files.store(screened(pairs, classes, s).filter(F.col("est") >= s.screen).select("a", "b"), "near-pairs")
-        if not near.isEmpty():
-            add(confirmed(near, stored_texts(near.selectExpr("a as cid").union(near.selectExpr("b as cid"))), s))
+def candidates(classes: DataFrame, s: Settings) -> DataFrame | None:
+    """(id, comp) of classes joined by chains of pairs that meet in a node and pass the screen; None without any."""
+    files = Rounds(classes.sparkSession)
+    mins = classes.select("cid", "mins")
+    rows = mins.withColumn("node", F.lit(0).cast("bigint"))
+    weight = s.volume // s.leaf
+    comps = edges = None
     for level in range(s.depth + 1):
         files.turn()
-        placed = files.store(with_comp(nodes(rows, s, level).distinct(), comps, "cid", "comp"), "near-nodes")
-        stats = placed.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("x"), F.max("comp").alias("y"))
-        met = files.store(placed.join(stats.filter("size > 1 and x <> y").select("node", "size"), "node"), "near-met")
-        leaf = met.filter(F.col("size") <= s.leaf).groupBy("node").agg(F.sort_array(F.collect_set(F.struct("cid", "comp"))).alias("m"))
-        pairs = leaf.select("m", F.posexplode("m").alias("i", "a")).select(
-            "a", F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("b")
-        )
-        pairs = pairs.filter("a.comp <> b.comp").select("a.cid", "b.cid").toDF("a", "b")
-        large = met.filter(F.col("size") > s.leaf).select("node", "cid", "comp")
-        beside, sizes = star(large)
-        pairs = files.store(screened(pairs.union(beside.select("a", "b")).distinct(), classes, s), "near-pairs")
-        near = pairs.filter(F.col("est") >= s.screen).select("a", "b")
-        # a node is dense if many of its classes are in its main component or near a pivot
-        per_node = beside.join(pairs, ["a", "b"]).groupBy("node").agg(F.sum((F.col("est") >= s.dense_at).cast("int")).alias("close"))
-        close = F.coalesce("close", F.lit(0)) + 2 * F.col("in_main")
-        dense = sizes.join(per_node, "node", "left").withColumn("dense", (close >= 2 * s.dense_share * F.col("size")) | F.lit(level == s.depth))
-        dense = files.store(dense.select("node", "dense"), "near-dense")
-        large = large.select("node", "cid").join(dense, "node")
-        some_near, some_dense = not near.isEmpty(), not dense.filter("dense").isEmpty()
-        if some_near:
-            texts = stored_texts(near.selectExpr("a as cid").union(near.selectExpr("b as cid")))
-            # one pair for each class first: most others are connected by then
-            first = near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-            add(confirmed(first, texts, s))
-            rest = with_comp(with_comp(near.join(first, ["a", "b"], "left_anti"), comps, "a", "ca"), comps, "b", "cb")
-            add(confirmed(rest.filter("ca <> cb"), texts, s))
-        labelled = with_comp(large, comps, "cid", "comp")
-        open_nodes = labelled.groupBy("node").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y")
-        left = files.store(labelled.join(open_nodes.select("node"), "node"), "near-open")
-        if some_dense:
-            members = left.filter("dense").select("node", "cid", "comp")
-            if not members.isEmpty():
-                add(in_blocks(members, stored_texts(members.select("cid")), s))
-        left = left.filter("not dense")
-        if left.isEmpty():
+        sketches = mins.select("cid", F.substring("mins", 1, s.coordinates).alias("load"))
+        placed = files.store(nodes(rows, s, level), "near-nodes")
+        sizes = placed.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+        sizes = sizes.select("node", ceiling(F.col("size") * F.lit(weight), s.volume).alias("parts"))
+        met = files.store(with_comp(placed.join(sizes, "node"), comps, "cid", "comp"), "near-met")
+        new = write_once(spanned(in_parts(met), sketches, s, by_sketch), "near-edges")
+        edges = new if edges is None else edges.union(new)
+        large = met.filter("parts > 1").select("node", "cid", "comp", F.lit(weight).cast("bigint").alias("w"))
+        if large.isEmpty():
+            break
+        if comps is None:
+            comps = write_once(hops(new, 3), "near-components")
+            large = with_comp(large.drop("comp"), comps, "cid", "comp")
+            ids = large.select("cid").distinct()  # few, as a rule: later levels read these only
+            mins = write_once(narrowed(mins, "cid", ids).join(ids, "cid"), "near-mins")
+            sketches = mins.select("cid", F.substring("mins", 1, s.coordinates).alias("load"))
+        left = files.store(shares(large, s), "near-open")
+        last = F.lit(level == s.depth) | (F.col("nr") <= s.rest)
+        now, later = left.filter(last), left.filter(~last)
+        if not now.isEmpty():
+            edges = edges.union(write_once(spanned(in_blocks(now), sketches, s, by_sketch), "near-edges"))
+        if later.isEmpty():
             break
-        rows = left.select("node", "cid").join(classes.select("cid", "n", "mins"), "cid")
+        rows = later.select("node", "cid").join(mins, "cid")
     files.turn()
     files.turn()
-    return comps
+    return None if edges.isEmpty() else write_once(components(edges), "near-candidates")
+
+
+def link(docs: DataFrame, classes: DataFrame, s: Settings) -> DataFrame | None:
+    """(id, comp) of linked classes; None without any candidates."""
+    found = candidates(classes, s)
+    if found is None:
+        return None
+    weight = F.greatest(F.lit(s.volume // s.block).cast("bigint"), F.col("n"))
+    about = classes.select("cid", "rep_id", "rep_hash", weight.alias("w"))
+    members = about.join(found.selectExpr("id as cid", "comp as node"), "cid")
+    sizes = members.groupBy("node").agg(ceiling(F.sum("w"), s.volume).alias("parts"))
+    members = write_once(members.join(sizes, "node").withColumn("comp", F.col("cid")), "near-members")
+    texts = write_once(texts_of(docs, members.select("cid", "rep_id", "rep_hash")), "near-texts")
+    # each class is in one part, so that the stars of all parts are components already
+    first = write_once(spanned(in_parts(members), texts, s, by_set), "near-links")
+    comps = first.selectExpr("b as id", "a as comp")
+    large = members.filter("parts > 1").select("node", "cid", "w", "parts")
+    if large.isEmpty():
+        return comps
+    # another deal joins what the parts have in common
+    large = write_once(with_comp(large, comps, "cid", "comp"), "near-large")
+    again = write_once(spanned(in_parts(large, 1), texts, s, by_set), "near-links")
+    left = shares(with_comp(large.withColumnRenamed("comp", "first"), hops(again, 1), "first", "comp"), s)
+    return write_once(components(first.union(again).union(spanned(in_blocks(left), texts, s, by_set))), "near-components")
 
 
 def dedup(docs: DataFrame, s: Settings = Settings()) -> DataFrame:

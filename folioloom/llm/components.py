@@ -2,20 +2,69 @@
 
 Each step joins edges to one minimum per node, so a node with very many edges is spread by adaptive
 skew handling and its minimum is combined map-side. Every round is stored in the shared folder.
+Up to ``MOST`` edges, 4 MB, are no work worth spreading: one task settles them. More are contracted first, each task
+making a forest of the edges that it reads.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioloom.session import write_once
 
+MOST = 1 << 18
+
+
+def smallest_reachable(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
+    """Smallest node reachable from each of n by the links i - j."""
+    root = np.arange(n)
+    while True:
+        x, y = root[i], root[j]
+        low = np.minimum(x, y)
+        if (x == y).all():
+            return root
+        np.minimum.at(root, x, low)
+        np.minimum.at(root, y, low)
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def forest(edges: DataFrame, most: int) -> DataFrame:
+    """(a, b) with the same components inside every task; b is the smallest node that a reaches by a run of its edges."""
 
-def components(edges: DataFrame) -> DataFrame:
+    def settled(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        a, b = (np.concatenate([x.column(k).to_numpy() for x in held]) for k in (0, 1))
+        node, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+        root = smallest_reachable(at[: len(a)], at[len(a) :], len(node))
+        away = np.flatnonzero(root != np.arange(len(node)))
+        return pa.RecordBatch.from_arrays([pa.array(node[away]), pa.array(node[root[away]])], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            if n and n + len(batch) > most:
+                yield settled(held)
+                held, n = [], 0
+            held.append(batch)
+            n += len(batch)
+        if n:
+            yield settled(held)
+
+    return edges.mapInArrow(run, "a bigint, b bigint")
+
+
+def components(edges: DataFrame, most: int = MOST) -> DataFrame:
     """(id, comp) for every node of edges (a, b); comp is the smallest node reachable."""
     pair = [F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")]
-    now = write_once(edges.select(*pair).filter("a <> b").distinct(), "components")
+    now = write_once(edges.select(*pair).filter("a <> b"), "components")
+    if now.count() <= most:
+        return labels(forest(now.coalesce(1), most))
+    now = write_once(forest(now, most).distinct(), "components")
     state = mark(now)
     while True:
         both = now.union(now.selectExpr("b as a", "a as b"))
@@ -28,8 +77,12 @@ def components(edges: DataFrame) -> DataFrame:
         before, state = state, mark(now)
         if state == before:
             break
-    roots = now.select(F.col("b").alias("id")).distinct()
-    return now.selectExpr("a as id", "b as comp").union(roots.selectExpr("id", "id as comp"))
+    return labels(now)
+
+
+def labels(stars: DataFrame) -> DataFrame:
+    roots = stars.select(F.col("b").alias("id")).distinct()
+    return stars.selectExpr("a as id", "b as comp").union(roots.selectExpr("id", "id as comp"))
 
 
 def mark(edges: DataFrame) -> tuple:

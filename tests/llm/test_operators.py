@@ -22,6 +22,8 @@ from folioloom.llm import (
     chosen_path, compression_bands, curriculum, decontam, feistel, fm_index, line_windows, quality_model, substring,
     token_store, url_cascade, words,
 )
+from folioloom.llm.components import components
+from folioloom.llm.frames import narrowed
 from folioloom.llm.queries import URL_RULES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -395,6 +397,71 @@ def test_near_duplicates_odd(docs, clashing, empty):
     assert chosen_path.one_of_each(clashing).columns == clashing.columns and chosen_path.one_of_each(empty).count() == 0
 
 
+def template_rows(n):
+    """Pages of one template: some linked with each other, most in similarity between a half and the limit."""
+    base = prose(9, 150).split()
+    for i in range(n):
+        r, copy = random.Random(i), list(base)
+        for at in r.sample(range(150), i % 3 * 5 + 1):
+            copy[at] = f"new{i}x{at}"
+        yield i, " ".join(copy)
+
+
+def test_near_duplicates_work_follows_the_input(spark, monkeypatch):
+    """Rows stored on the way grow as the pages of one template, and the driver runs few jobs for them."""
+    stored = []
+    once, store = chosen_path.write_once, chosen_path.Rounds.store
+
+    def counted(df):
+        stored.append(df.count())
+        return df
+
+    jobs, made = [], []
+    for n in (100, 400):
+        rows = list(template_rows(n))
+        df = spark.createDataFrame(rows, "doc_id bigint, text string")
+        spark.sparkContext.setJobGroup(f"near-{n}", "jobs of one run")
+        got = chosen_path.dedup(df).collect()
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"near-{n}")))
+        with monkeypatch.context() as m:
+            m.setattr(chosen_path, "write_once", lambda df, label: counted(once(df, label)))
+            m.setattr(chosen_path.Rounds, "store", lambda self, df, label: counted(store(self, df, label)))
+            stored.clear()
+            chosen_path.dedup(df)
+            made.append(sum(stored))
+        assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == Counter(brute_components(rows))
+    spark.sparkContext.setJobGroup("", "")
+    print(jobs, made)
+    assert max(jobs) <= 80 and made[1] <= 5 * made[0]
+
+
+@pytest.mark.parametrize("most", [0, 7, 1 << 18])
+def test_components(spark, most):
+    r = random.Random(3)
+    edges = [(r.randrange(300) * 7 - 900, r.randrange(300) * 7 - 900) for _ in range(170)] + [(5000 + i, 5001 + i) for i in range(40)] + [(3, 3)]
+    root = {}
+
+    def find(i):
+        while root.setdefault(i, i) != i:
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        if a != b:
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    got = components(spark.createDataFrame(edges, "a bigint, b bigint"), most).collect()
+    assert Counter(map(tuple, got)) == Counter((i, find(i)) for i in root)
+    assert components(spark.createDataFrame([], "a bigint, b bigint"), most).count() == 0
+
+
+def test_narrowed_keeps_every_wanted_key(spark):
+    df = spark.range(20_000).selectExpr("if(id = 7, null, id * 31) as k", "id as word")
+    wanted = spark.range(0, 20_000, 50).selectExpr("id * 31 as w")
+    left = narrowed(df, "k", wanted)
+    assert left.columns == ["k", "word"] and left.join(wanted, F.col("k") == F.col("w")).count() == 400 and left.count() < 420
+
+
 def brute_one_of_each(rows, k=5):
     """Rows (id, text, ...) that stay: per component the lowest id, null last; rows without words all stay."""
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
