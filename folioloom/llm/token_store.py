@@ -31,10 +31,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from folioloom.llm import words
+
 MAGIC = b"FRV1"
 BLOCK_IDS = 1 << 20
-#: About 200 bytes each.
-CACHED_WORDS = 1 << 21
+#: About 100 bytes each. Twice as many gain little, since most words that are not found are met once.
+CACHED_WORDS = 1 << 20
+#: Bytes kept for each word of a full table, on average.
+WORD_BYTES = 64
+#: A part above this, which is one word mostly, has its words encoded without the table.
+MOST_AT_ONCE = 1 << 20
 BLOCKS = "part int, seq int, doc_ids array<bigint>, n_ids bigint, image binary"
 #: Lengths of the four ranks of every control byte.
 LENGTHS = np.array([[1 + (c >> 2 * i & 3) for i in range(4)] for c in range(256)], np.int64)
@@ -105,9 +111,114 @@ def word_local(config: dict) -> bool:
     )
 
 
-#: Letters whose case and composition are settled one by one, then ASCII punctuation.
-LETTERS = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+"
-LETTERS_AND_TAIL = re.compile(rb"(" + LETTERS + rb")([!-/:-@\[-`{-~]*)")
+#: Letters whose case and composition are settled one by one: ASCII, and those of \xc3.
+LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+LETTER, TAIL, BLANK, OTHER = 1, 2, 3, 4
+#: Kind of every byte, and of what follows a \xc3.
+KIND = bytes(
+    LETTER if re.match(rb"[A-Za-z]", x) else TAIL if re.match(rb"[!-/:-@\[-`{-~]", x) else BLANK if x.isspace() else OTHER
+    for x in (bytes([i]) for i in range(256))
+)
+AFTER_C3 = np.array([LETTER if LETTERS.fullmatch(b"\xc3" + bytes([x])) else OTHER for x in range(256)], np.uint8)
+LOWER = bytes(range(256)).lower()
+
+
+def settle(text: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes with a space between letters and tail in each word that is letters and a tail of ASCII punctuation,
+    those letters in lower case if asked for; and the old places before which a space was put. Other words stay.
+    """
+    buf, kind = np.frombuffer(text, np.uint8), np.frombuffer(bytearray(text.translate(KIND)), np.uint8)
+    second = np.flatnonzero(buf[:-1] == 0xC3) + 1
+    kind[second] = kind[second - 1] = AFTER_C3[buf[second]]
+    ends = (kind[:-1] == LETTER) & (kind[1:] == TAIL)
+    new = buf
+    if lower:
+        new = np.frombuffer(bytearray(text.translate(LOWER)), np.uint8)
+        new[second[(kind[second] == LETTER) & (buf[second] < 0x9F)]] += 32
+    out = kind == OTHER
+    out[1:] |= (kind[:-1] == TAIL) & (kind[1:] == LETTER)
+    if out.any():
+        word = np.cumsum(kind == BLANK, dtype=np.int32)
+        stays = np.zeros(word[-1] + 1, bool)
+        stays[word[out]] = True
+        stays = stays[word]
+        ends &= ~stays[1:]
+        new = np.where(stays, buf, new)
+    at = np.flatnonzero(ends) + 1
+    return np.insert(new, at, 32), at
+
+
+def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Positions of stretches, one stretch after the other."""
+    total = np.cumsum(lengths)
+    return np.repeat(starts - total + lengths, lengths) + np.arange(total[-1] if len(total) else 0)
+
+
+class WordTable:
+    """Words and their ids in arrays, with open addressing by hash; a word is found by all its bytes."""
+
+    def __init__(self):
+        self.n = 0
+        self.slots = np.full(1 << 12, -1, np.int32)
+        self.hash = np.zeros(1, np.uint64)
+        #: End of each word in ``raw`` and of its ids in ``ids``, after a 0.
+        self.raw_at, self.ids_at = np.zeros((2, 2), np.int64)
+        self.raw, self.ids = np.zeros(1, np.uint8), np.zeros(1, "<u4")
+
+    def __len__(self) -> int:
+        return self.n
+
+    def n_bytes(self) -> int:
+        return int(self.raw_at[self.n] + 4 * self.ids_at[self.n])
+
+    def find(self, h: np.ndarray, buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Number of each word, -1 if it is not there."""
+        found, left, mask = np.full(len(h), -1, np.int64), np.arange(len(h)), len(self.slots) - 1
+        at = (h & np.uint64(mask)).astype(np.int64)
+        while len(left):
+            e = self.slots[at]
+            go_on = e >= 0
+            i = np.flatnonzero(go_on & (self.hash[e] == h[left]))
+            first = self.raw_at[e[i]]
+            as_long = self.raw_at[e[i] + 1] - first == lengths[left[i]]
+            i, first = i[as_long], first[as_long]
+            if len(i):
+                n = lengths[left[i]]
+                differ = buf[spread(starts[left[i]], n)] != self.raw[spread(first, n)]
+                if differ.any():
+                    i = i[np.add.reduceat(differ, np.cumsum(n) - n, dtype=np.int64) == 0]
+            found[left[i]] = e[i]
+            go_on[i] = False
+            left, at = left[go_on], (at[go_on] + 1) & mask
+        return found
+
+    def add(self, h: np.ndarray, raw: list[bytes], ids: list[bytes]) -> None:
+        """Words that are not there yet, each once."""
+        before, self.n = self.n, self.n + len(raw)
+        for name, values, size in (("raw", raw, 1), ("ids", ids, 4)):
+            ends = np.cumsum([len(x) // size for x in values], dtype=np.int64) + getattr(self, f"{name}_at")[before]
+            self._put(f"{name}_at", before + 1, ends)
+            data = np.frombuffer(b"".join(values), getattr(self, name).dtype)
+            self._put(name, int(ends[-1]) - len(data), data)
+        self._put("hash", before, h)
+        if 4 * self.n > len(self.slots):
+            self.slots = np.full(1 << (8 * self.n).bit_length(), -1, np.int32)
+            before = 0
+        e, mask = np.arange(before, self.n, dtype=np.int32), len(self.slots) - 1
+        at = (self.hash[before : self.n] & np.uint64(mask)).astype(np.int64)
+        while len(e):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = e[free]
+            left = self.slots[at] != e
+            e, at = e[left], (at[left] + 1) & mask
+
+    def _put(self, name: str, at: int, values: np.ndarray) -> None:
+        array, n = getattr(self, name), at + len(values)
+        if n > len(array):
+            longer = np.zeros(max(n, 3 * len(array) // 2), array.dtype)
+            longer[: len(array)] = array
+            setattr(self, name, array := longer)
+        array[at:n] = values
 
 
 def letters_are_pieces(config: dict) -> bool:
@@ -143,8 +254,7 @@ class WordIds:
 
             level = ByteLevel(add_prefix_space=False, use_regex=False)
             self.bytes_of = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.young, self.old = WordTable(), WordTable()
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -163,60 +273,89 @@ class WordIds:
                 held.append(text)
                 size += len(text)
             else:
-                yield [self._look_up([part])[0] for part in parts(text, most)]
-        yield from ([x] for x in self._look_up(held))
+                yield [self._look_up([part])[0] if len(part) <= MOST_AT_ONCE else self._apart(part) for part in parts(text, most)]
+        if held:
+            yield from ([x] for x in self._look_up(held))
 
     def _look_up(self, texts: list[bytes]) -> list[bytes]:
-        words = [text.split() for text in texts]  # exactly \x20 and \x09 to \x0d
-        distinct = set().union(*words)
-        new = distinct.difference(self.young)
-        if len(self.young) + len(new) > self.most:
-            self.old, self.young, new = self.young, {}, distinct
-        self._learn(new)
-        return [b"".join(map(self.young.__getitem__, w)) for w in words]
-
-    def _learn(self, new: set[bytes]) -> None:
-        young, old, others = self.young, self.old, []
-        for w in new:
-            if (ids := old.get(w)) is not None:
-                young[w] = ids
-            elif self.model and (found := LETTERS_AND_TAIL.fullmatch(w)):
-                young[w] = self._piece(found[1]) + (self._tail(found[2]) if found[2] else b"")
+        at = np.concatenate([[0], np.cumsum([len(x) + 1 for x in texts])])
+        joined = b" ".join([*texts, b""])
+        if self.model:
+            buf, put = settle(joined, self.lower)
+            at += np.searchsorted(put, at)
+        else:
+            buf = np.frombuffer(joined, np.uint8)
+        piece = words.Piece(buf, at, 0, len(texts), words.SPACE)
+        h, starts, lengths = piece.word_hashes(), piece.starts, piece.ends - piece.starts
+        e = self.young.find(h, buf, starts, lengths)
+        new, number, first = self._missing(e, piece)
+        if len(self.young) + len(first) > self.most or self.young.n_bytes() > WORD_BYTES * self.most:
+            self.old, self.young = self.young, WordTable()
+            e[:] = -1
+            new, number, first = self._missing(e, piece)
+        if len(first):
+            raw = [buf[a:b].tobytes() for a, b in zip(starts[first].tolist(), piece.ends[first].tolist(), strict=True)]
+            ids = self._recall(self.old.find(h[first], buf, starts[first], lengths[first]), raw)
+            e[new] = len(self.young) + number
+            self.young.add(h[first], raw, ids)
+        n = self.young.ids_at[e + 1] - self.young.ids_at[e]
+        raw = self.young.ids[spread(self.young.ids_at[e], n)].tobytes()
+        cut = (4 * np.concatenate([[0], np.cumsum(n)])[piece.word_at]).tolist()
+        return [raw[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+
+    def _missing(self, e: np.ndarray, piece: words.Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Words without a number: where they are, which different word each is, and where each of these comes first."""
+        new, seen, first = np.flatnonzero(e < 0), {}, []
+        number = np.zeros(len(new), np.int64)
+        raw = piece.buf.tobytes() if len(new) else b""
+        for i, j, a, b in zip(range(len(new)), new.tolist(), piece.starts[new].tolist(), piece.ends[new].tolist(), strict=True):
+            number[i] = k = seen.setdefault(raw[a:b], len(first))
+            if k == len(first):
+                first.append(j)
+        return new, number, np.array(first, np.int64)
+
+    def _recall(self, e: np.ndarray, raw: list[bytes]) -> list[bytes]:
+        """Ids of words by their numbers in the older table, or else encoded."""
+        out, others, old = [b""] * len(raw), [], self.old
+        for i, k in enumerate(e.tolist()):
+            if k >= 0:
+                out[i] = old.ids[old.ids_at[k] : old.ids_at[k + 1]].tobytes()
+            elif self.model and LETTERS.fullmatch(raw[i]):
+                out[i] = self._piece(raw[i].decode())
             else:
-                others.append(w)
+                others.append(i)
         if others:
-            self._encode(others)
+            for i, ids in zip(others, self._encode([raw[i] for i in others]), strict=True):
+                out[i] = ids
+        return out
 
-    def _piece(self, letters: bytes) -> bytes:
-        text = letters.decode()
+    def _piece(self, letters: str) -> bytes:
         if self.lower:
-            text = text.lower()
-            letters = text.encode()
-        ids = self.young.get(letters) or self.old.get(letters)
-        if ids is None:
-            found = [t.id for t in self.model.tokenize(text if text.isascii() else text.translate(self.bytes_of))]
-            ids = struct.pack(f"<{len(found)}I", *found)
-        self.young[letters] = ids
-        return ids
-
-    def _tail(self, tail: bytes) -> bytes:
-        if tail not in self.young:
-            self.young[tail] = np.array(self._ids(tail.decode()), "<u4").tobytes()
-        return self.young[tail]
-
-    def _encode(self, words: list[bytes]) -> None:
-        texts = [w.decode("utf-8", "replace") for w in words]
+            letters = letters.lower()
+        found = [t.id for t in self.model.tokenize(letters if letters.isascii() else letters.translate(self.bytes_of))]
+        return struct.pack(f"<{len(found)}I", *found)
+
+    def _encode(self, raw: list[bytes]) -> list[bytes]:
+        texts = [w.decode("utf-8", "replace") for w in raw]
         plain = [i for i, t in enumerate(texts) if self.mark not in t] if len(self.marked) == 1 else []
+        out = [b""] * len(raw)
         if plain:
             # one call for all: a mark after each word, which no word holds, tells their ids apart
             joined = f" {self.mark} ".join([texts[i] for i in plain] + [""])
             ids = np.array(self._ids(joined), "<u4")
-            raw, first = ids.tobytes(), 0
+            whole, first = ids.tobytes(), 0
             for i, end in zip(plain, (4 * np.flatnonzero(ids == self.marked[0])).tolist(), strict=True):
-                self.young[words[i]] = raw[first:end]
+                out[i] = whole[first:end]
                 first = end + 4
-        for i in set(range(len(words))).difference(plain):
-            self.young[words[i]] = np.array(self._ids(texts[i]), "<u4").tobytes()
+        for i in set(range(len(raw))).difference(plain):
+            out[i] = np.array(self._ids(texts[i]), "<u4").tobytes()
+        return out
+
+    def _apart(self, text: bytes) -> bytes:
+        """Ids of a text of long words, not kept."""
+        found = text.split()
+        ids = {w: self._encode([w])[0] for w in set(found)}
+        return b"".join(map(ids.__getitem__, found))
 
 
 def parts(text: bytes, most: int) -> Iterator[bytes]:

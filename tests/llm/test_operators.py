@@ -548,6 +548,40 @@ def test_word_ids_are_those_of_whole_texts(most_words):
     assert len(ids.young) + len(ids.old) <= 2 * most_words + 4 * len(set(long.split()))
 
 
+def word_ids(most_words):
+    import json
+
+    from tokenizers import Tokenizer
+
+    path = token_store.vocabulary_path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as f:
+        return tokenizer, token_store.WordIds(tokenizer, json.load(f), most_words)
+
+
+def test_case_and_tail_of_a_word_take_no_entries():
+    _, ids = word_ids(1 << 20)
+    ids([b"wort WORT! Wort. wort... Wort, \xc3\x9cber! \xc3\xbcber, \xc3\x9cBER. \xc3\xbcber", b"", b"Wort"])
+    assert len(ids.young) == 2 + len([".", "...", ",", "!"])
+
+
+@pytest.mark.parametrize("most_words", [2, 64, 1 << 20])
+@pytest.mark.parametrize("one_hash", [False, True])
+def test_word_ids_of_random_texts(monkeypatch, most_words, one_hash):
+    """Also where all words have one hash and are told apart by their bytes, and for words that are not kept."""
+    if one_hash:
+        monkeypatch.setattr(words.Piece, "word_hashes", lambda self: np.full(len(self.starts), 2**64 - 1, np.uint64))
+    tokenizer, ids = word_ids(most_words)
+    rng = random.Random(7)
+    bits = [*"aAsStTlLdDmMeEzZ'\".,!~|<>()0195", *"   \n\t\x0b\x0c\r\x00\x1c\x7f", *"ÀàÉéÞþßÿŸ×÷ªµ", "\u0301", "\u0308", "İ", "Σ", "中", "\u3000", "\u200b", "<|endoftext|>", "<|ENDOFTEXT|>", "'ll", "'S"]
+    texts = ["".join(rng.choices(bits, k=rng.randrange(60))) for _ in range(150)] + ["\u3000", " \u3000 ", "Ab." * 50 + " Ab. " + "aB" * 90]
+    for most, most_at_once in ((64, 100), (1 << 18, 1 << 20)):
+        monkeypatch.setattr(token_store, "MOST_AT_ONCE", most_at_once)
+        got = [b"".join(x) for x in ids.runs([x.encode() for x in texts], most)]
+        for text, raw in zip(texts, got, strict=True):
+            assert np.frombuffer(raw or b"", "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 # --- 9: decontamination ---
 
 
